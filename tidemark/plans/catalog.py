@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from .. import session as _session
 from ..functions.portable import portable
 from ..sources import derived as d
-from . import marts, warehouse as wh
+from datetime import datetime, timezone
+
+from ..operators import checks
+from ..operators.versions import insert_if_absent
+from ..sources import scan
+from . import marts, quality, warehouse as wh
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -183,3 +188,261 @@ def q_order_items_fact(spark, sf):
     """J2 / P8 / M7."""
     return wh.fct_order_items(d.order_items(spark, sf), fct_orders(spark, sf),
                               wh.dim_product(d.products(spark, sf)))
+
+
+# Quality, reconciliation ------------------------------------------------------
+def daily_finance_frame(spark, sf):
+    return marts.daily_finance(fct_payments(spark, sf), fct_refunds(spark, sf))
+
+
+@register("orphan_payments", _sql(("d_order_versions", "d_customer_history", "d_payments"),
+                                   [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_PAYMENTS_SQL], """
+select p.payment_id, p.order_id from fct_payments p
+where not exists (select 1 from fct_orders o where o.order_id = p.order_id)"""))
+def q_orphan_payments(spark, sf):
+    """Payments whose order is unknown (anti join)."""
+    return (fct_payments(spark, sf).select("payment_id", "order_id")
+            .join(fct_orders(spark, sf).select("order_id"), on="order_id", how="left_anti")
+            .select("payment_id", "order_id"))
+
+
+@register("items_reconcile", _sql(("d_order_versions", "d_customer_history", "d_items", "d_products"),
+                                   [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_ITEMS_SQL], """
+select o.order_id from fct_orders o left join fct_order_items i on o.order_id = i.order_id
+group by o.order_id, o.amount having sum(i.line_amount) is distinct from o.amount"""))
+def q_items_reconcile(spark, sf):
+    """Item totals distinct from the order amount."""
+    fo = fct_orders(spark, sf)
+    items = wh.fct_order_items(d.order_items(spark, sf), fo, wh.dim_product(d.products(spark, sf)))
+    return quality.items_reconcile(fo, items)
+
+
+@register("finance_reconcile", _sql(("d_payments", "d_refunds"),
+                                     [FCT_PAYMENTS_SQL, FCT_REFUNDS_SQL, DAILY_FINANCE_SQL], """
+select cast(n as double) as net_total, cast(p as double) as paid_total, cast(r as double) as refund_total,
+  n is not distinct from (p - r) as passed
+from (select (select coalesce(sum(net), 0) from daily_finance) as n,
+             (select coalesce(sum(amount), 0) from fct_payments where status = 'succeeded') as p,
+             (select coalesce(sum(amount), 0) from fct_refunds) as r) t"""))
+def q_finance_reconcile(spark, sf):
+    """Mart net equals succeeded payments minus refunds."""
+    return quality.finance_reconcile(fct_payments(spark, sf), fct_refunds(spark, sf),
+                                     daily_finance_frame(spark, sf))
+
+
+@register("refunds_not_above_paid", _sql(("d_payments", "d_refunds"), [FCT_PAYMENTS_SQL, FCT_REFUNDS_SQL], """
+select r.order_id from (select order_id, sum(amount) as amount from fct_refunds group by order_id) r
+left join (select order_id, sum(amount) as amount from fct_payments where status = 'succeeded'
+           group by order_id) p on r.order_id = p.order_id
+where r.amount > coalesce(p.amount, 0)"""))
+def q_refunds_not_above_paid(spark, sf):
+    """Refunds per order above succeeded payments per order."""
+    return quality.refunds_not_above_paid(fct_refunds(spark, sf), fct_payments(spark, sf))
+
+
+@register("quality_gates", _sql(("d_order_versions", "d_customer_history", "d_payments", "d_refunds"),
+                                 [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_PAYMENTS_SQL,
+                                  FCT_REFUNDS_SQL, DAILY_FINANCE_SQL], """
+select 'orders_loaded' as gate, cast(case when count(*) > 0 then 0 else 1 end as bigint) as value from fct_orders
+union all select 'customer_mapping', cast(count(*) as bigint) from fct_orders where customer_sk is null
+union all select 'orphan_payments', cast(count(*) as bigint) from fct_payments p
+  left join fct_orders o using (order_id) where o.order_id is null
+union all select 'finance_reconciliation', cast(case when
+  (select coalesce(sum(net), 0) from daily_finance) =
+  (select coalesce(sum(amount), 0) from fct_payments where status = 'succeeded') -
+  (select coalesce(sum(amount), 0) from fct_refunds) then 0 else 1 end as bigint)
+union all select 'negative_payment_amount', cast(count(*) as bigint) from fct_payments where amount < 0"""))
+def q_quality_gates(spark, sf):
+    """The five blocking gates; 0 means pass."""
+    fp, fr = fct_payments(spark, sf), fct_refunds(spark, sf)
+    return quality.gate_values(fct_orders(spark, sf), fp, fr, marts.daily_finance(fp, fr))
+
+
+_DIM_DATE_SQL = f"""dim_date as (
+  select d::date as date_day, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+    cast(day(d) as integer) as day
+  from (select min({JKT.format('created_at')}) as lo, max({JKT.format('created_at')}) as hi
+        from d_order_versions) b, generate_series(b.lo, b.hi, interval 1 day) g(d))"""
+
+_GENERIC_MODELS = ("d_order_versions", "d_customer_history", "d_payments", "d_refunds", "d_items",
+                   "d_products")
+_GENERIC_CTES = [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_PAYMENTS_SQL, FCT_REFUNDS_SQL,
+                 FCT_ITEMS_SQL, _DIM_DATE_SQL]
+
+
+def _generic_sql() -> str:
+    def uniq(m, c):
+        return (f"(select count(*) from (select {c} from {m} where {c} is not null "
+                f"group by {c} having count(*) > 1))")
+
+    def nn(m, c):
+        return f"(select count(*) from {m} where {c} is null)"
+
+    def rel(m, c, p, pc):
+        return (f"(select count(*) from {m} x where x.{c} is not null and not exists "
+                f"(select 1 from {p} y where y.{pc} = x.{c}))")
+    tests = [
+        ("dim_customer", "customer_sk", "unique", uniq("dim_customer", "customer_sk")),
+        ("dim_customer", "customer_sk", "not_null", nn("dim_customer", "customer_sk")),
+        ("dim_product", "product_id", "unique", uniq("d_products", "product_id")),
+        ("dim_product", "product_id", "not_null", nn("d_products", "product_id")),
+        ("fct_orders", "order_id", "unique", uniq("fct_orders", "order_id")),
+        ("fct_orders", "order_id", "not_null", nn("fct_orders", "order_id")),
+        ("fct_orders", "customer_sk", "not_null", nn("fct_orders", "customer_sk")),
+        ("fct_orders", "customer_sk", "relationships", rel("fct_orders", "customer_sk", "dim_customer", "customer_sk")),
+        ("fct_orders", "currency", "accepted_values",
+         "(select count(*) from fct_orders where currency not in ('IDR'))"),
+        ("fct_order_items", "order_item_sk", "unique", uniq("fct_order_items", "order_item_sk")),
+        ("fct_order_items", "order_item_sk", "not_null", nn("fct_order_items", "order_item_sk")),
+        ("fct_order_items", "order_id", "relationships", rel("fct_order_items", "order_id", "fct_orders", "order_id")),
+        ("fct_payments", "payment_id", "unique", uniq("fct_payments", "payment_id")),
+        ("fct_payments", "payment_id", "not_null", nn("fct_payments", "payment_id")),
+        ("fct_payments", "order_id", "relationships", rel("fct_payments", "order_id", "fct_orders", "order_id")),
+        ("fct_refunds", "refund_id", "unique", uniq("fct_refunds", "refund_id")),
+        ("fct_refunds", "refund_id", "not_null", nn("fct_refunds", "refund_id")),
+        ("fct_refunds", "order_id", "relationships", rel("fct_refunds", "order_id", "fct_orders", "order_id")),
+        ("dim_date", "date_day", "unique", uniq("dim_date", "date_day")),
+        ("dim_date", "date_day", "not_null", nn("dim_date", "date_day")),
+    ]
+    body = "\nunion all ".join(
+        f"select '{m}' as model, '{c}' as column_name, '{t}' as test, cast({q} as bigint) as failures"
+        for m, c, t, q in tests)
+    return _sql(_GENERIC_MODELS, _GENERIC_CTES, body)
+
+
+def order_calendar(spark, sf):
+    """M5 with data-driven bounds: every business day between the first and the
+    last order creation (bounds found by one aggregate, expanded on executors)."""
+    from ..functions.timeutil import business_date, date_parts
+    b = d.order_versions(spark, sf).agg(F.min(business_date("created_at")).alias("lo"),
+                                        F.max(business_date("created_at")).alias("hi"))
+    days = b.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date_day"))
+    return days.select("date_day", *date_parts("date_day"))
+
+
+@register("generic_tests", _generic_sql())
+def q_generic_tests(spark, sf):
+    """Q7-Q10: the 20 declared column tests, failures per test."""
+    dim = wh.dim_customer(d.customer_history(spark, sf))
+    fo = wh.fct_orders(wh.stg_orders(d.order_versions(spark, sf)), dim)
+    prod = wh.dim_product(d.products(spark, sf))
+    models = {"dim_customer": dim, "dim_product": prod, "fct_orders": fo,
+              "fct_order_items": wh.fct_order_items(d.order_items(spark, sf), fo, prod),
+              "fct_payments": fct_payments(spark, sf), "fct_refunds": fct_refunds(spark, sf),
+              "dim_date": order_calendar(spark, sf)}
+    return quality.generic_tests(models)
+
+
+@register("calendar", _sql(("d_order_versions",), [_DIM_DATE_SQL], """
+select cast(date_day as varchar) as date_day, cast(year as bigint) as year, cast(month as bigint) as month,
+  cast(day as bigint) as day from dim_date"""))
+def q_calendar(spark, sf):
+    """The date dimension over the order dates."""
+    return order_calendar(spark, sf)
+
+
+_SHIFTED_HISTORY_SQL = """shifted as (
+  select customer_id, city, membership,
+    case when valid_to is null and cast(customer_id as bigint) % 7 = 0
+         then valid_from - interval 30 day else valid_from end as valid_from, valid_to
+  from d_customer_history)"""
+
+
+def shifted_history(spark, sf):
+    """Customer history with every 7th customer's current row starting 30 days
+    early, so it overlaps the previous row where one exists."""
+    h = d.customer_history(spark, sf)
+    shift = F.col("valid_to").isNull() & (F.col("customer_id").cast("bigint") % 7 == 0)
+    return h.withColumn("valid_from", F.when(shift, F.timestamp_add("DAY", F.lit(-30), F.col("valid_from")))
+                        .otherwise(F.col("valid_from")))
+
+
+@register("history_overlap", _sql(("d_customer_history",), [_SHIFTED_HISTORY_SQL], """
+select distinct a.customer_id from shifted a join shifted b
+  on a.customer_id = b.customer_id and a.valid_from < b.valid_from
+ and (a.valid_to is null or a.valid_to > b.valid_from)"""))
+def q_history_overlap(spark, sf):
+    """Customers whose history rows overlap."""
+    return checks.history_overlaps(shifted_history(spark, sf)).select("customer_id").distinct()
+
+
+@register("two_path_reconcile", _sql(("d_order_versions", "d_customer_history"),
+                                      [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL], f"""
+select cast(coalesce(l.event_date, w.order_date) as varchar) as event_date,
+  coalesce(l.currency, w.currency) as currency,
+  cast(l.order_count as bigint) as lake_order_count, cast(l.order_value as double) as lake_order_value,
+  cast(w.order_count as bigint) as warehouse_order_count, cast(w.order_value as double) as warehouse_order_value,
+  (l.order_count is not distinct from w.order_count and l.order_value is not distinct from w.order_value) as matched
+from (select {JKT.format('created_at')} as event_date, currency, count(*) as order_count,
+             sum(amount) as order_value from stg_orders where status <> 'cancelled' group by all) l
+full outer join (select order_date, currency, count(*) as order_count, sum(amount) as order_value
+             from fct_orders where status <> 'cancelled' group by all) w
+  on l.event_date is not distinct from w.order_date and l.currency is not distinct from w.currency"""))
+def q_two_path_reconcile(spark, sf):
+    """The lake aggregate (A1) against the warehouse aggregate, per day and
+    currency; ``matched`` false marks a difference."""
+    lake = marts.daily_orders(lake_orders(spark, sf))
+    whs = (fct_orders(spark, sf).where(F.col("status") != "cancelled")
+           .groupBy(F.col("order_date").alias("event_date"), "currency")
+           .agg(F.count(F.lit(1)).alias("order_count"), F.sum("amount").alias("order_value")))
+    return checks.reconcile(lake, whs, ["event_date", "currency"], ["order_count", "order_value"])
+
+
+@register("seed_insert_if_absent", _sql(("d_products",), [], """
+select product_id, product_name, category, cast(current_price as double) as current_price
+from d_products where cast(product_id as bigint) % 3 <> 0"""))
+def q_seed_insert_if_absent(spark, sf):
+    """Reference rows to insert when every third product is stored
+    already and the incoming load repeats every fifth product."""
+    prods = d.products(spark, sf)
+    existing = prods.where(F.col("product_id").cast("bigint") % 3 == 0)
+    incoming = prods.unionByName(prods.where(F.col("product_id").cast("bigint") % 5 == 0))
+    return insert_if_absent(incoming, existing, ["product_id"])
+
+
+@register("surrogate_keys", _sql(("d_customer_history",), [DIM_CUSTOMER_SQL], f"""
+select customer_sk, customer_id, city, membership, {TS.format('valid_from')} as valid_from,
+  {TS.format('valid_to')} as valid_to from dim_customer"""))
+def q_surrogate_keys(spark, sf):
+    """Type 2 customer dimension with md5 surrogate keys."""
+    return wh.dim_customer(d.customer_history(spark, sf))
+
+
+@register("business_date", """
+select cast(event_id as varchar) as event_id, cast(cast(ts as date) as varchar) as utc_date,
+  cast(cast(ts + interval 7 hour as date) as varchar) as business_date from events""")
+def q_business_date(spark, sf):
+    """UTC date and Asia/Jakarta business date of every event."""
+    from ..functions.timeutil import as_utc_instant, business_date
+    from ..sources.tables import read_table
+    e = read_table(spark, sf, "events").select("event_id", as_utc_instant("ts").alias("t"))
+    return e.select(F.col("event_id").cast("string").alias("event_id"),
+                    F.to_date("t").alias("utc_date"), business_date("t").alias("business_date"))
+
+
+SCAN_WINDOW = scan.Window(datetime(1997, 1, 1, tzinfo=timezone.utc), datetime(1998, 1, 1, tzinfo=timezone.utc))
+PAGE_CURSOR = (datetime(1997, 6, 1, tzinfo=timezone.utc), "5000")
+PAGE_SIZE = 1000
+
+_SCAN_COLS = f"""order_id, customer_id, status, cast(amount as double) as amount, currency,
+  cast(version as bigint) as version, {TS.format('created_at')} as created_at,
+  {TS.format('updated_at')} as updated_at"""
+
+
+@register("change_scan", _sql(("d_order_versions",), [], f"""
+select {_SCAN_COLS} from d_order_versions
+where updated_at >= timestamp '1997-01-01 00:00:00' and updated_at < timestamp '1998-01-01 00:00:00'"""))
+def q_change_scan(spark, sf):
+    """Every version changed inside [1997-01-01, 1998-01-01) UTC."""
+    return scan.change_scan(d.order_versions(spark, sf), SCAN_WINDOW)
+
+
+@register("keyset_page", _sql(("d_order_versions",), [], f"""
+select {_SCAN_COLS} from d_order_versions
+where updated_at >= timestamp '1997-01-01 00:00:00' and updated_at < timestamp '1998-01-01 00:00:00'
+  and (updated_at > timestamp '1997-06-01 00:00:00'
+       or (updated_at = timestamp '1997-06-01 00:00:00' and order_id > '5000'))
+order by updated_at, order_id limit 1000"""))
+def q_keyset_page(spark, sf):
+    """The page of 1000 rows after cursor (1997-06-01, '5000')."""
+    return scan.keyset_page(d.order_versions(spark, sf), SCAN_WINDOW, PAGE_SIZE, *PAGE_CURSOR)
