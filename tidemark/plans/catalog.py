@@ -446,3 +446,166 @@ order by updated_at, order_id limit 1000"""))
 def q_keyset_page(spark, sf):
     """The page of 1000 rows after cursor (1997-06-01, '5000')."""
     return scan.keyset_page(d.order_versions(spark, sf), SCAN_WINDOW, PAGE_SIZE, *PAGE_CURSOR)
+
+
+# Contracts --------------------------------------------------------------------
+def _oe_sql() -> str:
+    from ..functions import contracts as c
+    from ..sources.events import order_event_text
+    known = ", ".join(f"'{f}'" for f in c.ORDER_EVENT_FIELDS + ("extra_fields",))
+    enum = ", ".join(f"'{e}'" for e in c.ORDER_EVENT_TYPES)
+
+    def jt(f):
+        return f"json_type(s, '$.{f}')"
+
+    def txt(f):
+        return f"(case when {jt(f)} = 'VARCHAR' then json_extract_string(s, '$.{f}') end)"
+
+    def blank(f):
+        return f"coalesce(trim({txt(f)}) = '', true)"
+    missing = ", ".join(f"case when {jt(f)} is null then '{f}' end" for f in c.ORDER_EVENT_FIELDS)
+    return f"""
+with ev as (select cast(o_orderkey as varchar) as ref, {order_event_text('duckdb')} as s from orders),
+f as (
+  select ref, s, coalesce(json_valid(s) and json_type(s) = 'OBJECT', false) as is_obj,
+    concat_ws(',', {missing}) as missing,
+    {txt('event_type')} as etype, {txt('event_time')} as ttext,
+    case when {jt('amount')} = 'VARCHAR' then json_extract_string(s, '$.amount')
+         when {jt('amount')} in ('BIGINT', 'UBIGINT', 'DOUBLE') then cast(json_extract(s, '$.amount') as varchar)
+    end as atext,
+    {jt('extra_fields')} as xtype, {jt('version')} as vtype,
+    {blank('event_id')} as b_event, {blank('order_id')} as b_order, {blank('customer_id')} as b_cust,
+    {txt('currency')} as cur
+  from ev),
+g as (
+  select *,
+    case when regexp_matches(atext, '{c.NUMBER_TEXT}') then 'number'
+         when regexp_matches(atext, '{c.SPECIAL_NUMBER_TEXT}') then 'special' end as akind,
+    not coalesce(regexp_matches(ttext, '{c.ISO_DATETIME}')
+      and try_cast(regexp_replace(ttext, '[zZ]$', '+00:00') as timestamptz) is not null, false) as bad_time,
+    coalesce(xtype is not null and xtype <> 'OBJECT', false) as bad_extras,
+    coalesce(vtype in ('BIGINT', 'UBIGINT') and cast(json_extract(s, '$.version') as bigint) >= 1, false) as v_ok
+  from f),
+h as (
+  select *,
+    case when not is_obj then 'parse' when missing <> '' then 'missing'
+         when coalesce(etype not in ({enum}), true) then 'parse'
+         when bad_time or akind is null or bad_extras then 'parse' end as error_kind,
+    case when not is_obj then 'payload' when missing <> '' then missing
+         when coalesce(etype not in ({enum}), true) then 'event_type'
+         when bad_time then 'event_time' when akind is null then 'amount'
+         when bad_extras then 'extra_fields' end as error_field,
+    concat_ws(',', case when b_event then 'event_id' end, case when b_order then 'order_id' end,
+      case when b_cust then 'customer_id' end,
+      case when not coalesce(regexp_matches(ttext, '{ZONED}'), false) then 'event_time' end,
+      case when akind = 'special' then 'amount' end,
+      case when not coalesce(regexp_matches(cur, '{c.CURRENCY_PATTERN}'), false) then 'currency' end,
+      case when not v_ok then 'version' end) as invalid_all
+  from g),
+k as (select *, error_kind is null and invalid_all = '' as valid from h)
+select ref, valid, error_kind, error_field,
+  case when error_kind is null then invalid_all end as invalid_fields,
+  case when valid then {txt('event_id')} end as event_id,
+  case when valid then {txt('order_id')} end as order_id,
+  case when valid then {txt('customer_id')} end as customer_id,
+  case when valid then etype end as event_type,
+  case when valid then strftime(timezone('UTC', cast(regexp_replace(ttext, '[zZ]$', '+00:00') as timestamptz)),
+                                '%Y-%m-%d %H:%M:%S.%f') end as event_time,
+  case when valid then atext end as amount,
+  case when valid then cur end as currency,
+  case when valid then cast(json_extract(s, '$.version') as bigint) end as version,
+  case when valid then coalesce((
+    select '{{' || string_agg(cast(to_json(kk) as varchar) || ':' || cast(val as varchar), ',' order by kk) || '}}' from (
+      select kk, json_extract(s, '$."' || kk || '"') as val from unnest(json_keys(s)) as t(kk)
+       where kk not in ({known})
+      union all
+      select kk, json_extract(s, '$.extra_fields."' || kk || '"') as val
+        from unnest(coalesce(json_keys(s, '$.extra_fields'), [])) as t(kk)
+       where not (list_contains(json_keys(s), kk) and kk not in ({known})))), '{{}}') end as extras
+from k"""
+
+
+from ..functions.timeutil import ZONED_ISO as ZONED  # noqa: E402
+
+
+@register("order_event_contract", _oe_sql())
+def q_order_event_contract(spark, sf):
+    """V1-V3: parse, validate and record every order event (one per order)."""
+    from ..functions.contracts import check_order_events
+    from ..sources.events import order_events
+    return check_order_events(order_events(spark, sf)).select("ref", "c.*")
+
+
+def _payment_sql(body_cols: str) -> str:
+    from ..functions import contracts as c
+    from ..sources.events import PAGE_ROWS, payment_text
+
+    def txt(f):
+        return f"(case when json_type(s, '$.{f}') = 'VARCHAR' then json_extract_string(s, '$.{f}') end)"
+    return f"""
+with pr as (select cast(o_orderkey as varchar) as ref, cast(o_orderkey // {PAGE_ROWS} as bigint) as page_no,
+                   {payment_text('duckdb')} as s
+            from orders where o_orderstatus in ('F', 'O')),
+f as (select *, {txt('amount')} as atext, {txt('updated_at')} as ttext from pr),
+g as (select ref, page_no, s, concat_ws(',',
+    case when coalesce(trim({txt('payment_id')}) = '', true) then 'payment_id' end,
+    case when coalesce(trim({txt('order_id')}) = '', true) then 'order_id' end,
+    case when not coalesce(json_type(s, '$.version') in ('BIGINT', 'UBIGINT')
+                           and cast(json_extract(s, '$.version') as bigint) >= 1, false) then 'version' end,
+    case when not coalesce(regexp_matches(atext, '{c.NUMBER_TEXT}')
+                           and try_cast(atext as decimal(38,10)) >= 0, false) then 'amount' end,
+    case when not coalesce({txt('currency')} = 'IDR', false) then 'currency' end,
+    case when not coalesce({txt('status')} = 'succeeded', false) then 'status' end,
+    case when not coalesce(regexp_matches(ttext, '{ZONED}')
+         and try_cast(regexp_replace(ttext, '[zZ]$', '+00:00') as timestamptz) is not null, false)
+         then 'updated_at' end) as invalid_fields from f)
+select {body_cols} from g"""
+
+
+@register("payment_contract", _payment_sql(
+    "ref, page_no, invalid_fields, invalid_fields = '' as valid, "
+    "bool_or(invalid_fields <> '') over (partition by page_no) as page_rejected"))
+def q_payment_contract(spark, sf):
+    """V4: every payment record checked; one bad record rejects its page."""
+    from pyspark.sql import Window
+    from ..functions.contracts import check_payments
+    from ..sources.events import payment_records
+    recs = check_payments(payment_records(spark, sf))
+    out = recs.select("ref", "page_no", F.array_join("invalid_fields", ",").alias("invalid_fields"))
+    out = out.withColumn("valid", F.col("invalid_fields") == "")
+    # a page is bounded (PAGE_ROWS records), so this window never holds a large group
+    return out.withColumn("page_rejected", F.max(~F.col("valid")).over(Window.partitionBy("page_no")))
+
+
+@register("click_contract", _sql(("d_clicks",), [], """
+select event_id, customer_id, event_type,
+  concat_ws(',', case when event_type not in ('page_view', 'add_to_cart', 'checkout') then 'event_type' end)
+    as invalid_fields
+from d_clicks"""))
+def q_click_contract(spark, sf):
+    """V5: click events; signup and error types fail the type rule."""
+    from ..functions.contracts import click_errors
+    c = d.clicks(spark, sf)
+    return c.select("event_id", "customer_id", "event_type",
+                    F.array_join(click_errors(c), ",").alias("invalid_fields"))
+
+
+@register("feed_pages_explode", f"""
+with pr as (select cast(o_orderkey as varchar) as ref, cast(o_orderkey // 100 as bigint) as page_no
+            from orders where o_orderstatus in ('F', 'O')),
+pg as (select distinct page_no from pr)
+select 'p' || cast(pr.page_no as varchar) as page_id,
+  case when n.page_no is not null then 'p' || cast(pr.page_no + 1 as varchar) end as next_cursor,
+  cast(count(*) over (partition by pr.page_no) as bigint) as page_rows, pr.ref as payment_ref
+from pr left join pg n on n.page_no = pr.page_no + 1""")
+def q_feed_pages_explode(spark, sf):
+    """S3: landed pages validated (shape, repeated cursor) and exploded."""
+    from ..sources import feed
+    from ..sources.events import payment_pages
+    parsed = feed.parse_pages(payment_pages(spark, sf))
+    recs = feed.explode_records(parsed)
+    counts = parsed.select("page_id", F.size(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"))
+                           .cast("bigint").alias("page_rows"))
+    ref = F.try_variant_get(F.col("record"), "$.order_id", "string")
+    return recs.join(counts, on="page_id").select("page_id", "next_cursor", "page_rows",
+                                                  ref.alias("payment_ref"))
