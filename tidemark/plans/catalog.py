@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import session as _session
+from .. import schemas, session as _session
 from ..functions.portable import portable
 from ..sources import derived as d
 from datetime import datetime, timezone
@@ -536,7 +536,7 @@ def q_order_event_contract(spark, sf):
     return check_order_events(order_events(spark, sf)).select("ref", "c.*")
 
 
-def _payment_sql(body_cols: str) -> str:
+def _payment_sql(body_cols: str, tail: str = "") -> str:
     from ..functions import contracts as c
     from ..sources.events import PAGE_ROWS, payment_text
 
@@ -559,7 +559,7 @@ g as (select ref, page_no, s, concat_ws(',',
     case when not coalesce(regexp_matches(ttext, '{ZONED}')
          and try_cast(regexp_replace(ttext, '[zZ]$', '+00:00') as timestamptz) is not null, false)
          then 'updated_at' end) as invalid_fields from f)
-select {body_cols} from g"""
+select {body_cols} from g {tail}"""
 
 
 @register("payment_contract", _payment_sql(
@@ -609,3 +609,411 @@ def q_feed_pages_explode(spark, sf):
     ref = F.try_variant_get(F.col("record"), "$.order_id", "string")
     return recs.join(counts, on="page_id").select("page_id", "next_cursor", "page_rows",
                                                   ref.alias("payment_ref"))
+
+
+# Scalars: canonical text and hash, JSON extraction -----------------------------
+ORDER_PAYLOAD_COLUMNS = ["order_id", "customer_id", "status", "amount", "currency", "version",
+                         "created_at", "updated_at"]
+_ISO_SQL = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
+ORDER_PAYLOAD_SQL = f"""cast(json_object('amount', cast(amount as varchar),
+  'created_at', {_ISO_SQL.format('created_at')}, 'currency', currency, 'customer_id', customer_id,
+  'order_id', order_id, 'status', status, 'updated_at', {_ISO_SQL.format('updated_at')},
+  'version', version) as varchar)"""
+
+
+@register("canonical_hash", _sql(("d_order_versions",), [], f"""
+select order_id, cast(version as bigint) as version, payload, sha256(payload) as payload_hash
+from (select *, {ORDER_PAYLOAD_SQL} as payload from d_order_versions)"""))
+def q_canonical_hash(spark, sf):
+    """Canonical JSON text and SHA-256 of every order version."""
+    from ..functions.canonical import canonical_json, payload_hash
+    ov = d.order_versions(spark, sf)
+    payload = canonical_json(ov, ORDER_PAYLOAD_COLUMNS)
+    return ov.select("order_id", "version", payload.alias("payload")) \
+             .withColumn("payload_hash", payload_hash(F.col("payload")))
+
+
+@register("json_typed_extract", """
+select cast(event_id as varchar) as event_id, cast(json_extract_string(props, '$.k') as bigint) as k,
+  cast(cast(cast(cast(cast(value as decimal(18,2)) * 0.125 as decimal(18,5)) as varchar) as decimal(18,2))
+       as double) as amount,
+  strftime(ts - interval 7 hour, '%Y-%m-%d %H:%M:%S.%f') as paid_at
+from events""")
+def q_json_typed_extract(spark, sf):
+    """A field out of JSON text, decimal text rounded half away
+    from zero to DECIMAL(18,2), and zoned ISO text to an instant."""
+    from ..functions.timeutil import parse_zoned
+    from ..sources.tables import read_table
+    e = read_table(spark, sf, "events").select("event_id", "ts", "value", "props")
+    amount_text = (F.col("value").cast("decimal(18,2)") * F.lit(0.125).cast("decimal(4,3)")) \
+        .cast("decimal(18,5)").cast("string")
+    time_text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+07:00"))
+    return e.select(F.col("event_id").cast("string").alias("event_id"),
+                    F.variant_get(F.parse_json("props"), "$.k", "bigint").alias("k"),
+                    amount_text.cast("decimal(18,2)").alias("amount"),
+                    parse_zoned(time_text).alias("paid_at"))
+
+
+@register("table_constraints", """
+select * from (values ('quantity_positive', 0), ('discount_range', 0), ('price_not_negative', 0),
+                      ('orderkey_not_null', 0)) v(constraint_name, violations)
+where false
+union all select 'quantity_positive', cast(count(*) filter (where not coalesce(l_quantity > 0, true)) as bigint) from lineitem
+union all select 'discount_range', cast(count(*) filter (where not coalesce(l_discount between 0 and 1, true)) as bigint) from lineitem
+union all select 'price_not_negative', cast(count(*) filter (where not coalesce(l_extendedprice >= 0, true)) as bigint) from lineitem
+union all select 'orderkey_not_null', cast(count(*) filter (where l_orderkey is null) as bigint) from lineitem
+union all select 'lineitem_pk', cast(count(*) as bigint) from (select l_orderkey, l_linenumber from lineitem
+  where l_orderkey is not null and l_linenumber is not null group by all having count(*) > 1)
+union all select 'lineitem_order_fk', cast(count(*) as bigint) from lineitem l
+  where l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)
+union all select 'lineitem_part_fk', cast(count(*) as bigint) from lineitem l
+  where l_partkey is not null and not exists (select 1 from part p where p.p_partkey = l.l_partkey)
+union all select 'lineitem_supplier_fk', cast(count(*) as bigint) from lineitem l
+  where l_suppkey is not null and not exists (select 1 from supplier s where s.s_suppkey = l.l_suppkey)""")
+def q_table_constraints(spark, sf):
+    """V6 / V7: declared constraints of a table checked in one plan (row rules
+    in one aggregate pass; key and foreign-key rules as grouped/anti joins)."""
+    from ..operators.checks import Constraint, check_constraints
+    from ..sources.tables import read_table
+    li = read_table(spark, sf, "lineitem")
+    rules = [
+        Constraint("quantity_positive", "check", predicate="l_quantity > 0"),
+        Constraint("discount_range", "check", predicate="l_discount between 0 and 1"),
+        Constraint("price_not_negative", "check", predicate="l_extendedprice >= 0"),
+        Constraint("orderkey_not_null", "not_null", ("l_orderkey",)),
+        Constraint("lineitem_pk", "unique", ("l_orderkey", "l_linenumber")),
+        Constraint("lineitem_order_fk", "foreign_key", ("l_orderkey",), parent="orders",
+                   parent_columns=("o_orderkey",)),
+        Constraint("lineitem_part_fk", "foreign_key", ("l_partkey",), parent="part",
+                   parent_columns=("p_partkey",)),
+        Constraint("lineitem_supplier_fk", "foreign_key", ("l_suppkey",), parent="supplier",
+                   parent_columns=("s_suppkey",)),
+    ]
+    parents = {t: read_table(spark, sf, t) for t in ("orders", "part", "supplier")}
+    return check_constraints(li, rules, parents)
+
+
+# Stateful ingestion over a lake in the shared folder -----------------------------
+import uuid as _uuid  # noqa: E402
+
+from pyspark.sql import Window as _W  # noqa: E402
+
+INITIAL = datetime(1990, 1, 1, tzinfo=timezone.utc)
+CUTOFF_1 = datetime(1998, 1, 1, tzinfo=timezone.utc)
+CUTOFF_2 = datetime(2100, 1, 1, tzinfo=timezone.utc)
+BACKFILL = (datetime(1997, 6, 1, tzinfo=timezone.utc), datetime(1999, 1, 1, tzinfo=timezone.utc))
+
+
+def fresh_lake(spark, name: str):
+    from ..sources.lake import Lake
+    return Lake(spark, f"{_session.shared_dir(spark)}/tidemark-lakes/{name}-{_uuid.uuid4().hex}")
+
+
+def changed_orders(spark, sf):
+    """A re-read of the source where every 15th order changed its amount
+    without a new version (a same-version conflict)."""
+    ov = d.order_versions(spark, sf)
+    return ov.withColumn("amount", F.when(F.col("order_id").cast("bigint") % 15 == 0,
+                                          (F.col("amount") + 1).cast("decimal(18,2)"))
+                         .otherwise(F.col("amount")))
+
+
+def _run_seq(lake):
+    """Landed rows with the order number of the run that first saw them."""
+    from .ingest import landed_orders, latest_runs
+    runs = latest_runs(lake).select(F.col("run_id").alias("first_seen_run_id"), "started_at")
+    # the run ledger holds one row per run: a tiny, bounded window
+    runs = runs.withColumn("first_seen_run", F.row_number().over(_W.orderBy("started_at")))
+    return landed_orders(lake).join(runs, on="first_seen_run_id", how="left")
+
+
+_HASHED_SQL = f"""hashed as (select *, sha256({ORDER_PAYLOAD_SQL}) as payload_hash from d_order_versions)"""
+
+
+@register("incremental_run", _sql(("d_order_versions",), [_HASHED_SQL], """
+select order_id, cast(version as bigint) as version, payload_hash,
+  cast(case when updated_at < timestamp '1998-01-01 00:00:00' then 1 else 2 end as bigint) as first_seen_run
+from hashed where updated_at >= timestamp '1990-01-01 00:00:00'
+  and updated_at < timestamp '2100-01-01 00:00:00'"""))
+def q_incremental_run(spark, sf):
+    """Two scheduled runs (cutoffs 1998 and 2100, 15 min
+    lookback); every version lands once, in the first run that saw it."""
+    from .ingest import OrderIngestion
+    lake = fresh_lake(spark, "incremental")
+    ing = OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL)
+    ing.run(CUTOFF_1)
+    ing.run(CUTOFF_2)
+    return _run_seq(lake).select("order_id", "version", "payload_hash", "first_seen_run")
+
+
+@register("backfill_run", _sql(("d_order_versions",), [_HASHED_SQL], """
+select order_id, cast(version as bigint) as version,
+  cast(case when updated_at < timestamp '1998-01-01 00:00:00' then 1 else 2 end as bigint) as first_seen_run,
+  '1998-01-01 00:00:00.000000' as checkpoint
+from hashed where updated_at < timestamp '1999-01-01 00:00:00'"""))
+def q_backfill_run(spark, sf):
+    """A backfill over [1997-06-01, 1999-01-01) after a run to 1998 lands
+    only the unseen versions and leaves the checkpoint at 1998-01-01."""
+    from .ingest import OrderIngestion
+    lake = fresh_lake(spark, "backfill")
+    ing = OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL)
+    ing.run(CUTOFF_1)
+    ing.backfill(*BACKFILL)
+    cp = lake.read("checkpoints", schemas.CHECKPOINTS).agg(F.max("last_completed_window_end"))
+    return _run_seq(lake).select("order_id", "version", "first_seen_run",
+                                 cp.scalar().alias("checkpoint"))
+
+
+@register("conflict_ledger", _sql(("d_order_versions",), [
+    _HASHED_SQL,
+    f"""changed as (select order_id, version, sha256({ORDER_PAYLOAD_SQL.replace(
+        "cast(amount as varchar)", "cast(cast(amount + 1 as decimal(18,2)) as varchar)")}) as new_hash
+      from d_order_versions where cast(order_id as bigint) % 15 = 0)"""], """
+select h.order_id, cast(h.version as bigint) as version, h.payload_hash as existing_payload_hash,
+  c.new_hash as incoming_payload_hash, 'same_version_different_payload' as reason_code
+from hashed h join changed c on h.order_id = c.order_id and h.version = c.version"""))
+def q_conflict_ledger(spark, sf):
+    """A re-read that changes landed versions is refused; the ledger keeps
+    both hashes (no payload) and nothing else is published."""
+    from .ingest import OrderIngestion
+    lake = fresh_lake(spark, "conflict")
+    OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL).run(CUTOFF_2)
+    try:
+        OrderIngestion(lake, changed_orders(spark, sf), initial_start=INITIAL).backfill(INITIAL, CUTOFF_2)
+        raise AssertionError("conflict not detected")
+    except ValueError as exc:
+        if str(exc) != "order_version_payload_conflict":
+            raise
+    return lake.read("order_conflicts", schemas.ORDER_CONFLICTS).select(
+        "order_id", "version", "existing_payload_hash", "incoming_payload_hash", "reason_code")
+
+
+@register("classify_batch", _sql(("d_order_versions",), [
+    _HASHED_SQL,
+    f"""reread as (
+  select order_id, version, sha256({ORDER_PAYLOAD_SQL.replace("cast(amount as varchar)",
+      "cast(cast(case when cast(order_id as bigint) % 15 = 0 then amount + 1 else amount end as decimal(18,2)) as varchar)")})
+    as payload_hash from d_order_versions where cast(order_id as bigint) % 5 = 0
+  union all
+  select order_id, cast(4 as bigint), sha256(order_id || '-v4') from d_order_versions
+  where cast(order_id as bigint) % 20 = 0 and version = 1)"""], """
+select r.order_id, cast(r.version as bigint) as version,
+  case when h.order_id is null then 'new' when h.payload_hash <> r.payload_hash then 'conflict'
+       else 'duplicate' end as status
+from reread r left join hashed h on r.order_id = h.order_id and r.version = h.version"""))
+def q_classify_batch(spark, sf):
+    """A re-read of every 5th order against the landed log --
+    unchanged versions are duplicates, changed ones conflicts, v4 rows new."""
+    from ..functions.canonical import canonical_json, payload_hash
+    from ..operators.versions import classify
+
+    def hashed(df):
+        return df.select("order_id", "version",
+                         payload_hash(canonical_json(df, ORDER_PAYLOAD_COLUMNS)).alias("payload_hash"))
+    landed = hashed(d.order_versions(spark, sf))
+    changed = changed_orders(spark, sf).where(F.col("order_id").cast("bigint") % 5 == 0)
+    v4 = (d.order_versions(spark, sf)
+          .where((F.col("order_id").cast("bigint") % 20 == 0) & (F.col("version") == 1))
+          .select("order_id", F.lit(4).cast("bigint").alias("version"),
+                  F.sha2(F.concat("order_id", F.lit("-v4")), 256).alias("payload_hash")))
+    batch = hashed(changed).unionByName(v4)
+    return classify(batch, landed, ["order_id", "version"]).select("order_id", "version", "status")
+
+
+@register("payment_upsert", _payment_sql(
+    "ref as payment_id, 'p' || cast(page_no as varchar) as page_id, sha256(s) as payload_hash",
+    "qualify bool_and(invalid_fields = '') over (partition by page_no)"))
+def q_payment_upsert(spark, sf):
+    """I7 (quarantine mode): every clean page lands whole; a page with one bad
+    record lands nothing.  A replay of the same pages inserts nothing."""
+    from ..sources.events import payment_pages
+    from .ingest import PaymentIngestion, landed_payments
+    lake = fresh_lake(spark, "payments")
+    pages = payment_pages(spark, sf).withColumn("page_seq", F.substring("page_id", 2, 20).cast("bigint"))
+    ing = PaymentIngestion(lake, on_bad="quarantine")
+    ing.run(pages)
+    again = ing.run(pages)
+    if again["payments_inserted"] != 0:
+        raise AssertionError("replay inserted rows")
+    return landed_payments(lake).select("payment_id", "page_id", "payload_hash")
+
+
+# Streaming, snapshots, health ------------------------------------------------------
+def click_log(spark, sf):
+    """Topic records of the click events as a broker would hold them:
+    partition = customer mod 3, offset = 2 * event id; replays (every 10th
+    event, same payload) at offset 2 * event id + 1."""
+    from ..functions.timeutil import iso_utc
+    c = d.clicks(spark, sf)
+    value = F.to_json(F.struct("customer_id", "event_id", iso_utc("event_time").alias("event_time"), "event_type"))
+    base = c.select(F.col("customer_id").alias("key"), value.alias("value"),
+                    (F.col("customer_id").cast("bigint") % 3).cast("int").alias("partition"),
+                    (F.col("event_id").cast("bigint") * 2).alias("offset"),
+                    F.col("event_time").alias("timestamp"), "event_id")
+    replays = base.where(F.col("event_id").cast("bigint") % 10 == 0) \
+                  .withColumn("offset", F.col("offset") + 1)
+    return base, replays
+
+
+_CLICK_PAYLOAD_SQL = """cast(json_object('customer_id', customer_id, 'event_id', event_id,
+  'event_time', strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00'), 'event_type', event_type) as varchar)"""
+
+
+@register("stream_ingest", _sql(("d_clicks",), [], f"""
+select event_id, sha256({_CLICK_PAYLOAD_SQL}) as payload_hash, 'nusacommerce.clickstream' as topic,
+  cast(cast(customer_id as bigint) % 3 as bigint) as kafka_partition,
+  cast(event_id as bigint) * 2 as kafka_offset
+from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout')"""))
+def q_stream_ingest(spark, sf):
+    """Publish the click log (then its replays), drain it with
+    Structured Streaming into the lake (quarantine mode for the invalid types);
+    each event lands once, from its first delivery."""
+    from ..streaming import clicks as st
+    lake = fresh_lake(spark, "clicks")
+    topic = f"{lake.root}/_topic"
+    base, replays = click_log(spark, sf)
+    st.publish(base, {"path": topic})
+    st.publish(replays, {"path": topic})
+    counters = st.consume(spark, lake, {"path": topic, "max_files": 4}, f"{lake.root}/_stream_ckpt",
+                          on_bad="quarantine")
+    if counters["inserted"] + counters["duplicates"] + counters["quarantined"] != counters["received"]:
+        raise AssertionError(f"stream counters do not add up: {counters}")
+    return st.landed_clicks(lake).select("event_id", "payload_hash", "topic", "kafka_partition",
+                                        "kafka_offset")
+
+
+def _snapshot_lake(spark, sf):
+    from ..sources import snapshot as snap
+    from .ingest import OrderIngestion
+    lake = fresh_lake(spark, "snapshot")
+    OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL).run(CUTOFF_2)
+    root = f"{lake.root}/_snapshots"
+    snap.export_snapshot(lake, root)
+    return root
+
+
+@register("snapshot_roundtrip", _sql(("d_order_versions",), [], f"""
+select order_id, cast(version as bigint) as version, customer_id, status, cast(amount as double) as amount,
+  currency, {TS.format('created_at')} as created_at, {TS.format('updated_at')} as updated_at,
+  cast({JKT.format('created_at')} as varchar) as event_date
+from d_order_versions"""))
+def q_snapshot_roundtrip(spark, sf):
+    """Every landed version exported by business date, verified
+    (ids, paths, sizes, digests, row counts) and read back."""
+    from ..sources import snapshot as snap
+    root = _snapshot_lake(spark, sf)
+    directory, _ = snap.load_snapshot(spark, root)
+    return snap.read_snapshot_table(spark, directory, "orders")
+
+
+@register("derived_mart", ORACLE_SQL["daily_orders"])
+def q_derived_mart(spark, sf):
+    """The reference's Spark job over a verified snapshot, published
+    once as data + report, then read back."""
+    from ..sources import snapshot as snap
+    root = _snapshot_lake(spark, sf)
+    report = snap.build_spark_mart(spark, root)
+    return spark.read.parquet(f"{report['path']}/data")
+
+
+def _health_lake(spark, sf):
+    """Control state: a run to 2100, a failed quality gate, then a refused
+    backfill (a failed latest run)."""
+    from .ingest import OrderIngestion, latest_runs
+    from .quality_runner import run_gates
+    lake = fresh_lake(spark, "health")
+    OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL).run(CUTOFF_2)
+    fp, fr = fct_payments(spark, sf), fct_refunds(spark, sf)
+    try:
+        run_gates(lake, quality.gate_values(fct_orders(spark, sf), fp, fr, marts.daily_finance(fp, fr)))
+    except ValueError:
+        pass
+    try:
+        OrderIngestion(lake, changed_orders(spark, sf), initial_start=INITIAL).backfill(INITIAL, CUTOFF_2)
+    except ValueError:
+        pass
+    done = (latest_runs(lake).where(F.col("status") == "succeeded")
+            .agg(F.max("completed_at")).first()[0])
+    return lake, done.replace(tzinfo=timezone.utc)
+
+
+_HEALTH_SQL = _sql(("d_order_versions",), [], """
+select false as healthy, 'latest_ingestion_failed,missing_or_failed_quality' as reasons,
+  cast(0.0 as double) as last_success_age_seconds, false as quality_passed, true as latest_ingestion_failed,
+  cast(count(*) as bigint) as raw_orders, cast(0 as bigint) as raw_payments, cast(0 as bigint) as clickstream,
+  cast(1 as bigint) as failed_runs, cast(0 as bigint) as running_runs, cast(0 as bigint) as stale_runs
+from d_order_versions""")
+
+
+@register("health_report", _HEALTH_SQL)
+def q_health_report(spark, sf):
+    """Health of the lake, evaluated at the moment the
+    last successful run completed (so its age is 0)."""
+    from .health import health_report
+    lake, now = _health_lake(spark, sf)
+    h = health_report(lake, now=now)
+    return h.withColumn("reasons", F.array_join("reasons", ","))
+
+
+@register("metric_rows", _sql(("d_order_versions",), [], """
+select metric, value from (values ('nusa_pipeline_healthy', 0.0), ('nusa_ingestion_last_success_age_seconds', 0.0),
+  ('nusa_ingestion_latest_failed', 1.0), ('nusa_quality_last_run_passed', 0.0),
+  ('nusa_raw_payments_total', 0.0), ('nusa_clickstream_events_total', 0.0),
+  ('nusa_ingestion_failed_runs', 1.0), ('nusa_ingestion_running_runs', 0.0),
+  ('nusa_ingestion_stale_runs', 0.0)) v(metric, value)
+union all select 'nusa_raw_orders_total', cast(count(*) as double) from d_order_versions"""))
+def q_metric_rows(spark, sf):
+    """H2: the health row as ten (metric, value) gauges."""
+    from .health import health_report, metric_rows
+    lake, now = _health_lake(spark, sf)
+    return metric_rows(health_report(lake, now=now))
+
+
+def error_minutes(spark, sf):
+    """A metric history made from the events: per minute that has events, the
+    number of ``error`` events (the series of one gauge)."""
+    from ..functions.timeutil import as_utc_instant
+    from ..sources.tables import read_table
+    e = read_table(spark, sf, "events").select(F.date_trunc("minute", as_utc_instant("ts")).alias("ts"),
+                                               "event_type")
+    return (e.groupBy("ts").agg(F.count_if(F.col("event_type") == "error").cast("double").alias("value"))
+             .select(F.lit("error_events").alias("metric"), "ts", "value"))
+
+
+@register("alert_hold", """
+with s as (select 'error_events' as metric, date_trunc('minute', ts) as ts,
+             cast(count(*) filter (where event_type = 'error') as double) as value
+           from events group by all),
+c as (select *, value > 0 as cond, lag(value > 0) over (order by ts) as prev from s),
+i as (select *, case when cond then max(case when cond and not coalesce(prev, false) then ts end)
+        over (order by ts rows between unbounded preceding and current row) end as island_start from c)
+select 'ErrorEventsPersist' as alert, metric, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, value, cond,
+  coalesce(cond and epoch(ts) - epoch(island_start) >= 120, false) as firing
+from i""")
+def q_alert_hold(spark, sf):
+    """H3: an alert with a 2-minute hold over a per-minute gauge from events."""
+    from datetime import timedelta
+    from .health import alert_states
+    rule = (("ErrorEventsPersist", "error_events", "value > 0", timedelta(minutes=2)),)
+    return alert_states(error_minutes(spark, sf), rule)
+
+
+@register("summary", _sql(("d_payments", "d_refunds", "d_clicks"), [FCT_PAYMENTS_SQL, FCT_REFUNDS_SQL,
+                                                                    DAILY_FINANCE_SQL], f"""
+select 'finance' as section, cast(date_day as varchar) as date_day, currency as label,
+  cast(net as double) as value from daily_finance
+union all
+select 'clickstream', cast({JKT.format('event_time')} as varchar), event_type, cast(count(*) as double)
+from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout') group by all"""))
+def q_summary(spark, sf):
+    """The run summary -- finance by date, clickstream by date
+    and type -- as one ordered report over the marts."""
+    from ..functions.contracts import click_errors
+    fin = daily_finance_frame(spark, sf).select(
+        F.lit("finance").alias("section"), "date_day", F.col("currency").alias("label"),
+        F.col("net").cast("double").alias("value"))
+    c = d.clicks(spark, sf)
+    clk = marts.daily_clickstream(c.where(F.size(click_errors(c)) == 0)).select(
+        F.lit("clickstream").alias("section"), "date_day", F.col("event_type").alias("label"),
+        F.col("event_count").cast("double").alias("value"))
+    return fin.unionByName(clk).orderBy("section", "date_day", "label")

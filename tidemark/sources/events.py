@@ -10,9 +10,9 @@ input.  Defects are injected by key, one kind per row:
   order_id; 10 extras (extra_fields object plus an unknown top-level key that
   overrides it); 11 clean.
 
-  payments (key mod 11): 1 version true; 2 amount "-5.00"; 3 currency USD;
+  payments (key mod 5000): 1 version true; 2 amount "-5.00"; 3 currency USD;
   4 updated_at without zone; 5 blank payment_id; 6 amount "NaN"; status
-  "failed" (key mod 7 = 0) also fails; the rest are clean.
+  "failed" (key mod 2000 = 7) also fails; the rest are clean.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def order_event_text(dialect: str) -> str:
 
 
 def payment_text(dialect: str) -> str:
-    m = "(o_orderkey % 11)"
+    m = "(o_orderkey % 5000)"
     key = "cast(o_orderkey as string)"
     amount = "cast(cast(o_totalprice as decimal(18,2)) as string)"
     t = _ts_text(dialect, "o_orderdate")
@@ -71,7 +71,7 @@ def payment_text(dialect: str) -> str:
   case when {m} = 3 then '"currency":"USD",' else '"currency":"IDR",' end,
   concat('"order_id":"', {key}, '",'),
   case when {m} = 5 then '"payment_id":" ",' else concat('"payment_id":"', {key}, '",') end,
-  case when o_orderkey % 7 = 0 then '"status":"failed",' else '"status":"succeeded",' end,
+  case when o_orderkey % 2000 = 7 then '"status":"failed",' else '"status":"succeeded",' end,
   case when {m} = 4 then concat('"updated_at":"', {t}, '",')
        else concat('"updated_at":"', {t}, '+07:00",') end,
   case when {m} = 1 then '"version":true' else '"version":1' end,
