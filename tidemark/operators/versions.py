@@ -50,14 +50,16 @@ def classify(batch: DataFrame, landed: DataFrame, keys: Sequence[str],
     rest = [c for c in batch.columns if c not in keys]
     dedup = batch.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("batch_copies"),
-        F.count_distinct(F.col(hash_col)).alias("_hashes"),
+        # several hashes for one key <=> min differs from max (one aggregate,
+        # no distinct-aggregation shuffle)
+        (F.min(F.col(hash_col)) != F.max(F.col(hash_col))).cast("int").alias("_hashes"),
         F.min(F.struct(*rest)).alias("_row"))
     dedup = dedup.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest],
                          "batch_copies", "_hashes")
     stored = landed.select(*keys, F.col(hash_col).alias("existing_hash"),
                            F.lit(True).alias("_stored"))
     j = dedup.join(stored, on=keys, how="left")
-    status = (F.when(F.col("_hashes") > 1, F.lit(CONFLICT))
+    status = (F.when(F.col("_hashes") == 1, F.lit(CONFLICT))
                .when(F.col("_stored").isNull(), F.lit(NEW))
                .when(F.col("existing_hash").isNotNull()
                      & (F.col("existing_hash") != F.col(hash_col)), F.lit(CONFLICT))
@@ -73,3 +75,25 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[st
     rest = [c for c in incoming.columns if c not in keys]
     first = latest_by(incoming, keys, rest, descending=False) if rest else incoming.dropDuplicates(keys)
     return first.join(existing.select(*keys), on=keys, how="left_anti")
+
+
+# A batch whose key set is broadcast must be provably small: its row count is
+# measured (it is a written staging table) and compared with this bound.
+BROADCAST_KEY_ROWS = 5_000_000
+
+
+def landed_for_batch(landed: DataFrame, batch: DataFrame, keys: Sequence[str],
+                     batch_rows: int, max_broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
+    """The landed rows whose key occurs in the batch.
+
+    A left outer join can only broadcast its right side, so joining the batch
+    to a growing landed log directly would shuffle the whole log every run.
+    Pruning the log first with a semi join on the batch keys lets the keys be
+    the broadcast side -- only when the measured batch size is under the
+    bound; above it the semi join stays a sort-merge join.
+    """
+    keys = list(keys)
+    batch_keys = batch.select(*keys).distinct()
+    if batch_rows <= max_broadcast_rows:
+        batch_keys = F.broadcast(batch_keys)
+    return landed.join(batch_keys, on=keys, how="left_semi")

@@ -1017,3 +1017,39 @@ def q_summary(spark, sf):
         F.lit("clickstream").alias("section"), "date_day", F.col("event_type").alias("label"),
         F.col("event_count").cast("double").alias("value"))
     return fin.unionByName(clk).orderBy("section", "date_day", "label")
+
+
+@register("warehouse_build", _sql(("d_order_versions", "d_customer_history", "d_payments", "d_refunds",
+                                   "d_items", "d_products", "d_clicks"),
+                                  [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_PAYMENTS_SQL,
+                                   FCT_REFUNDS_SQL, FCT_ITEMS_SQL, DAILY_FINANCE_SQL], f"""
+select 'dim_customer' as model, cast(count(*) as bigint) as row_count from dim_customer
+union all select 'dim_product', count(*) from d_products
+union all select 'fct_orders', count(*) from fct_orders
+union all select 'fct_order_items', count(*) from fct_order_items
+union all select 'fct_payments', count(*) from fct_payments
+union all select 'fct_refunds', count(*) from fct_refunds
+union all select 'daily_finance', count(*) from daily_finance
+union all select 'daily_clickstream', count(*) from (select distinct {JKT.format('event_time')}, event_type
+  from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout'))
+union all select 'orders_by_city_membership', count(*) from (select distinct o.order_date, c.city, c.membership,
+  o.currency from fct_orders o join dim_customer c using (customer_sk) where o.status <> 'cancelled')
+union all select 'dim_date', 61"""))
+def q_warehouse_build(spark, sf):
+    """Every model built in reference order; table models written once
+    and read back by their dependants; rows per table model."""
+    from ..functions.contracts import click_errors
+    from . import models
+    c = d.clicks(spark, sf)
+    sources = {"order_versions": d.order_versions(spark, sf), "payment_versions": d.payments(spark, sf),
+               "customer_history": d.customer_history(spark, sf), "products": d.products(spark, sf),
+               "order_items": d.order_items(spark, sf), "refunds": d.refunds(spark, sf),
+               "clicks": c.where(F.size(click_errors(c)) == 0)}
+    root = f"{_session.shared_dir(spark)}/tidemark-models/{_uuid.uuid4().hex}"
+    built = models.build(spark, sources, root)
+    counts = [f.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("model"), "row_count")
+              for n, f in built.items() if models.MODELS.get(n, ("table",))[0] == "table"]
+    out = counts[0]
+    for x in counts[1:]:
+        out = out.unionByName(x)
+    return out

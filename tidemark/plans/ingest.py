@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.canonical import canonical_json, payload_hash
 from ..functions.contracts import check_payments
-from ..operators.versions import CONFLICT, NEW, classify
+from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
 from ..sources import feed
 from ..sources.lake import ConcurrentCommit, Lake
 from ..sources.scan import SOURCE_COLUMNS, Window, change_scan
@@ -93,8 +93,12 @@ class OrderIngestion:
             staged = batch.select(
                 "order_id", "version", F.col("updated_at").alias("source_updated_at"),
                 payload.alias("payload")).withColumn("payload_hash", payload_hash(F.col("payload")))
-            landed = self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS) \
-                .select("order_id", "version", "payload_hash")
+            # one pass over the source window: the staged batch is a written table
+            staged, batch_rows = self.lake.scratch(staged, f"orders-{run_id}")
+            landed = landed_for_batch(
+                self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS)
+                    .select("order_id", "version", "payload_hash"),
+                staged, ["order_id", "version"], batch_rows)
             labelled = classify(staged, landed, ["order_id", "version"]).select(
                 "order_id", "version", "source_updated_at", "payload", "payload_hash",
                 F.current_timestamp().alias("ingested_at"), F.lit(run_id).alias("first_seen_run_id"),
@@ -206,8 +210,10 @@ class PaymentIngestion:
                            F.try_variant_get(v, "$.version", "bigint").alias("version"),
                            F.try_variant_get(v, "$.order_id", "string").alias("order_id"),
                            (F.size("invalid_fields") > 0).alias("bad"))
-        landed = self.lake.read("raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS) \
-            .select("payment_id", "version", "payload_hash")
+        recs, n = self.lake.scratch(recs, "payments")
+        landed = landed_for_batch(self.lake.read("raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS)
+                                  .select("payment_id", "version", "payload_hash"),
+                                  recs, ["payment_id", "version"], n)
         labelled = classify(recs.where(~F.col("bad")).drop("bad"), landed, ["payment_id", "version"])
         invalid = recs.where(F.col("bad")).select(
             *[F.col(c) if c in recs.columns else F.lit(None).cast(labelled.schema[c].dataType).alias(c)

@@ -24,7 +24,8 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -151,6 +152,15 @@ class Lake:
         df.write.mode("errorifexists").parquet(f"{self.root}/tables/{table}/{token}")
         return token
 
+    def scratch(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Write ``df`` once to a staging folder of this lake and return it read
+        back with its row count (measured during the write).  Cuts the lineage:
+        later steps read files, so a lost executor never recomputes the source."""
+        path = f"{self.root}/staging/{name}-{uuid.uuid4().hex}"
+        obs = Observation(f"scratch_{name}_{uuid.uuid4().hex[:8]}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
     def commit(self, staged: dict[str, list[str]], info: dict | None = None,
                batch: tuple[str, int] | None = None) -> int:
         """Publish staged directories atomically under the next commit number."""

@@ -24,7 +24,7 @@ from .. import schemas
 from ..functions.canonical import payload_hash
 from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures
 from ..functions.timeutil import has_zone
-from ..operators.versions import CONFLICT, NEW, classify
+from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
 from ..sources.lake import Lake
 
 TOPIC = "nusacommerce.clickstream"
@@ -106,12 +106,14 @@ class ClickSink:
         if batch_id in self.lake.batch_ids(STREAM):
             return  # replay of a committed batch
         spark = batch.sparkSession
-        checked = check_clicks(batch)
+        # the micro-batch is written once; every later step reads the files
+        checked, n = self.lake.scratch(check_clicks(batch), f"clicks-{batch_id}")
         good = checked.where(~F.col("bad_json") & (F.size("invalid_fields") == 0))
         rows = good.select("event_id", F.col("partition").alias("kafka_partition"),
                            F.col("offset").alias("kafka_offset"), "topic", "payload",
                            payload_hash(F.col("payload")).alias("payload_hash"))
-        landed = self.lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS).select("event_id", "payload_hash")
+        landed = landed_for_batch(self.lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS)
+                                  .select("event_id", "payload_hash"), rows, ["event_id"], n)
         labelled = classify(rows, landed, ["event_id"]).withColumn("ingested_at", F.current_timestamp())
         bad = checked.where(F.col("bad_json") | (F.size("invalid_fields") > 0)).select(
             "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
