@@ -74,45 +74,59 @@ def customer_asof_fixture(fct_orders: DataFrame, dim_customer: DataFrame, order_
     return j.where((F.col("city") != city) | (F.col("membership") != membership)).select("order_id")
 
 
-def count_rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("failures"))
+# The 20 declared column tests: (model, column, test, parent model, parent column / values).
+DECLARED_TESTS = (
+    ("dim_customer", "customer_sk", "unique", None, None),
+    ("dim_customer", "customer_sk", "not_null", None, None),
+    ("dim_product", "product_id", "unique", None, None),
+    ("dim_product", "product_id", "not_null", None, None),
+    ("fct_orders", "order_id", "unique", None, None),
+    ("fct_orders", "order_id", "not_null", None, None),
+    ("fct_orders", "customer_sk", "not_null", None, None),
+    ("fct_orders", "customer_sk", "relationships", "dim_customer", "customer_sk"),
+    ("fct_orders", "currency", "accepted_values", None, ("IDR",)),
+    ("fct_order_items", "order_item_sk", "unique", None, None),
+    ("fct_order_items", "order_item_sk", "not_null", None, None),
+    ("fct_order_items", "order_id", "relationships", "fct_orders", "order_id"),
+    ("fct_payments", "payment_id", "unique", None, None),
+    ("fct_payments", "payment_id", "not_null", None, None),
+    ("fct_payments", "order_id", "relationships", "fct_orders", "order_id"),
+    ("fct_refunds", "refund_id", "unique", None, None),
+    ("fct_refunds", "refund_id", "not_null", None, None),
+    ("fct_refunds", "order_id", "relationships", "fct_orders", "order_id"),
+    ("dim_date", "date_day", "unique", None, None),
+    ("dim_date", "date_day", "not_null", None, None),
+)
 
 
 def generic_tests(models: dict[str, DataFrame]) -> DataFrame:
-    """Q7-Q10: the 20 declared column tests as (model, column_name, test, failures)."""
-    m = models
-    u, nn = checks.unique_violations, lambda df, c: df.where(F.col(c).isNull())
-    rel = checks.relationship_violations
-    plan = [
-        ("dim_customer", "customer_sk", "unique", u(m["dim_customer"], ["customer_sk"])),
-        ("dim_customer", "customer_sk", "not_null", nn(m["dim_customer"], "customer_sk")),
-        ("dim_product", "product_id", "unique", u(m["dim_product"], ["product_id"])),
-        ("dim_product", "product_id", "not_null", nn(m["dim_product"], "product_id")),
-        ("fct_orders", "order_id", "unique", u(m["fct_orders"], ["order_id"])),
-        ("fct_orders", "order_id", "not_null", nn(m["fct_orders"], "order_id")),
-        ("fct_orders", "customer_sk", "not_null", nn(m["fct_orders"], "customer_sk")),
-        ("fct_orders", "customer_sk", "relationships",
-         rel(m["fct_orders"], ["customer_sk"], m["dim_customer"], ["customer_sk"])),
-        ("fct_orders", "currency", "accepted_values",
-         checks.accepted_values_violations(m["fct_orders"], "currency", ["IDR"])),
-        ("fct_order_items", "order_item_sk", "unique", u(m["fct_order_items"], ["order_item_sk"])),
-        ("fct_order_items", "order_item_sk", "not_null", nn(m["fct_order_items"], "order_item_sk")),
-        ("fct_order_items", "order_id", "relationships",
-         rel(m["fct_order_items"], ["order_id"], m["fct_orders"], ["order_id"])),
-        ("fct_payments", "payment_id", "unique", u(m["fct_payments"], ["payment_id"])),
-        ("fct_payments", "payment_id", "not_null", nn(m["fct_payments"], "payment_id")),
-        ("fct_payments", "order_id", "relationships",
-         rel(m["fct_payments"], ["order_id"], m["fct_orders"], ["order_id"])),
-        ("fct_refunds", "refund_id", "unique", u(m["fct_refunds"], ["refund_id"])),
-        ("fct_refunds", "refund_id", "not_null", nn(m["fct_refunds"], "refund_id")),
-        ("fct_refunds", "order_id", "relationships",
-         rel(m["fct_refunds"], ["order_id"], m["fct_orders"], ["order_id"])),
-        ("dim_date", "date_day", "unique", u(m["dim_date"], ["date_day"])),
-        ("dim_date", "date_day", "not_null", nn(m["dim_date"], "date_day")),
-    ]
+    """Q7-Q10: the declared column tests as (model, column_name, test, failures).
+
+    Tests of one model become constraint rules checked together: all row rules
+    (not_null, accepted_values) in one aggregate pass, unique keys by grouped
+    counts, relationships by anti joins.  Run it over materialised models
+    (``models.build``) so each test reads files instead of recomputing."""
     out = None
-    for model, col, test, bad in plan:
-        f = count_rows(bad).select(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
-                                   F.lit(test).alias("test"), "failures")
-        out = f if out is None else out.unionByName(f)
+    for model in dict.fromkeys(t[0] for t in DECLARED_TESTS):
+        rules = []
+        for m, col, test, parent, extra in DECLARED_TESTS:
+            if m != model:
+                continue
+            name = f"{m}|{col}|{test}"
+            if test == "not_null":
+                rules.append(checks.Constraint(name, "not_null", (col,)))
+            elif test == "accepted_values":
+                vals = ", ".join(f"'{v}'" for v in extra)
+                # NULL passes, as with NOT IN
+                rules.append(checks.Constraint(name, "check", predicate=f"{col} in ({vals})"))
+            elif test == "unique":
+                rules.append(checks.Constraint(name, "unique", (col,)))
+            else:
+                rules.append(checks.Constraint(name, "foreign_key", (col,), parent=parent,
+                                               parent_columns=(extra,)))
+        res = checks.check_constraints(models[model], rules, models)
+        part = res.select(F.split("constraint_name", "[|]").alias("p"), "violations").select(
+            F.col("p")[0].alias("model"), F.col("p")[1].alias("column_name"), F.col("p")[2].alias("test"),
+            F.col("violations").alias("failures"))
+        out = part if out is None else out.unionByName(part)
     return out
