@@ -89,3 +89,19 @@ def test_click_contract_blank_spaces_pass(spark):
     assert out[0]["invalid_fields"] == [] and not out[0]["bad_json"]
     assert out[1]["invalid_fields"] == ["event_id", "event_type", "event_time"]
     assert out[2]["bad_json"]
+
+
+def test_batch_structure(spark):
+    import pytest
+
+    from tidemark.functions.contracts import BatchShapeError, batch_structure
+    ok = spark.createDataFrame([("a", 1, "2026-01-01")], "order_id string, version bigint, updated_at string")
+    assert batch_structure(ok)["keys"] == 1
+    with pytest.raises(BatchShapeError, match="missing required"):
+        batch_structure(ok.drop("version"))
+    nulls = spark.createDataFrame([("a", None, "x")], "order_id string, version bigint, updated_at string")
+    with pytest.raises(BatchShapeError, match="NULL order metadata"):
+        batch_structure(nulls)
+    dup = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "order_id string, version bigint, updated_at string")
+    with pytest.raises(BatchShapeError, match="duplicate order IDs"):
+        batch_structure(dup)

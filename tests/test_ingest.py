@@ -147,3 +147,11 @@ def test_click_stream_bad_json_stops(spark, lake):
     with pytest.raises(Exception, match="invalid_clickstream_json"):
         st.consume(spark, lake, {"path": topic}, os.path.join(tempfile.mkdtemp(), "c"))
     assert st.landed_clicks(lake).count() == 0
+
+
+def test_click_stream_bad_contract_stops(spark, lake):
+    topic = tempfile.mkdtemp(prefix="topic-")
+    st.publish(click_records(spark, [dict(CLICKS[0], event_type="signup")]), {"path": topic})
+    with pytest.raises(Exception, match="invalid_clickstream_contract"):
+        st.consume(spark, lake, {"path": topic}, os.path.join(tempfile.mkdtemp(), "c"))
+    assert st.landed_clicks(lake).count() == 0

@@ -59,19 +59,6 @@ def amount_kind(text: Column) -> Column:
 
 
 # ----------------------------------------------------------------- order events
-def _field(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
-
-
-def _type(v: Column, name: str) -> Column:
-    return F.schema_of_variant(_field(v, name))
-
-
-def _text(v: Column, name: str) -> Column:
-    """The field's text when it is a JSON string, else NULL."""
-    return F.when(_type(v, name) == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
-
-
 def _probe(df: DataFrame, v: Column, names) -> DataFrame:
     """Parse once, then one projection that extracts each field, its JSON type
     and (for strings) its text; later predicates only read these columns."""

@@ -95,11 +95,6 @@ def check_constraints(df: DataFrame, rules: Sequence[Constraint],
     return out
 
 
-def accepted_values_violations(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Q10: rows whose value is outside the list (NULL passes, like NOT IN)."""
-    return df.where(~F.col(col).isin(*values))
-
-
 def history_overlaps(history: DataFrame, key: str = "customer_id", valid_from: str = "valid_from",
                      valid_to: str = "valid_to") -> DataFrame:
     """Rows whose validity starts before an earlier row of the same key ends.

@@ -211,9 +211,3 @@ select cast(event_id as varchar) as event_id, cast(user_id as varchar) as custom
   ts as event_time
 from events""",
 }
-
-
-def with_views(sql: str, *names: str) -> str:
-    """Prefix an oracle query with the derived views it uses, as CTEs."""
-    ctes = ",\n".join(f"{n} as ({DERIVED_SQL[n]})" for n in names)
-    return f"with {ctes}\n{sql}" if names else sql

@@ -50,4 +50,4 @@ def explode_records(parsed: DataFrame) -> DataFrame:
     recs = parsed.select("page_id", "next_cursor",
                          F.posexplode(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"))
                           .alias("pos", "record"))
-    return recs.withColumn("payload", F.to_json("record"))
+    return recs.withColumn("payload", F.to_json("record"))   # canonical: sorted keys, compact

@@ -6,6 +6,8 @@ pushdown reach the scan because callers only ``select``/``where`` on top.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -16,4 +18,21 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown table {name}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one split per core.
+
+    Parquet splits only at row-group boundaries; an input made of one large
+    row group is read by a single task, and all per-row work before the first
+    shuffle then runs on one core.  Only in that case are the rows dealt
+    round-robin over the session's parallelism.  Inputs at scale have far more
+    splits than cores, so there this is a no-op and adds no shuffle.
+    """
+    if os.environ.get("TIDEMARK_NO_SPREAD"):
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

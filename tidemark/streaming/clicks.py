@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.canonical import payload_hash
+from ..functions.canonical import canonical_free_json, payload_hash
 from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures
 from ..functions.timeutil import has_zone
 from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
@@ -61,6 +61,8 @@ def publish(records: DataFrame, target: dict) -> int:
 def read_clicks(spark: SparkSession, options: dict) -> DataFrame:
     """A bounded-per-trigger stream of topic records from the earliest offset."""
     if "kafka.bootstrap.servers" in options:
+        if not kafka_available(spark):
+            raise RuntimeError("the Kafka connector is not on the classpath")
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", options["kafka.bootstrap.servers"])
                 .option("subscribe", options.get("topic", TOPIC))
@@ -87,7 +89,7 @@ def check_clicks(batch: DataFrame) -> DataFrame:
                     ("event_time", ~F.coalesce(has_zone(F.col("_s_event_time")), F.lit(False))))
     out = p.select("*", F.col("_m").isNull().alias("bad_json"), errs.alias("invalid_fields"),
                    F.col("_s_event_id").alias("event_id"),
-                   F.to_json(F.try_parse_json(F.col("value"))).alias("payload"))
+                   canonical_free_json(F.col("value")).alias("payload"))
     return _probe_cleanup(out)
 
 
