@@ -4,17 +4,19 @@ W1-W3  latest_by: keep the newest row per key.
 J4/J6  classify: label incoming versioned rows against the landed log as
        new / duplicate / conflict in one join, deduplicating the batch first.
 
-``latest_by`` is a grouped ``max(struct(order..., rest...))`` rather than a
-ranked window: the aggregate combines map-side, so a hot key that holds a
-third of all rows shrinks to one row per input partition before the shuffle,
-and no task ever has to sort a whole key group.
+``latest_by`` is ``row_number() = 1`` over the key.  Spark plans it with a
+*partial* WindowGroupLimit before the shuffle (each map task keeps only its
+newest row per key) and a final one after it, so a hot key that holds a third
+of all rows shrinks to one row per input partition before it is shuffled, and
+no task ever sorts a whole key group.  (Measured at sf0.1: faster than a
+grouped ``max(struct(...))``, which needs a sort-based aggregate.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,10 +26,9 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     by the remaining columns so the pick is deterministic."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*order, *rest)
-    pick = F.max(packed) if descending else F.min(packed)
-    out = df.groupBy(*keys).agg(pick.alias("_pick"))
-    return out.select(*[F.col(c) if c in keys else F.col(f"_pick.{c}").alias(c) for c in df.columns])
+    cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order + rest]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*cols))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
 NEW, DUPLICATE, CONFLICT = "new", "duplicate", "conflict"
