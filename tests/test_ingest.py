@@ -155,3 +155,14 @@ def test_click_stream_bad_contract_stops(spark, lake):
     with pytest.raises(Exception, match="invalid_clickstream_contract"):
         st.consume(spark, lake, {"path": topic}, os.path.join(tempfile.mkdtemp(), "c"))
     assert st.landed_clicks(lake).count() == 0
+
+
+def test_lake_constraints_hold_after_runs(spark, lake):
+    from tidemark.plans.quality import lake_constraints
+    ing = OrderIngestion(lake, source(spark))
+    ing.run(CUTOFF)
+    ing.run(CUTOFF)
+    PaymentIngestion(lake).run(pages_of(spark, PAYMENT_RECORDS))
+    res = {(r["table_name"], r["constraint_name"]): r["violations"] for r in lake_constraints(lake).collect()}
+    assert res and all(v == 0 for v in res.values()), res
+    assert ("raw_order_versions", "raw_order_pk") in res

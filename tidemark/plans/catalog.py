@@ -6,19 +6,21 @@ feeds Spark derives from them) and returns ``portable`` columns.
 
 from __future__ import annotations
 
+import uuid as _uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas, session as _session
+from .. import schemas
+from .. import session as _session
 from ..functions.portable import portable
-from ..sources import derived as d
-import uuid as _uuid
-from datetime import datetime, timezone
-
 from ..operators import checks
 from ..operators.versions import insert_if_absent
+from ..sources import derived as d
 from ..sources import scan
-from . import marts, quality, warehouse as wh
+from . import marts, quality
+from . import warehouse as wh
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -338,8 +340,7 @@ def built_models(spark, sf):
 def q_generic_tests(spark, sf):
     """Q7-Q10: the 20 declared column tests over the materialised models; the
     date dimension spans the order dates."""
-    from ..functions.timeutil import date_parts
-    built, root = built_models(spark, sf)
+    built, _ = built_models(spark, sf)
     b = order_calendar(spark, sf)
     built["dim_date"] = b.select("date_day", *[c for c in b.columns if c != "date_day"])
     return quality.generic_tests(built)

@@ -130,3 +130,19 @@ def generic_tests(models: dict[str, DataFrame]) -> DataFrame:
             F.col("violations").alias("failures"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def lake_constraints(lake) -> DataFrame:
+    """V7 over a lake: the declared rules of every landed and control table as
+    (table_name, constraint_name, violations), one plan."""
+    from .. import schemas
+    tables = {"raw_order_versions": schemas.RAW_ORDER_VERSIONS,
+              "raw_payment_versions": schemas.RAW_PAYMENT_VERSIONS,
+              "clickstream_events": schemas.CLICKSTREAM_EVENTS,
+              "ingestion_runs": schemas.INGESTION_RUNS}
+    out = None
+    for name, schema in tables.items():
+        res = checks.check_constraints(lake.read(name, schema), schemas.RULES[name]) \
+            .select(F.lit(name).alias("table_name"), "constraint_name", "violations")
+        out = res if out is None else out.unionByName(res)
+    return out
