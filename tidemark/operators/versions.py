@@ -80,7 +80,7 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[st
 
 # A batch whose key set is broadcast must be provably small: its row count is
 # measured (it is a written staging table) and compared with this bound.
-BROADCAST_KEY_ROWS = 5_000_000
+BROADCAST_KEY_ROWS = 1_000_000   # about 50 MB of (id, version) keys
 
 
 def landed_for_batch(landed: DataFrame, batch: DataFrame, keys: Sequence[str],

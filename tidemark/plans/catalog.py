@@ -805,7 +805,7 @@ def q_conflict_ledger(spark, sf):
     f"""reread as (
   select order_id, version, sha256({ORDER_PAYLOAD_SQL.replace("cast(amount as varchar)",
       "cast(cast(case when cast(order_id as bigint) % 15 = 0 then amount + 1 else amount end as decimal(18,2)) as varchar)")})
-    as payload_hash from d_order_versions where cast(order_id as bigint) % 5 = 0
+    as payload_hash from d_order_versions
   union all
   select order_id, cast(4 as bigint), sha256(order_id || '-v4') from d_order_versions
   where cast(order_id as bigint) % 20 = 0 and version = 1)"""], """
@@ -814,8 +814,9 @@ select r.order_id, cast(r.version as bigint) as version,
        else 'duplicate' end as status
 from reread r left join hashed h on r.order_id = h.order_id and r.version = h.version"""))
 def q_classify_batch(spark, sf):
-    """A re-read of every 5th order against the landed log --
-    unchanged versions are duplicates, changed ones conflicts, v4 rows new."""
+    """A full re-read of the source against the landed log --
+    unchanged versions are duplicates, every 15th order changed its amount
+    (conflicts), and every 20th order gained a version 4 (new)."""
     from ..functions.canonical import canonical_json, payload_hash
     from ..operators.versions import classify
 
@@ -823,12 +824,11 @@ def q_classify_batch(spark, sf):
         return df.select("order_id", "version",
                          payload_hash(canonical_json(df, ORDER_PAYLOAD_COLUMNS)).alias("payload_hash"))
     landed = hashed(d.order_versions(spark, sf))
-    changed = changed_orders(spark, sf).where(F.col("order_id").cast("bigint") % 5 == 0)
     v4 = (d.order_versions(spark, sf)
           .where((F.col("order_id").cast("bigint") % 20 == 0) & (F.col("version") == 1))
           .select("order_id", F.lit(4).cast("bigint").alias("version"),
                   F.sha2(F.concat("order_id", F.lit("-v4")), 256).alias("payload_hash")))
-    batch = hashed(changed).unionByName(v4)
+    batch = hashed(changed_orders(spark, sf)).unionByName(v4)
     return classify(batch, landed, ["order_id", "version"]).select("order_id", "version", "status")
 
 
