@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from .timeutil import has_zone
 
-# Fixed values of the contracts.
+# Fixed values of the contracts (P14: currency, hash and id patterns).
 CLICK_TYPES = ("page_view", "add_to_cart", "checkout")
 ORDER_EVENT_TYPES = ("ORDER_CREATED", "PAYMENT_COMPLETED", "ORDER_CANCELLED", "REFUND_ISSUED")
 ORDER_EVENT_FIELDS = ("event_id", "order_id", "customer_id", "event_type", "event_time",

@@ -1,5 +1,8 @@
 """Marts (M10-M13) and their aggregates (A1-A4).
 
+Filters (P11): ``status <> 'cancelled'`` after the dedup, ``status = 'succeeded'``
+for revenue.
+
 Each mart is a function from DataFrames to a DataFrame; grouping keys are few
 (date x currency x ...) so the partial aggregates before the shuffle are
 tiny, and nothing is collected.

@@ -1,5 +1,8 @@
-"""Quality gates (Q1-Q6), declared model tests (Q7-Q10) and singular tests
-(Q11-Q15) over the warehouse frames."""
+"""Quality gates (Q1 orders_loaded, Q2 customer_mapping, Q3 orphan_payments,
+Q4 finance_reconciliation, Q5 negative_payment_amount; Q6 runner), declared
+model tests (Q7 unique, Q8 not_null, Q9 relationships, Q10 accepted_values)
+and singular tests (Q11-Q15) over the warehouse frames.  Null-safe compares
+and ``coalesce(sum, 0)`` (P12) follow the reference's ``is distinct from``."""
 
 from __future__ import annotations
 

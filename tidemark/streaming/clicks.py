@@ -7,7 +7,7 @@ partition, offset, timestamp.  Everything after ``read_clicks`` is shared.
 Landing runs in ``foreachBatch``: the micro-batch is parsed and checked with
 column expressions (V5), canonicalised and hashed (P1, P2), classified against
 the landed events by ``event_id`` (J4; in-batch copies with different hashes
-are a conflict), written once split by status, and published by one lake
+are a conflict -- T2), written once split by status, and published by one lake
 commit that records the stream's batch id.  A replayed batch id is skipped
 (T1), so Spark's at-least-once delivery cannot land a row twice; offsets are
 committed by Spark only after ``foreachBatch`` returns.
@@ -94,7 +94,7 @@ def check_clicks(batch: DataFrame) -> DataFrame:
 
 
 class ClickSink:
-    """``foreachBatch`` target.  ``on_bad``: ``fail`` (parity: bad JSON, a bad
+    """``foreachBatch`` target.  ``on_bad``: ``fail`` (parity, T3: bad JSON, a bad
     contract or a conflict stops the stream before its offsets commit) or
     ``quarantine`` (bad records go to a side table, the stream continues)."""
 
