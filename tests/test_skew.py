@@ -36,3 +36,28 @@ def test_classify_hot_key_in_batch(spark):
     landed = spark.createDataFrame([], "order_id string, version bigint, payload_hash string")
     r = classify(df, landed, ["order_id", "version"]).first()
     assert r["status"] == "conflict" and r["batch_copies"] == 10000
+
+
+def test_history_overlap_hot_customer(spark):
+    from tidemark.operators.checks import history_overlaps
+    # one customer holds a third of the rows: back-to-back ranges, one overlap deep inside
+    n = 3000
+    rows = spark.range(n).select(
+        F.lit("hot").alias("customer_id"),
+        F.expr("timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int), 0, 0)").alias("valid_from"),
+        F.expr("timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int) + "
+               "case when id = 1500 then 5 else 1 end, 0, 0)").alias("valid_to"))
+    others = spark.range(2 * n).select(F.col("id").cast("string").alias("customer_id"),
+                                       F.lit("2020-01-01 00:00:00").cast("timestamp").alias("valid_from"),
+                                       F.lit(None).cast("timestamp").alias("valid_to"))
+    data = rows.unionByName(others)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spans = (data.repartitionByRange(8, "customer_id", "valid_from").where("customer_id = 'hot'")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert spans > 1          # the hot customer really is split over partitions
+        got = sorted((r["customer_id"], str(r["valid_from"])) for r in history_overlaps(data).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # rows starting at hours 1501..1504 begin before the hour-1500 row ends
+    assert [g[0] for g in got] == ["hot"] * 4

@@ -99,17 +99,38 @@ def history_overlaps(history: DataFrame, key: str = "customer_id", valid_from: s
                      valid_to: str = "valid_to") -> DataFrame:
     """Rows whose validity starts before an earlier row of the same key ends.
 
-    Replaces the theta self join by a running ``max(valid_to)`` over the earlier
-    rows (open end = +infinity), which is exact because (key, valid_from) is a
-    key of a history table.  One sort per key; a history key holds one row
-    per attribute change, so no key group is large.
+    Exact replacement of the theta self join by a running ``max(valid_to)`` over
+    the earlier rows (open end = +infinity), computed without ever holding one
+    key's rows in one task:
+
+    1. range-partition by (key, valid_from): partitions are ordered, balanced by
+       sampling, and a hot key is split over several consecutive partitions;
+    2. inside each (partition, key) group -- bounded by the partition size -- the
+       running maximum of the earlier rows and the group maximum;
+    3. the carry of a (partition, key): the maximum over the same key's groups
+       in earlier partitions.  A key has at most one group per partition, so
+       this window holds at most one row per partition the key spans;
+    4. a row overlaps when it starts before max(running max, carry).
     """
     far = F.lit("9999-12-31 23:59:59").cast("timestamp")
-    w = (Window.partitionBy(key).orderBy(valid_from)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    prior_end = F.max(F.coalesce(F.col(valid_to), far)).over(w)
-    return history.withColumn("_prior_end", prior_end).where(F.col("_prior_end") > F.col(valid_from)) \
-                  .drop("_prior_end")
+    end = F.coalesce(F.col(valid_to), far)
+    ranged = (history.repartitionByRange(key, valid_from)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_end", end))
+    grp = Window.partitionBy("_pid", key)
+    ordered = grp.orderBy(valid_from).rowsBetween(Window.unboundedPreceding, -1)
+    local = (ranged.withColumn("_prior", F.max("_end").over(ordered))
+                   .withColumn("_group_max", F.max("_end").over(grp)))
+    groups = local.select("_pid", key, "_group_max").distinct()
+    carry = groups.withColumn(
+        "_carry", F.max("_group_max").over(Window.partitionBy(key).orderBy("_pid")
+                                           .rowsBetween(Window.unboundedPreceding, -1))
+    ).select("_pid", key, "_carry")
+    j = local.join(carry, on=["_pid", key], how="inner")
+    limit = F.greatest(F.coalesce(F.col("_prior"), F.col("_carry")),
+                       F.coalesce(F.col("_carry"), F.col("_prior")))
+    return (j.where(limit > F.col(valid_from))
+             .drop("_pid", "_end", "_prior", "_group_max", "_carry"))
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str],
