@@ -668,10 +668,8 @@ def q_json_typed_extract(spark, sf):
 
 
 @register("table_constraints", """
-select * from (values ('quantity_positive', 0), ('discount_range', 0), ('price_not_negative', 0),
-                      ('orderkey_not_null', 0)) v(constraint_name, violations)
-where false
-union all select 'quantity_positive', cast(count(*) filter (where not coalesce(l_quantity > 0, true)) as bigint) from lineitem
+select 'quantity_positive' as constraint_name,
+  cast(count(*) filter (where not coalesce(l_quantity > 0, true)) as bigint) as violations from lineitem
 union all select 'discount_range', cast(count(*) filter (where not coalesce(l_discount between 0 and 1, true)) as bigint) from lineitem
 union all select 'price_not_negative', cast(count(*) filter (where not coalesce(l_extendedprice >= 0, true)) as bigint) from lineitem
 union all select 'orderkey_not_null', cast(count(*) filter (where l_orderkey is null) as bigint) from lineitem
@@ -968,11 +966,11 @@ def q_health_report(spark, sf):
 
 
 @register("metric_rows", _sql(("d_order_versions",), [], """
-select metric, value from (values ('nusa_pipeline_healthy', 0.0), ('nusa_ingestion_last_success_age_seconds', 0.0),
-  ('nusa_ingestion_latest_failed', 1.0), ('nusa_quality_last_run_passed', 0.0),
-  ('nusa_raw_payments_total', 0.0), ('nusa_clickstream_events_total', 0.0),
-  ('nusa_ingestion_failed_runs', 1.0), ('nusa_ingestion_running_runs', 0.0),
-  ('nusa_ingestion_stale_runs', 0.0)) v(metric, value)
+select metric, cast(value as double) as value from (values ('nusa_pipeline_healthy', 0),
+  ('nusa_ingestion_last_success_age_seconds', 0), ('nusa_ingestion_latest_failed', 1),
+  ('nusa_quality_last_run_passed', 0), ('nusa_raw_payments_total', 0), ('nusa_clickstream_events_total', 0),
+  ('nusa_ingestion_failed_runs', 1), ('nusa_ingestion_running_runs', 0),
+  ('nusa_ingestion_stale_runs', 0)) v(metric, value)
 union all select 'nusa_raw_orders_total', cast(count(*) as double) from d_order_versions"""))
 def q_metric_rows(spark, sf):
     """H2: the health row as ten (metric, value) gauges."""
