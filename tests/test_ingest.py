@@ -166,3 +166,12 @@ def test_lake_constraints_hold_after_runs(spark, lake):
     res = {(r["table_name"], r["constraint_name"]): r["violations"] for r in lake_constraints(lake).collect()}
     assert res and all(v == 0 for v in res.values()), res
     assert ("raw_order_versions", "raw_order_pk") in res
+
+
+def test_second_stream_on_same_lake_is_not_skipped(spark, lake):
+    topic1, topic2 = tempfile.mkdtemp(prefix="topic-"), tempfile.mkdtemp(prefix="topic-")
+    st.publish(click_records(spark, CLICKS[:3]), {"path": topic1})
+    st.publish(click_records(spark, CLICKS[3:]), {"path": topic2})
+    st.consume(spark, lake, {"path": topic1}, os.path.join(tempfile.mkdtemp(), "c"))
+    c2 = st.consume(spark, lake, {"path": topic2}, os.path.join(tempfile.mkdtemp(), "c"))
+    assert c2["inserted"] == 3 and st.landed_clicks(lake).count() == 6

@@ -98,14 +98,16 @@ class ClickSink:
     contract or a conflict stops the stream before its offsets commit) or
     ``quarantine`` (bad records go to a side table, the stream continues)."""
 
-    def __init__(self, lake: Lake, on_bad: str = "fail"):
+    def __init__(self, lake: Lake, on_bad: str = "fail", stream_id: str = STREAM):
         if on_bad not in ("fail", "quarantine"):
             raise ValueError("on_bad must be fail or quarantine")
-        self.lake, self.on_bad = lake, on_bad
+        # batch ids restart at 0 for every new checkpoint, so replay markers are
+        # kept per stream (its checkpoint location)
+        self.lake, self.on_bad, self.stream_id = lake, on_bad, stream_id
         self.counters = {"received": 0, "inserted": 0, "duplicates": 0, "quarantined": 0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id in self.lake.batch_ids(STREAM):
+        if batch_id in self.lake.batch_ids(self.stream_id):
             return  # replay of a committed batch
         spark = batch.sparkSession
         # the micro-batch is written once; every later step reads the files
@@ -148,7 +150,7 @@ class ClickSink:
                 "topic", "kafka_partition", "kafka_offset", F.col("payload").alias("value"),
                 F.lit("clickstream_payload_conflict").alias("reason"), "ingested_at")
             staged["click_quarantine"].append(self.lake.stage("click_quarantine", cq))
-        self.lake.commit(staged, info={"event": "clicks"}, batch=(STREAM, batch_id))
+        self.lake.commit(staged, info={"event": "clicks"}, batch=(self.stream_id, batch_id))
         received = int(stats["received"] or 0) + int(qstats["n"] or 0)
         self.counters["received"] += received
         self.counters["inserted"] += int(stats["new"] or 0)
@@ -158,7 +160,7 @@ class ClickSink:
 
 def consume(spark: SparkSession, lake: Lake, source: dict, checkpoint: str, on_bad: str = "fail") -> dict:
     """T4: drain what is available now (bounded per trigger), then stop."""
-    sink = ClickSink(lake, on_bad)
+    sink = ClickSink(lake, on_bad, stream_id=f"{STREAM}@{checkpoint}")
     q = (read_clicks(spark, source).writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
