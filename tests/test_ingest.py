@@ -175,3 +175,21 @@ def test_second_stream_on_same_lake_is_not_skipped(spark, lake):
     st.consume(spark, lake, {"path": topic1}, os.path.join(tempfile.mkdtemp(), "c"))
     c2 = st.consume(spark, lake, {"path": topic2}, os.path.join(tempfile.mkdtemp(), "c"))
     assert c2["inserted"] == 3 and st.landed_clicks(lake).count() == 6
+
+
+def test_concurrent_run_of_same_pipeline_is_refused(spark, lake):
+    """A run that publishes after another run landed rows since it started loses."""
+    ing = OrderIngestion(lake, source(spark))
+    other = OrderIngestion(lake, source(spark))
+    orig_scratch = lake.scratch
+
+    def interleave(df, name):
+        lake.scratch = orig_scratch
+        other.run(CUTOFF)            # the other runner publishes while this one is mid-run
+        return orig_scratch(df, name)
+    lake.scratch = interleave
+    with pytest.raises(ConcurrentCommit, match="pipeline_already_running"):
+        ing.run(CUTOFF)
+    lake.scratch = orig_scratch
+    assert landed_orders(lake).count() == 8      # no duplicates landed
+    assert {r["status"] for r in latest_runs(lake).collect()} == {"succeeded", "failed"}

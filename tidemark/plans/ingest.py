@@ -84,8 +84,8 @@ class OrderIngestion:
     # -- one run ------------------------------------------------------------------
     def _run_window(self, window: Window, *, advance: bool) -> dict:
         run_id, started = uuid.uuid4().hex, _now()
-        self.lake.append({"ingestion_runs": self._run_row(run_id, window, "running", started, 1)},
-                         info={"run_id": run_id, "event": "start"})
+        start_no = self.lake.append({"ingestion_runs": self._run_row(run_id, window, "running", started, 1)},
+                                    info={"run_id": run_id, "event": "start"})
         extracted = 0
         try:
             batch = change_scan(self.source, window).select(*SOURCE_COLUMNS)
@@ -123,9 +123,11 @@ class OrderIngestion:
             if advance:
                 cp = self.spark.createDataFrame([(self.pipeline, window.end, run_id, _now())], schemas.CHECKPOINTS)
                 frames["checkpoints"] = [self.lake.stage("checkpoints", cp)]
-            self.lake.commit(frames, info={"run_id": run_id, "event": "succeeded"})
+            # refused if another run published rows or a checkpoint since this run started
+            self.lake.commit(frames, info={"run_id": run_id, "event": "succeeded"},
+                             guard=("raw_order_versions", "checkpoints"), since=start_no)
         except Exception as exc:
-            if not isinstance(exc, ConcurrentCommit) and str(exc) != "order_version_payload_conflict":
+            if str(exc) != "order_version_payload_conflict":
                 try:
                     self.lake.append({"ingestion_runs": self._run_row(
                         run_id, window, "failed", started, 2, {"extracted": extracted},

@@ -162,15 +162,29 @@ class Lake:
         return self.spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
     def commit(self, staged: dict[str, list[str]], info: dict | None = None,
-               batch: tuple[str, int] | None = None) -> int:
-        """Publish staged directories atomically under the next commit number."""
-        number = self.last_commit() + 1
+               batch: tuple[str, int] | None = None, guard: tuple[str, ...] = (),
+               since: int | None = None) -> int:
+        """Publish staged directories atomically under the next commit number.
+
+        With ``guard``/``since`` the publish is optimistic-concurrency checked:
+        it is refused when any commit after ``since`` touched a guarded table
+        (another run of the same pipeline got there first).  The check and the
+        create-if-absent of the next number repeat until the number is ours, so
+        nothing can slip in between them.
+        """
         meta = {"tables": staged, "info": info or {}}
         if batch is not None:
             meta["batch"] = list(batch)
-        if not self.fs.create_new(f"{self.root}/_commits/{number:020d}.json", json.dumps(meta)):
-            raise ConcurrentCommit("pipeline_already_running")
-        return number
+        while True:
+            number = self.last_commit() + 1
+            if guard and since is not None:
+                for c in self.commits():
+                    if c.number > since and any(t in c.meta.get("tables", {}) for t in guard):
+                        raise ConcurrentCommit("pipeline_already_running")
+            if self.fs.create_new(f"{self.root}/_commits/{number:020d}.json", json.dumps(meta)):
+                return number
+            if not guard:
+                raise ConcurrentCommit("pipeline_already_running")
 
     def append(self, frames: dict[str, DataFrame], info: dict | None = None,
                batch: tuple[str, int] | None = None) -> int:
