@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one bucket stands for, and that one slice of a batch holds at most
 #: (one longer document is a slice of its own).
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 6 << 20
 SLICE_BYTES = 4 << 20
 U = np.uint64
 BASE, WORD_BASE, CHECK_BASE = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95), U(0xC2B2AE3D27D4EB4F)
@@ -182,10 +182,11 @@ def tables(batches: list[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
 
 
 def bucket_count(texts: DataFrame, column: str = "text", each: int = BUCKET_BYTES) -> int:
-    """Buckets for a table: by its text bytes, and a few for each shuffle partition."""
+    """Buckets for a table: by its text bytes, at least one for each shuffle partition.  Every
+    task emits up to one packed row per bucket, so there are no more buckets than needed."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return int(max(4 * partitions, -(-int(size) // each)))
+    return int(max(partitions, -(-int(size) // each)))
 
 
 def keyed(docs: DataFrame, columns: tuple[str, ...] = ("text",)) -> DataFrame:
