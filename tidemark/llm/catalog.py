@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import substring
+from tidemark.llm import lines, packing, substring, suffixes
 
 QUERIES = {
     "op2_substring_dedup": substring.query,
+    "op7_line_dedup": lines.query,
+    "op9_best_fit_packing": packing.query,
+    "op10_suffix_array_dedup": suffixes.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": lines.ORACLE,
+}
