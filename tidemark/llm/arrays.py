@@ -10,6 +10,7 @@ only the bucket it was dealt, and the number of buckets grows with the input
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,9 +200,9 @@ def keyed(docs: DataFrame, columns: tuple[str, ...] = ("text",)) -> DataFrame:
                        *(F.col(c).cast("string").alias(c) for c in columns))
 
 
-TEXT_SCHEMA = "bucket int, rids binary, ids binary, sizes binary, text binary"
+TEXT_SCHEMA = "bucket int, rids binary, ids binary, sizes binary, text binary, more binary"
 TEXT_ARROW = pa.schema([("bucket", pa.int32()), ("rids", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary()),
-                        ("text", pa.binary())])
+                        ("text", pa.binary()), ("more", pa.binary())])
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -213,30 +214,32 @@ def id_values(column: pa.Array) -> np.ndarray:
     return column.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def text_rows(docs: DataFrame, n: int) -> DataFrame:
+def text_rows(docs: DataFrame, n: int, carried: tuple[str, ...] = ()) -> DataFrame:
     """Texts packed by ``row_bucket`` and compressed, for the steps that need a text beside
-    what was found about it."""
+    what was found about it; ``carried`` names further string columns to keep with them."""
     def task(batches):
         import zstandard
 
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rids, ids = id_values(batch.column("rid")), id_values(batch.column("doc_id"))
+            more = list(zip(*(batch.column(c).to_pylist() for c in carried), strict=True))
             for first, end, data, borders in text_slices(batch.column("text"), 4 * SLICE_BYTES):
                 bucket = row_bucket(rids[first:end], n)
                 order = np.argsort(bucket, kind="stable")
                 found, at = np.unique(bucket[order], return_index=True)
-                view, rows = memoryview(data), [[], [], [], [], []]
+                view, rows = memoryview(data), [[], [], [], [], [], []]
                 for b, members in zip(found, np.split(order, at[1:]), strict=True):
                     rows[0].append(int(b))
                     rows[1].append(rids[first:end][members].tobytes())
                     rows[2].append(ids[first:end][members].tobytes())
                     rows[3].append((borders[members + 1] - borders[members]).astype(np.int64).tobytes())
                     rows[4].append(press.compress(b"".join(view[borders[m]: borders[m + 1]] for m in members)))
+                    rows[5].append(pickle.dumps([more[first + m] for m in members.tolist()]) if carried else None)
                 yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, TEXT_ARROW, strict=True)],
                                                  schema=TEXT_ARROW)
 
-    return docs.select("rid", "doc_id", "text").mapInArrow(task, TEXT_SCHEMA)
+    return docs.select("rid", "doc_id", "text", *carried).mapInArrow(task, TEXT_SCHEMA)
 
 
 def unpack_texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -249,6 +252,11 @@ def unpack_texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return join("rids"), join("ids"), data, np.concatenate([[0], np.cumsum(join("sizes"))])
 
 
+def unpack_carried(table: pa.Table) -> list[tuple]:
+    """The carried columns of a bucket of ``text_rows``, a tuple per document."""
+    return [row for x in table.column("more").to_pylist() for row in pickle.loads(x)]
+
+
 def doc_ids(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=ids == NO_ID)
 

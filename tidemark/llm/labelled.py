@@ -67,5 +67,16 @@ def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nda
     return rows.withColumn("predicted", (F.col("score") >= limit).cast("int"))
 
 
+def keep_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: float) -> DataFrame:
+    """The rows, all columns, that score ``limit`` or more; no shuffle."""
+    def task(batches):
+        for batch in batches:
+            parts = [score(data, borders) for _, _, data, borders in A.text_slices(batch.column("text"))]
+            if parts:
+                yield batch.filter(pa.array(np.concatenate(parts) >= limit))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))

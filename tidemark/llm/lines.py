@@ -45,13 +45,17 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return blake2b(key, digest_size=16).digest()
 
 
+def _salt(level: int) -> np.uint64:
+    return A.U((level + 1) * int(A.BASE) % (1 << 64))
+
+
 def build(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Minimal perfect hash over distinct 64-bit values: (level sizes, bits, place of each value)."""
     left, sizes, bits, settled = np.arange(len(place)), [], [], np.empty(len(place), np.int64)
     offset = 0
     while len(left):
         size = max(64, 2 * len(left))
-        at = (A.mix(place[left] + A.U(len(sizes) + 1) * A.BASE) % A.U(size)).astype(np.int64)
+        at = (A.mix(place[left] + _salt(len(sizes))) % A.U(size)).astype(np.int64)
         alone = np.bincount(at, minlength=size) == 1
         fits = alone[at]
         settled[left[fits]] = offset + at[fits]
@@ -66,7 +70,7 @@ def look_up(sizes: np.ndarray, flags: np.ndarray, place: np.ndarray) -> np.ndarr
     """Place of each value in the arrays; -1 where no level settles it."""
     rank, found, left, offset = np.cumsum(flags) - 1, np.full(len(place), -1), np.arange(len(place)), 0
     for level, size in enumerate(sizes.tolist()):
-        at = offset + (A.mix(place[left] + A.U(level + 1) * A.BASE) % A.U(size)).astype(np.int64)
+        at = offset + (A.mix(place[left] + _salt(level)) % A.U(size)).astype(np.int64)
         hit = flags[at]
         found[left[hit]] = rank[at[hit]]
         left, offset = left[~hit], offset + size
@@ -136,11 +140,14 @@ def probe(index: DataFrame, keys: DataFrame, min_docs: int) -> DataFrame:
     return index.groupBy("bucket").cogroup(keys.groupBy("bucket")).applyInArrow(shard, A.BLOB_SCHEMA)
 
 
-def drop_lines(texts: DataFrame, answers: DataFrame, min_chars: int) -> DataFrame:
+def drop_lines(texts: DataFrame, answers: DataFrame, min_chars: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    schema = pa.schema([*RESULT, *((c, pa.string()) for c in carried)])
+
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.Table.from_batches([], schema=RESULT)
+            return pa.Table.from_batches([], schema=schema)
         rids, ids, data, borders = A.unpack_texts(left)
+        more = A.unpack_carried(left) if carried else []
         gone = {}
         if right.num_rows:
             _, key, last = A.unpack(right, np.int64, KEY, LAST)
@@ -155,19 +162,20 @@ def drop_lines(texts: DataFrame, answers: DataFrame, min_chars: int) -> DataFram
             dropped.append(total[-1] - len(lines))
             kept.append(b"\n".join(lines).decode())
         return pa.table([A.doc_ids(ids), pa.array(total, pa.int64()), pa.array(dropped, pa.int64()),
-                         pa.array(kept, pa.string())], schema=RESULT)
+                         pa.array(kept, pa.string()), *(pa.array([m[c] for m in more], pa.string()) for c in range(len(carried)))],
+                        schema=schema)
 
-    return texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        rows, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    return texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(rows, ", ".join(
+        ["doc_id long, n_lines long, n_dropped long, kept_text string", *(f"`{c}` string" for c in carried)]))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept_text) for documents (doc_id, text, ...)."""
-    docs = A.keyed(docs)
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept_text, carried string columns) for documents (doc_id, text, ...)."""
+    docs = A.keyed(docs, ("text", *carried))
     n = A.bucket_count(docs)
-    texts = A.text_rows(docs, n)
+    texts = A.text_rows(docs, n, carried)
     keys = key_rows(texts, min_chars, n)
-    return drop_lines(texts, probe(build_index(keys), keys, min_docs), min_chars)
+    return drop_lines(texts, probe(build_index(keys), keys, min_docs), min_chars, carried)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -165,6 +165,14 @@ def _null_safe(plan: DataFrame) -> DataFrame:
     return plan.select(_key("members").alias("_members"), "rounds", "rest")
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, as often as the mix takes them (op4's parameters)."""
+    rows, *_ = mix(docs, F.array(F.col("source").cast("string")), word_count())
+    copies = rows.where("taken > 0").select(F.col("rid").alias("_rid"), (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    own = docs.withColumn("_rid", F.monotonically_increasing_id()).join(copies, "_rid")
+    return own.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
 def query(spark, sf_dir) -> DataFrame:
     """op4: all documents; a document's source is its one membership."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

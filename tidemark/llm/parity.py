@@ -16,10 +16,11 @@ more differ in at most (n + n') / 7 shingles, which is n / 3 at most for either
    sets hold a word, rarest first (counted over all of them, in buckets), so words held by
    no other set fill these places first, and passages that many documents share come last.  Only
    sets with shared words among their first n // 3 + 1 go on, as (word, row).
-4. Verify.  Sets that share a word are compared exactly, but not all with all: each round
-   compares some pivots of a word's sets (1, then 4, 16, ...) with the others, links are closed to
-   components, and a word is done when its sets are in one component.  With as many pivots
-   as sets the round is exhaustive, so no link between different components is missed.
+4. Verify.  First each word's likeliest original (fewest words of its own) is compared with the
+   word's other sets, exactly, and links are closed to components; copies of one text end in one
+   component here.  Then sets of a word that are still in different components are compared:
+   by rank (what comes before a first shared word differs), by Hamming distance of bit
+   sketches, and those left exactly.  Pairs inside a component are never listed.
 
 Sets travel to the bucket of their partner; counts, words and links move through Spark's
 shuffle.  Nothing of all documents is broadcast or collected.
@@ -43,7 +44,10 @@ BAND = 4
 WORD = np.dtype([("high", "<u4"), ("low", "u1")])
 FOUND = np.dtype([("word", "<u8"), ("unique", "<u4"), ("n", "<u4")])
 SET_SCHEMA = "rid long, doc_id long, n long, d1 long, d2 long"
-HOLDS_SCHEMA = "word long, rid long, unique long, n long"
+HOLDS_SCHEMA = "bucket int, word long, rid long, rank long, n long, parts boolean, unique long, items binary"
+BITS = 1024
+#: Rows of a word that one task compares with each other or with as many others.
+BLOCK = 2048
 
 
 def shingle_sets(data, borders, words: int):
@@ -168,8 +172,10 @@ def shared_words(counts: DataFrame, n: int) -> DataFrame:
 
 
 def first_words(texts: DataFrame, answers: DataFrame, words: int, n: int) -> DataFrame:
-    """(word, rid, unique, n): shared words among the n // 3 + 1 first of each set's sketch."""
-    schema = pa.schema([(c, pa.int64()) for c in ("word", "rid", "unique", "n")])
+    """Shared words among the n // 3 + 1 first of each set's sketch, with their rank in it; and for
+    sets that have any, a row with the set (``items``) and no word."""
+    schema = pa.schema([("bucket", pa.int32()), ("word", pa.int64()), ("rid", pa.int64()), ("rank", pa.int64()), ("n", pa.int64()),
+                        ("parts", pa.bool_()), ("unique", pa.int64()), ("items", pa.binary())])
 
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.Table.from_batches([], schema=schema)
@@ -194,30 +200,23 @@ def first_words(texts: DataFrame, answers: DataFrame, words: int, n: int) -> Dat
         rank = np.arange(len(key)) - np.repeat(starts, sizes_of)
         unique = np.repeat(np.add.reduceat((held == 1).astype(np.int64), starts), sizes_of)
         keep = (rank <= sizes[owner] // 3) & (held > 1)
-        return pa.table([pa.array(key[keep].view(np.int64)), pa.array(rids[owner[keep]]), pa.array(unique[keep]),
-                         pa.array(sizes[owner[keep]])], schema=schema)
+        own = np.unique(owner[keep])
+        ends = np.cumsum(sizes)
+        items = [value[ends[k] - sizes[k]: ends[k]].tobytes() for k in own.tolist()]
+        home, k, m = left.column("bucket")[0].as_py(), int(keep.sum()), len(own)
+        held_rows = pa.table([pa.array([home] * k, pa.int32()), pa.array(key[keep].view(np.int64)), pa.array(rids[owner[keep]]),
+                              pa.array(rank[keep]), pa.array(sizes[owner[keep]]), pa.array(level[keep] > 0), pa.array(unique[keep]),
+                              pa.nulls(k, pa.binary())], schema=schema)
+        set_rows = pa.table([pa.array([home] * m, pa.int32()), pa.nulls(m, pa.int64()), pa.array(rids[own]), pa.nulls(m, pa.int64()),
+                             pa.array(sizes[own]), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.array(items, pa.binary())], schema=schema)
+        return pa.concat_tables([held_rows, set_rows])
 
     return texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(rows, HOLDS_SCHEMA)
 
 
-def packed_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """Shingle sets of the chosen rows, packed by bucket of rows (kind 0: ids, sizes as counts, hashes)."""
-    def rows(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return A.tables([], A.BLOB_ARROW)
-        rids, data, borders = _representatives(left, right)
-        value, doc, _ = shingle_sets(data, borders, words)
-        home = np.full(len(value), left.column("bucket")[0].as_py(), np.int64)
-        return A.tables(list(A.pack(0, home, rids[doc], value)), A.BLOB_ARROW)
-
-    return texts.groupBy("bucket").cogroup(chosen.groupBy("bucket")).applyInArrow(rows, A.BLOB_SCHEMA)
-
-
 def _split(table: pa.Table):
-    """{rid: its sorted set} of packed sets."""
-    ids, value, _ = A.unpack(table, np.int64, np.uint64)
-    starts = np.flatnonzero(~A.same_as_before(ids))
-    return dict(zip(ids[starts].tolist(), np.split(value, starts[1:]), strict=True)) if len(ids) else {}
+    """{rid: its sorted set}."""
+    return {k: np.frombuffer(x, np.uint64) for k, x in zip(table.column("rid").to_pylist(), table.column("items").to_pylist(), strict=True)}
 
 
 def verified(sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -292,36 +291,89 @@ def _with_bucket(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.mapInArrow(task, "a long, b long, a_bucket int, b_bucket int")
 
 
+def bit_sketches(sets: DataFrame) -> DataFrame:
+    """(rid, bits): each shingle flips one of BITS bits."""
+    def task(batches):
+        for batch in batches:
+            own = _split(pa.Table.from_batches([batch]))
+            bits = [np.packbits(np.bincount((v & A.U(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes() for v in own.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64()), pa.array(bits, pa.binary())], names=["rid", "bits"])
+
+    return sets.mapInArrow(task, "rid long, bits binary")
+
+
+def _active(holds: DataFrame, labels: DataFrame | None):
+    """Rows of words that are held in more than one component, with label and the word's size."""
+    rows = holds.withColumn("label", F.col("rid"))
+    if labels is not None:
+        rows = holds.join(labels.select(F.col("v").alias("rid"), "label"), "rid", "left")
+        rows = rows.withColumn("label", F.coalesce("label", "rid"))
+    groups = rows.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("g"),
+                                      F.min(F.struct("unique", "rid"))["rid"].alias("best"))
+    return rows.join(groups.where("low < high").select("word", "g", "best"), "word")
+
+
+def close_rows(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that hold a word and whose ranks and bit sketches allow a link.
+
+    Sets that first meet in a word of ranks i and j differ in i + j shingles at least (in parts:
+    the larger of both).  Words of more than BLOCK rows are dealt to tasks by pairs of blocks.
+    """
+    blocks = F.ceil(F.col("g") / BLOCK).cast("long")
+    rows = rows.join(bit_sketches(sets), "rid").withColumn("own", F.pmod(F.xxhash64("rid"), blocks))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.withColumn("block", F.xxhash64("word", F.least("own", "other"), F.greatest("own", "other")))
+    deal = F.pmod("block", F.lit(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+    def task(table: pa.Table) -> pa.Table:
+        block, rid, label = (table.column(c).to_numpy() for c in ("block", "rid", "label"))
+        rank, n, parts, own = (table.column(c).to_numpy() for c in ("rank", "n", "parts", "own"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        order = np.lexsort((rid, block))
+        out = [np.zeros((0, 2), np.int64)]
+        for part in np.split(order, np.flatnonzero(~A.same_as_before(block[order]))[1:]):
+            if len(part) < 2:
+                continue
+            inner = len(np.unique(own[part])) < 2
+            for low in range(0, len(part), 256):
+                x, y = part[low: low + 256, None], part[None, :]
+                room = (100 - percent) * (n[x] + n[y]) // (100 + percent)
+                apart = np.where(parts[x], np.maximum(rank[x], rank[y]), rank[x] + rank[y])
+                mask = (rid[x] < rid[y]) & (label[x] != label[y]) & (apart <= room)
+                mask &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+                if not inner:
+                    mask &= own[x] != own[y]
+                i, j = np.nonzero(mask)
+                a, b = part[low + i], part[j]
+                far = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+                fine = far <= (100 - percent) * (n[a] + n[b]) // (100 + percent)
+                out.append(np.column_stack([rid[a[fine]], rid[b[fine]]]))
+        pairs = np.unique(np.concatenate(out), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return rows.withColumn("deal", deal).groupBy("deal").applyInArrow(task, "a long, b long").distinct()
+
+
 def links(holds: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """(v, label) for rows with links, by rounds of pivots over the rows that hold a word."""
-    labels, edges, pivots = None, None, 1
-    while True:
-        rows = holds.withColumn("label", F.col("rid"))
-        if labels is not None:
-            rows = holds.join(labels.select(F.col("v").alias("rid"), "label"), "rid", "left")
-            rows = rows.withColumn("label", F.coalesce("label", "rid"))
-        groups = rows.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("g"),
-                                          F.min(F.struct("unique", "rid"))["rid"].alias("best"))
-        groups = groups.where("low < high").select("word", "g", "best").checkpoint()
-        largest = groups.agg(F.max("g")).first()[0]
-        if largest is None or pivots >= 4 * largest:  # every set has been a pivot
-            return labels if labels is not None else holds.select(F.col("rid").alias("v"), F.col("rid").alias("label")).limit(0)
-        rows = rows.join(groups, "word")
-        lead = F.col("rid") == F.col("best") if pivots == 1 else F.pmod(F.xxhash64("rid", "word"), F.col("g")) < pivots
-        heads = rows.where(lead).select("word", F.col("rid").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("a_n"))
-        met = (F.col("label") != F.col("a_label")) & (100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n"))
-        pairs = rows.join(heads, "word").where(met & (~lead | (F.col("a") < F.col("rid"))))
-        pairs = _with_bucket(pairs.select("a", F.col("rid").alias("b")).distinct(), n)
-        new = verified(sets, pairs, n, percent).checkpoint()
-        edges = new if edges is None else edges.unionByName(new)
-        labels = components(edges)
-        pivots *= 4
+    """(v, label) for rows with links: first each word's likeliest original with its other rows, then
+    whatever is left between components."""
+    rows = _active(holds, None)
+    met = 100 * F.least("n", "best_n") >= percent * F.greatest("n", "best_n")
+    heads = holds.select("word", F.col("rid").alias("best"), F.col("n").alias("best_n"))
+    pairs = rows.where(F.col("rid") != F.col("best")).join(heads, ["word", "best"]).where(met)
+    pairs = _with_bucket(pairs.select(F.col("best").alias("a"), F.col("rid").alias("b")).distinct(), n)
+    edges = verified(sets, pairs, n, percent).checkpoint()
+    labels = components(edges)
+    pairs = _with_bucket(close_rows(_active(holds, labels), sets, percent), n)
+    more = verified(sets, pairs, n, percent).checkpoint()
+    return components(edges.unionByName(more))
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) for documents (doc_id, text, ...).
+    """(doc_id, n_shingles, component_id, class_id, rid, first) for documents (doc_id, text, ...).
 
-    ``class_id`` is the smallest doc_id with the same set, ``component_id`` the smallest reachable by links.
+    ``class_id`` is the smallest doc_id with the same set, ``component_id`` the smallest reachable by
+    links; ``first`` marks the smallest (doc_id, row) of each component.
     """
     from tidemark.session import shared_dir
 
@@ -329,22 +381,50 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75) -> Da
     shared_dir(docs.sparkSession)
     n = A.bucket_count(docs)
     every = digests(docs, words).checkpoint()
-    classes = every.where("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min("rid").alias("rep"), F.min("doc_id").alias("class_id")).checkpoint()
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "rid"))
+    classes = every.where("n > 0").groupBy("d1", "d2", "n").agg(smallest.alias("own")).select(
+        "d1", "d2", "n", "own", F.col("own.rid").alias("rep")).checkpoint()
     chosen = _asked(classes.select(F.col("rep").alias("rid")), n)
     texts = A.text_rows(docs, n)
     answers = shared_words(count_words(texts, chosen, words, n), n).unionByName(chosen)
-    holds = first_words(texts, answers, words, n).checkpoint()
-    sets = packed_sets(texts, _asked(holds.select("rid").distinct(), n), words).checkpoint()
-    labels = links(holds, sets, n, percent)
+    found = first_words(texts, answers, words, n).checkpoint()
+    labels = links(found.where("items IS NULL").drop("items", "bucket"), found.where("items IS NOT NULL").select("bucket", "rid", "items"),
+                   n, percent)
     named = classes.join(labels, F.col("rep") == F.col("v"), "left").withColumn("label", F.coalesce("label", "rep"))
-    lowest = named.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    named = named.join(lowest, "label").select("d1", "d2", "n", "class_id", "component_id")
+    lowest = named.groupBy("label").agg(F.min("own").alias("lowest"))
+    named = named.join(lowest, "label").select("d1", "d2", "n", "own", "lowest")
     out = every.join(named, ["d1", "d2", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                      F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    alone = F.col("n") == 0
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("lowest.doc_id")).alias("component_id"),
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("own.doc_id")).alias("class_id"),
+                      "rid", (alone | (F.col("rid") == F.col("lowest.rid"))).alias("first"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, carried columns) of the first document of each component; documents without
+    shingles all stay."""
+    keep = jaccard_components(docs, words, percent).where("first").select("rid")
+    docs = A.keyed(docs, ("text", *carried))
+    n = A.bucket_count(docs)
+    texts = A.text_rows(docs, n, carried)
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), *((c, pa.string()) for c in carried)])
+
+    def rows(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.Table.from_batches([], schema=schema)
+        rids, ids, data, borders = A.unpack_texts(left)
+        wanted, _, _ = A.unpack(right, np.int64, np.uint8)
+        at, view, more = np.flatnonzero(np.isin(rids, wanted)), memoryview(data), A.unpack_carried(left) if carried else []
+        columns = [A.doc_ids(ids[at]), pa.array([str(view[borders[k]: borders[k + 1]], "utf-8") for k in at.tolist()], pa.string())]
+        columns += [pa.array([more[k][c] for k in at.tolist()], pa.string()) for c in range(len(carried))]
+        return pa.table(columns, schema=schema)
+
+    return texts.groupBy("bucket").cogroup(_asked(keep, n).groupBy("bucket")).applyInArrow(
+        rows, ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in carried)]))
 
 
 def query(spark, sf_dir) -> DataFrame:
     """op1: 5 words, 0.75, all documents."""
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.select("doc_id", "n_shingles", "component_id", "class_id")

@@ -108,6 +108,13 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", limit:
     return labelled.score_rows(docs, lambda data, borders: labelled.sigmoid(dot(model, data, borders)), limit)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: float = 0.7,
+              sample_rows: int = labelled.SAMPLE_ROWS // 2) -> DataFrame:
+    """The documents, all columns, that score ``limit`` or more."""
+    model = labelled.fit(labelled.labelled_sample(docs, labels, label, sample_rows), train)
+    return labelled.keep_rows(docs, lambda data, borders: labelled.sigmoid(dot(model, data, borders)), limit)
+
+
 def query(spark, sf_dir) -> DataFrame:
     """op5: score of every document."""
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
