@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one bucket stands for, and that one slice of a batch holds at most
 #: (one longer document is a slice of its own).
-BUCKET_BYTES = 6 << 20
-SLICE_BYTES = 4 << 20
+BUCKET_BYTES = 5 << 20
+SLICE_BYTES = 3 << 20
 U = np.uint64
 BASE, WORD_BASE, CHECK_BASE = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95), U(0xC2B2AE3D27D4EB4F)
 SPACES = np.zeros(256, bool)
@@ -41,36 +41,45 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * BASE)
 LOWER_VALUES = BYTE_VALUES[LOWER]
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, kept for the worker's life."""
-    have = _POWERS.get(int(base))
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        inverse = U(pow(int(base), -1, 1 << 64))
-        made = []
-        for b in (base, inverse):
-            steps = np.full(size, b, U)
+STEP = 1 << 16
+_POWERS: dict[int, list[np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i modulo 2**64 for i < STEP, and base**(STEP * i) for all i that places under n need."""
+    have = _POWERS.setdefault(base, [np.zeros(0, U), np.zeros(0, U)])
+    for k, (b, size) in enumerate(((base, STEP), (pow(base, STEP, 1 << 64), n // STEP + 1))):
+        if len(have[k]) < size:
+            steps = np.full(2 * size if k else size, b, U)
             steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _POWERS[int(base)] = have = (made[0], made[1])
-    return have
+            have[k] = np.multiply.accumulate(steps)
+    return have[0], have[1]
 
 
 class Rolling:
-    """Hashes of any [start, end) ranges of one value array, after one prefix sum."""
+    """Hashes of any [start, end) ranges of one value array, after one prefix sum.
+
+    ``spare`` says that the values may be overwritten, which saves a copy.
+    """
 
-    def __init__(self, values: np.ndarray, base: np.uint64 = BASE):
+    def __init__(self, values: np.ndarray, base: np.uint64 = BASE, spare: bool = True):
         n = len(values)
-        up, self.down = powers(base, n + 1)
+        low, high = powers(int(base), n)
+        self.down = powers(pow(int(base), -1, 1 << 64), n)
+        scaled = values if spare and values.flags.writeable else values.copy()
+        for k in range(0, n, STEP):
+            part = scaled[k: k + STEP]
+            part *= low[:len(part)]
+            part *= high[k // STEP]
         self.prefix = np.zeros(n + 1, U)
-        np.cumsum(values * up[:n], out=self.prefix[1:])
+        np.cumsum(scaled, out=self.prefix[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        length = (end - start).astype(U)
-        return mix((self.prefix[end] - self.prefix[start]) * self.down[start] + length * CHECK_BASE)
+        low, high = self.down
+        out = self.prefix[end] - self.prefix[start]
+        out *= low[start & (STEP - 1)]
+        out *= high[start >> 16]
+        return mix(out + (end - start).astype(U) * CHECK_BASE)
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -98,7 +98,7 @@ def candidate_windows(texts: DataFrame, anchors: DataFrame, words: int, n: int)
         low = np.maximum(base, at - (period - 1))
         mask = A.covered(len(docs), low, at + 1) & (place + words <= counts[docs])
         at = np.flatnonzero(mask)
-        roll, check = A.Rolling(hashes, A.WORD_BASE), A.Rolling(hashes, A.CHECK_BASE)
+        roll, check = A.Rolling(hashes, A.WORD_BASE, False), A.Rolling(hashes, A.CHECK_BASE)
         key = np.empty(len(at), WINDOW)
         key["hash"], key["check"] = roll(at, at + words), (check(at, at + words) >> A.U(32)).astype(np.uint32)
         owner = np.empty(len(at), OWNER)

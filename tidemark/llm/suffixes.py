@@ -130,8 +130,7 @@ def sample_rows(docs: DataFrame, length: int, n: int) -> DataFrame:
                 if not (np.diff(borders) >= length).any():
                     continue
                 own = rids[top:bottom]
-                values = A.BYTE_VALUES[data]
-                roll = A.Rolling(values)
+                roll = A.Rolling(A.BYTE_VALUES[data])
                 low, first, end, doc, direct = windows_by_place(data, borders, roll, length)
                 key = np.empty(len(low), TUPLE)
                 key["core"] = roll(low, low + (length - gap))
@@ -148,7 +147,7 @@ def sample_rows(docs: DataFrame, length: int, n: int) -> DataFrame:
                 span["end"] = span["start"] + reach["count"][many] + length - 1
                 yield from A.pack(1, A.row_bucket(owner[many], n), owner[many], span)
                 if len(direct):
-                    check = A.Rolling(values, A.CHECK_BASE)
+                    check = A.Rolling(A.BYTE_VALUES[data], A.CHECK_BASE)
                     key = _window_keys(roll, check, direct, length)
                     doc = np.searchsorted(borders, direct, "right") - 1
                     yield from _send_windows(key, own[doc], (direct - borders[doc]).astype(np.uint32), length, n)
@@ -228,8 +227,7 @@ def induced_rows(texts: DataFrame, found: DataFrame, length: int, n: int) -> Dat
         gap = np.flatnonzero(A.covered(len(data), start, end - (length - 1)))
         made = []
         if len(gap):
-            values = A.BYTE_VALUES[data]
-            key = _window_keys(A.Rolling(values), A.Rolling(values, A.CHECK_BASE), gap, length)
+            key = _window_keys(A.Rolling(A.BYTE_VALUES[data]), A.Rolling(A.BYTE_VALUES[data], A.CHECK_BASE), gap, length)
             doc = np.searchsorted(borders, gap, "right") - 1
             made = list(_send_windows(key, rids[doc], (gap - borders[doc]).astype(np.uint32), length, n))
         return pa.concat_tables([kept, A.tables(made, A.BLOB_ARROW)])
