@@ -47,7 +47,8 @@ def fit(sample: DataFrame, train: Callable[[Iterator], object]) -> object:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(slices()))], pa.binary())], names=["model"])
 
     ordered = sample.orderBy(F.xxhash64("text"), "text", "label").coalesce(1)
-    return pickle.loads(ordered.mapInArrow(task, "model binary").first()[0])
+    row = ordered.mapInArrow(task, "model binary").first()
+    return pickle.loads(row[0]) if row else train(iter(()))  # an empty sample may have no task
 
 
 def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: float) -> DataFrame:

@@ -111,13 +111,15 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
         of = lambda t, c, i: np.frombuffer(t.column(c)[i].as_py(), np.int64)
         for i in range(left.num_rows):
             d = left.column("dims")[i].as_py()
-            ids, v = of(left, "ids", i), of(left, "vectors", i).reshape(-1, d)
-            lists = np.frombuffer(left.column("lists")[i].as_py(), np.uint32).reshape(d, -1) if d else None
+            ids = of(left, "ids", i)
+            v = of(left, "vectors", i).reshape(len(ids), d)
+            lists = np.frombuffer(left.column("lists")[i].as_py(), np.uint32).reshape(d, len(ids))
             for j in range(right.num_rows):
                 if right.column("dims")[j].as_py() != d:
                     continue
-                asked = of(right, "vectors", j).reshape(-1, d)
-                for query_id, row, q in zip(of(right, "ids", j).tolist(), of(right, "rows", j).tolist(), asked, strict=True):
+                names = of(right, "ids", j)
+                asked = of(right, "vectors", j).reshape(len(names), d)
+                for query_id, row, q in zip(names.tolist(), of(right, "rows", j).tolist(), asked, strict=True):
                     best, scores = threshold_search(q, query_id, ids, v, lists, k)
                     out.append(np.column_stack([np.full(len(best), row), np.full(len(best), query_id), ids[best], scores]))
         table = np.concatenate(out)
