@@ -61,3 +61,42 @@ def test_history_overlap_hot_customer(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     # rows starting at hours 1501..1504 begin before the hour-1500 row ends
     assert [g[0] for g in got] == ["hot"] * 4
+
+
+def test_history_overlap_wide_rows(spark):
+    """Wide rows over many partitions give the same rows as one plain window per key."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.checks import history_overlaps
+
+    start = F.timestamp_seconds(F.lit(1_600_000_000) + (F.xxhash64("id") % 40_000_000))
+    rows = spark.range(0, 20_000, 1, 16).select(
+        (F.col("id") % 50).alias("customer_id"), start.alias("valid_from"), F.sha2(F.col("id").cast("string"), 512).alias("wide"), "id")
+    rows = rows.withColumn("valid_to", F.when(F.col("id") % 997 > 0, F.col("valid_from") + F.expr("make_interval(0, 0, 0, int(id % 9))")))
+    far = F.lit("9999-12-31 23:59:59").cast("timestamp")
+    prior = F.max(F.coalesce("valid_to", far)).over(
+        Window.partitionBy("customer_id").orderBy("valid_from").rowsBetween(Window.unboundedPreceding, -1))
+    want = sorted(r["id"] for r in rows.withColumn("p", prior).where("p > valid_from").select("id").collect())
+    assert want
+    for coalesce in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        try:
+            assert sorted(r["id"] for r in history_overlaps(rows).select("id").collect()) == want
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_large_amounts_and_blank_ids(spark):
+    import json
+
+    from tidemark.functions.contracts import check_payments
+
+    def payment(**change):
+        return json.dumps({"payment_id": "p", "order_id": "o", "version": 1, "amount": "5", "currency": "IDR",
+                           "status": "succeeded", "updated_at": "2026-01-02T03:04:05+00:00", **change})
+    cases = [payment(), payment(amount="1e30"), payment(amount="9" * 30), payment(payment_id="\t"), payment(amount="-1e30"),
+             payment(amount="-0.00"), payment(updated_at="2026-13-45T99:99:00+07:00")]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, payload string")
+    found = {r["i"]: list(r["invalid_fields"]) for r in check_payments(rows).collect()}
+    assert found == {0: [], 1: [], 2: [], 3: ["payment_id"], 4: ["amount"], 5: [], 6: ["updated_at"]}

@@ -34,7 +34,7 @@ def failures(*checks: tuple[str, Column]) -> Column:
 
 
 def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | c.rlike(r"^\s*$")
 
 
 def click_errors(df: DataFrame) -> Column:
@@ -133,7 +133,7 @@ def check_order_events(df: DataFrame, text_col: str = "payload") -> DataFrame:
 
     def blank_id(name):
         t = F.col(f"_s_{name}")
-        return t.isNull() | (F.trim(t) == "")
+        return t.isNull() | t.rlike(r"^\s*$")
     invalid = failures(
         ("event_id", blank_id("event_id")), ("order_id", blank_id("order_id")),
         ("customer_id", blank_id("customer_id")),
@@ -170,6 +170,10 @@ def check_order_events(df: DataFrame, text_col: str = "payload") -> DataFrame:
 PAYMENT_FIELDS = ("payment_id", "order_id", "version", "amount", "currency", "status", "updated_at")
 
 
+#: A minus sign before any digit but zero (no cast, so no limit on the number of digits).
+NEGATIVE_PATTERN = r"^\s*-[0.]*[1-9]"
+
+
 def check_payments(df: DataFrame, text_col: str = "payload") -> DataFrame:
     """V4: ``df`` plus ``invalid_fields`` (array) per JSON payment record.
 
@@ -180,14 +184,13 @@ def check_payments(df: DataFrame, text_col: str = "payload") -> DataFrame:
 
     def blank(name):
         t = F.col(f"_s_{name}")
-        return t.isNull() | (F.trim(t) == "")
+        return t.isNull() | t.rlike(r"^\s*$")
     atext = _number_text("amount")
-    amount = atext.try_cast("decimal(38,10)")
     ttext = F.col("_s_updated_at")
     errs = failures(
         ("payment_id", blank("payment_id")), ("order_id", blank("order_id")),
         ("version", ~_int_at_least_one("version")),
-        ("amount", ~F.coalesce((amount_kind(atext) == "number") & (amount >= 0), F.lit(False))),
+        ("amount", ~F.coalesce((amount_kind(atext) == "number") & ~atext.rlike(NEGATIVE_PATTERN), F.lit(False))),
         ("currency", ~F.coalesce(F.col("_s_currency") == PAYMENT_CURRENCY, F.lit(False))),
         ("status", ~F.coalesce(F.col("_s_status") == PAYMENT_STATUS, F.lit(False))),
         ("updated_at", ~F.coalesce(has_zone(ttext) & parse_ok(ttext), F.lit(False))))

@@ -62,7 +62,7 @@ def relationship_violations(child: DataFrame, cols: Sequence[str], parent: DataF
                             parent_cols: Sequence[str]) -> DataFrame:
     """Non-NULL child keys without a parent row (left anti join)."""
     cols, parent_cols = list(cols), list(parent_cols)
-    p = parent.select(*[F.col(pc).alias(c) for pc, c in zip(parent_cols, cols)]).distinct()
+    p = parent.select(*[F.col(pc).alias(c) for pc, c in zip(parent_cols, cols)])
     nn = F.lit(True)
     for c in cols:
         nn = nn & F.col(c).isNotNull()
@@ -100,37 +100,27 @@ def history_overlaps(history: DataFrame, key: str = "customer_id", valid_from: s
     """Rows whose validity starts before an earlier row of the same key ends.
 
     Exact replacement of the theta self join by a running ``max(valid_to)`` over
-    the earlier rows (open end = +infinity), computed without ever holding one
-    key's rows in one task:
-
-    1. range-partition by (key, valid_from): partitions are ordered, balanced by
-       sampling, and a hot key is split over several consecutive partitions;
-    2. inside each (partition, key) group -- bounded by the partition size -- the
-       running maximum of the earlier rows and the group maximum;
-    3. the carry of a (partition, key): the maximum over the same key's groups
-       in earlier partitions.  A key has at most one group per partition, so
-       this window holds at most one row per partition the key spans;
-    4. a row overlaps when it starts before max(running max, carry).
+    the earlier rows (open end = +infinity).  Rows are grouped by (key, day of
+    ``valid_from``), a value of the row itself, so a hot key is spread over its
+    days and every plan puts a row into the same group:
+
+    1. inside each group the running maximum of the earlier rows;
+    2. per group its maximum, and over the groups of a key (one row per day)
+       the maximum of the earlier days: the carry;
+    3. a row overlaps when it starts before the larger of both.
     """
     far = F.lit("9999-12-31 23:59:59").cast("timestamp")
-    end = F.coalesce(F.col(valid_to), far)
-    ranged = (history.repartitionByRange(key, valid_from)
-                     .withColumn("_pid", F.spark_partition_id())
-                     .withColumn("_end", end))
-    grp = Window.partitionBy("_pid", key)
-    ordered = grp.orderBy(valid_from).rowsBetween(Window.unboundedPreceding, -1)
-    local = (ranged.withColumn("_prior", F.max("_end").over(ordered))
-                   .withColumn("_group_max", F.max("_end").over(grp)))
-    groups = local.select("_pid", key, "_group_max").distinct()
-    carry = groups.withColumn(
-        "_carry", F.max("_group_max").over(Window.partitionBy(key).orderBy("_pid")
-                                           .rowsBetween(Window.unboundedPreceding, -1))
-    ).select("_pid", key, "_carry")
-    j = local.join(carry, on=["_pid", key], how="inner")
-    limit = F.greatest(F.coalesce(F.col("_prior"), F.col("_carry")),
-                       F.coalesce(F.col("_carry"), F.col("_prior")))
-    return (j.where(limit > F.col(valid_from))
-             .drop("_pid", "_end", "_prior", "_group_max", "_carry"))
+    dated = history.withColumns({"_day": F.to_date(valid_from), "_end": F.coalesce(F.col(valid_to), far)})
+    group = Window.partitionBy(key, "_day")
+    earlier = group.orderBy(valid_from).rowsBetween(Window.unboundedPreceding, -1)
+    days = dated.groupBy(key, "_day").agg(F.max("_end").alias("_day_max"))
+    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carry = days.withColumn("_carry", F.max("_day_max").over(before)).select(
+        F.col(key).alias("_key"), F.col("_day").alias("_on"), "_carry")
+    rows = dated.withColumn("_prior", F.max("_end").over(earlier))
+    rows = rows.join(carry, rows[key].eqNullSafe(F.col("_key")) & rows["_day"].eqNullSafe(F.col("_on")))
+    limit = F.greatest("_prior", "_carry")  # NULLs are skipped
+    return rows.where(limit > F.col(valid_from)).select(*history.columns)
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str],

@@ -78,23 +78,13 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[st
     return first.join(existing.select(*keys), on=keys, how="left_anti")
 
 
-# A batch whose key set is broadcast must be provably small: its row count is
-# measured (it is a written staging table) and compared with this bound.
-BROADCAST_KEY_ROWS = 1_000_000   # about 50 MB of (id, version) keys
-
-
-def landed_for_batch(landed: DataFrame, batch: DataFrame, keys: Sequence[str],
-                     batch_rows: int, max_broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
+def landed_for_batch(landed: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The landed rows whose key occurs in the batch.
 
     A left outer join can only broadcast its right side, so joining the batch
     to a growing landed log directly would shuffle the whole log every run.
     Pruning the log first with a semi join on the batch keys lets the keys be
-    the broadcast side -- only when the measured batch size is under the
-    bound; above it the semi join stays a sort-merge join.
+    the broadcast side; whether they are is left to Spark, which goes by bytes.
     """
     keys = list(keys)
-    batch_keys = batch.select(*keys).distinct()
-    if batch_rows <= max_broadcast_rows:
-        batch_keys = F.broadcast(batch_keys)
-    return landed.join(batch_keys, on=keys, how="left_semi")
+    return landed.join(batch.select(*keys), on=keys, how="left_semi")

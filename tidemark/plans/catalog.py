@@ -870,7 +870,7 @@ _CLICK_PAYLOAD_SQL = """cast(json_object('customer_id', customer_id, 'event_id',
 
 
 @register("stream_ingest", _sql(("d_clicks",), [], f"""
-select event_id, sha256({_CLICK_PAYLOAD_SQL}) as payload_hash, 'nusacommerce.clickstream' as topic,
+select event_id, sha256({_CLICK_PAYLOAD_SQL}) as payload_hash, 'tidemark.clickstream' as topic,
   cast(cast(customer_id as bigint) % 3 as bigint) as kafka_partition,
   cast(event_id as bigint) * 2 as kafka_offset
 from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout')"""))
@@ -966,12 +966,12 @@ def q_health_report(spark, sf):
 
 
 @register("metric_rows", _sql(("d_order_versions",), [], """
-select metric, cast(value as double) as value from (values ('nusa_pipeline_healthy', 0),
-  ('nusa_ingestion_last_success_age_seconds', 0), ('nusa_ingestion_latest_failed', 1),
-  ('nusa_quality_last_run_passed', 0), ('nusa_raw_payments_total', 0), ('nusa_clickstream_events_total', 0),
-  ('nusa_ingestion_failed_runs', 1), ('nusa_ingestion_running_runs', 0),
-  ('nusa_ingestion_stale_runs', 0)) v(metric, value)
-union all select 'nusa_raw_orders_total', cast(count(*) as double) from d_order_versions"""))
+select metric, cast(value as double) as value from (values ('tidemark_pipeline_healthy', 0),
+  ('tidemark_ingestion_last_success_age_seconds', 0), ('tidemark_ingestion_latest_failed', 1),
+  ('tidemark_quality_last_run_passed', 0), ('tidemark_raw_payments_total', 0), ('tidemark_clickstream_events_total', 0),
+  ('tidemark_ingestion_failed_runs', 1), ('tidemark_ingestion_running_runs', 0),
+  ('tidemark_ingestion_stale_runs', 0)) v(metric, value)
+union all select 'tidemark_raw_orders_total', cast(count(*) as double) from d_order_versions"""))
 def q_metric_rows(spark, sf):
     """H2: the health row as ten (metric, value) gauges."""
     from .health import health_report, metric_rows

@@ -98,7 +98,7 @@ class OrderIngestion:
             landed = landed_for_batch(
                 self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS)
                     .select("order_id", "version", "payload_hash"),
-                staged, ["order_id", "version"], batch_rows)
+                staged, ["order_id", "version"])
             labelled = classify(staged, landed, ["order_id", "version"]).select(
                 "order_id", "version", "source_updated_at", "payload", "payload_hash",
                 F.current_timestamp().alias("ingested_at"), F.lit(run_id).alias("first_seen_run_id"),
@@ -215,7 +215,7 @@ class PaymentIngestion:
         recs, n = self.lake.scratch(recs, "payments")
         landed = landed_for_batch(self.lake.read("raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS)
                                   .select("payment_id", "version", "payload_hash"),
-                                  recs, ["payment_id", "version"], n)
+                                  recs, ["payment_id", "version"])
         labelled = classify(recs.where(~F.col("bad")).drop("bad"), landed, ["payment_id", "version"])
         invalid = recs.where(F.col("bad")).select(
             *[F.col(c) if c in recs.columns else F.lit(None).cast(labelled.schema[c].dataType).alias(c)

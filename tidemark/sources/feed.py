@@ -25,8 +25,9 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", text_col: str = "page
     v = F.try_parse_json(F.col(text_col))
     data_t = F.schema_of_variant(F.try_variant_get(v, "$.data", "variant"))
     cur_t = F.schema_of_variant(F.try_variant_get(v, "$.next_cursor", "variant"))
+    none = F.size(F.try_variant_get(v, "$.data", "array<variant>")) == 0   # [null] has the same type as []
     ok = (F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-          & F.coalesce(data_t.startswith("ARRAY<OBJECT") | (data_t == "ARRAY<VOID>") | (data_t == "ARRAY<UNKNOWN>"), F.lit(False))
+          & F.coalesce(data_t.startswith("ARRAY<OBJECT") | (data_t.isin("ARRAY<VOID>", "ARRAY<UNKNOWN>") & none), F.lit(False))
           & F.coalesce(cur_t.isin("STRING", "VOID"), F.lit(False)))
     return pages.select(F.col(id_col).alias("page_id"), v.alias("_v"), ok.alias("shape_ok"),
                         F.try_variant_get(v, "$.next_cursor", "string").alias("next_cursor"))

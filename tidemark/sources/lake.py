@@ -182,9 +182,7 @@ class Lake:
                     if c.number > since and any(t in c.meta.get("tables", {}) for t in guard):
                         raise ConcurrentCommit("pipeline_already_running")
             if self.fs.create_new(f"{self.root}/_commits/{number:020d}.json", json.dumps(meta)):
-                return number
-            if not guard:
-                raise ConcurrentCommit("pipeline_already_running")
+                return number   # else another writer took it: an unguarded commit takes the next one
 
     def append(self, frames: dict[str, DataFrame], info: dict | None = None,
                batch: tuple[str, int] | None = None) -> int:

@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.canonical import canonical_free_json, payload_hash
-from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures
+from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures, parse_ok
 from ..functions.timeutil import has_zone
 from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
 from ..sources.lake import Lake
 
-TOPIC = "nusacommerce.clickstream"
+TOPIC = "tidemark.clickstream"
 TOPIC_PARTITIONS = 3
 KAFKA_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 STREAM = "clickstream"
@@ -86,7 +86,7 @@ def check_clicks(batch: DataFrame) -> DataFrame:
     errs = failures(("event_id", empty("event_id")), ("customer_id", empty("customer_id")),
                     ("event_type", empty("event_type")
                      | ~F.coalesce(F.col("_s_event_type").isin(*CLICK_TYPES), F.lit(False))),
-                    ("event_time", ~F.coalesce(has_zone(F.col("_s_event_time")), F.lit(False))))
+                    ("event_time", ~F.coalesce(has_zone(F.col("_s_event_time")) & parse_ok(F.col("_s_event_time")), F.lit(False))))
     out = p.select("*", F.col("_m").isNull().alias("bad_json"), errs.alias("invalid_fields"),
                    F.col("_s_event_id").alias("event_id"),
                    canonical_free_json(F.col("value")).alias("payload"))
@@ -117,7 +117,7 @@ class ClickSink:
                            F.col("offset").alias("kafka_offset"), "topic", "payload",
                            payload_hash(F.col("payload")).alias("payload_hash"))
         landed = landed_for_batch(self.lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS)
-                                  .select("event_id", "payload_hash"), rows, ["event_id"], n)
+                                  .select("event_id", "payload_hash"), rows, ["event_id"])
         labelled = classify(rows, landed, ["event_id"]).withColumn("ingested_at", F.current_timestamp())
         bad = checked.where(F.col("bad_json") | (F.size("invalid_fields") > 0)).select(
             "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
