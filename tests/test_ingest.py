@@ -63,14 +63,20 @@ def test_uncommitted_data_is_invisible(spark, lake):
     assert landed_orders(lake).count() == 8
 
 
-def test_second_writer_loses_cleanly(spark, lake):
+def test_second_writer_takes_the_next_number_unless_guarded(spark, lake):
     n = lake.last_commit() + 1
-    assert lake.fs.create_new(f"{lake.root}/_commits/{n:020d}.json", json.dumps({"tables": {}}))
-    orig = lake.last_commit
-    lake.last_commit = lambda: n - 1    # a writer that read the commit number before the other won
+    assert lake.fs.create_new(f"{lake.root}/_commits/{n:020d}.json", json.dumps({"tables": {"checkpoints": []}}))
+    seen, plain = [], lake.last_commit
+
+    def stale_once():    # a writer that read the commit number before the other won
+        seen.append(1)
+        return n - 1 if len(seen) == 1 else plain()
+    lake.last_commit = stale_once
+    empty = spark.createDataFrame([], schemas.CHECKPOINTS)
+    assert lake.append({"checkpoints": empty}) == n + 1
+    lake.last_commit = plain
     with pytest.raises(ConcurrentCommit):
-        lake.append({"checkpoints": spark.createDataFrame([], schemas.CHECKPOINTS)})
-    lake.last_commit = orig
+        lake.commit({}, guard=("checkpoints",), since=n - 1)
 
 
 def test_run_failure_marks_run_failed(spark, lake):
@@ -193,3 +199,93 @@ def test_concurrent_run_of_same_pipeline_is_refused(spark, lake):
     lake.scratch = orig_scratch
     assert landed_orders(lake).count() == 8      # no duplicates landed
     assert {r["status"] for r in latest_runs(lake).collect()} == {"succeeded", "failed"}
+
+
+def feed_pages(spark, *bodies):
+    """Landed pages p0, p1, ... in this order, of the given record lists."""
+    rows = [(f"p{i * 8 + 2}", i, json.dumps({"data": recs, "next_cursor": None}))
+            for i, recs in enumerate(bodies)]
+    return spark.createDataFrame(rows, "page_id string, page_seq bigint, page string")
+
+
+def landed_places(lake):
+    return {r["payment_id"]: r["page_id"] for r in landed_payments(lake).collect()}
+
+
+@pytest.mark.parametrize("on_bad", ["fail", "quarantine"])
+def test_a_copy_on_a_refused_page_takes_nothing_from_the_first_page(spark, lake, on_bad):
+    a, b, c = (dict(PAYMENT_RECORDS[0], payment_id=f"copy-{i}") for i in range(3))
+    pages = feed_pages(spark, [a, b], [a, dict(c, version=True)])    # ids p2 and p10: text order differs
+    if on_bad == "fail":
+        with pytest.raises(ValueError, match="invalid_payment_contract"):
+            PaymentIngestion(lake, on_bad).run(pages)
+    else:
+        r = PaymentIngestion(lake, on_bad).run(pages)
+        assert r == {"pages_fetched": 1, "payments_received": 2, "payments_inserted": 2, "refused_pages": 1}
+    assert landed_places(lake) == {"copy-0": "p2", "copy-1": "p2"}
+
+
+def test_first_copy_in_feed_order_decides(spark, lake):
+    a, b, c = (dict(PAYMENT_RECORDS[0], payment_id=f"copy-{i}") for i in range(3))
+    changed = dict(a, amount="7.00")
+    r = PaymentIngestion(lake, "quarantine").run(feed_pages(spark, [a, b], [changed, c], [a, c, c]))
+    assert r == {"pages_fetched": 2, "payments_received": 5, "payments_inserted": 3, "refused_pages": 1}
+    # the page with the changed copy is refused whole; c lands from the next page that holds it
+    assert landed_places(lake) == {"copy-0": "p2", "copy-1": "p2", "copy-2": "p18"}
+    assert PaymentIngestion(lake, "quarantine").run(feed_pages(spark, [a, b], [a, c, c]))["payments_inserted"] == 0
+
+
+def test_two_payment_runs_do_not_land_twice(spark, lake):
+    a, b = (dict(PAYMENT_RECORDS[0], payment_id=f"copy-{i}") for i in range(2))
+    plain, other = lake.stage, PaymentIngestion(type(lake)(spark, lake.root))
+
+    def interleaved(table, df):
+        lake.stage = plain
+        other.run(feed_pages(spark, [a, b]))
+        return plain(table, df)
+    lake.stage = interleaved
+    with pytest.raises(ConcurrentCommit, match="pipeline_already_running"):
+        PaymentIngestion(lake).run(feed_pages(spark, [a, b]))
+    assert landed_payments(lake).count() == 2
+
+
+@pytest.mark.parametrize("cut", [1, 2])
+def test_quarantine_does_not_depend_on_batch_borders(spark, lake, cut):
+    versions = [CLICKS[0], dict(CLICKS[0], event_type="checkout"), CLICKS[0]]
+    topic = tempfile.mkdtemp(prefix="topic-")
+    ckpt = os.path.join(tempfile.mkdtemp(prefix="ckpt-"), "c")
+    total = {}
+    for first, part in ((0, versions[:cut]), (cut, versions[cut:])):
+        st.publish(click_records(spark, part, first).coalesce(1), {"path": topic})
+        for k, n in st.consume(spark, lake, {"path": topic}, ckpt, on_bad="quarantine").items():
+            total[k] = total.get(k, 0) + n
+    assert total == {"received": 3, "inserted": 1, "duplicates": 1, "quarantined": 1}
+    assert [r["kafka_offset"] for r in st.landed_clicks(lake).collect()] == [0]
+
+
+def test_a_drain_that_meets_another_classifies_again(spark, lake):
+    topic1, topic2 = tempfile.mkdtemp(prefix="topic-"), tempfile.mkdtemp(prefix="topic-")
+    for topic in (topic1, topic2):
+        st.publish(click_records(spark, CLICKS), {"path": topic})
+    plain, other = lake.stage, type(lake)(spark, lake.root)
+
+    def interleaved(table, df):
+        lake.stage = plain
+        st.consume(spark, other, {"path": topic2}, os.path.join(tempfile.mkdtemp(), "c"))
+        return plain(table, df)
+    lake.stage = interleaved
+    sink = st.ClickSink(lake, stream_id="by-hand")
+    sink(spark.read.schema(st.KAFKA_COLUMNS).json(topic1), 0)
+    assert st.landed_clicks(lake).count() == len(CLICKS)
+    assert (sink.counters["inserted"], sink.counters["duplicates"]) == (0, len(CLICKS))
+
+
+def test_commit_files_appear_whole_or_not_at_all(spark, lake):
+    folder = f"{lake.root}/_commits"
+    lake.commit({}, info={"event": "one"})
+    # a writer that died before its file was published
+    lake.fs.write_text(f"{folder}/.{2:020d}.json.dead", "")
+    assert [c.number for c in lake.commits()] == [1] and lake.last_commit() == 1
+    assert not lake.fs.create_new(f"{folder}/{1:020d}.json", "{}")
+    assert lake.commits()[0].meta["info"] == {"event": "one"}
+    assert lake.commit({}, info={"event": "two"}) == 2

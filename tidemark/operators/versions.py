@@ -3,6 +3,8 @@
 W1-W3  latest_by: keep the newest row per key.
 J4/J6  classify: label incoming versioned rows against the landed log as
        new / duplicate / conflict in one join, deduplicating the batch first.
+       classify_copies: the same for feeds, where every copy keeps its place
+       and the first copy in feed order decides.
 
 ``latest_by`` is ``row_number() = 1`` over the key.  Spark plans it with a
 *partial* WindowGroupLimit before the shuffle (each map task keeps only its
@@ -68,6 +70,32 @@ def classify(batch: DataFrame, landed: DataFrame, keys: Sequence[str],
     return j.select(*keys, *rest, "batch_copies", "existing_hash", status.alias("status"))
 
 
+def classify_copies(batch: DataFrame, landed: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    hash_col: str = "payload_hash") -> DataFrame:
+    """Label every incoming row by what landed or, failing that, came first.
+
+    The stored hash decides a key, or else the hash of its first copy in
+    ``order`` (a stored NULL hash agrees with all).  A row whose hash differs
+    is a conflict; the first copy of a key that is not stored is new; the rest
+    are duplicates.  No row is merged: ``stored`` tells whether the key has
+    landed.  The decision is one row per key, reduced before its shuffle, so a
+    key with many copies is a long side of an equi join and not a group.
+    """
+    keys = list(keys)
+    place = F.struct(*order)
+    first = batch.groupBy(*keys).agg(F.min(F.struct(place.alias("place"), F.col(hash_col).alias("hash")))
+                                      .alias("_first"))
+    known = landed.select(*keys, F.col(hash_col).alias("_stored_hash"), F.lit(True).alias("_stored"))
+    decided = first.join(known, on=keys, how="left")
+    differs = F.when(F.col("_stored"), F.coalesce(F.col(hash_col) != F.col("_stored_hash"), F.lit(False))) \
+               .otherwise(F.col(hash_col) != F.col("_first.hash"))
+    status = (F.when(differs, F.lit(CONFLICT))
+               .when(F.col("_stored").isNull() & (place == F.col("_first.place")), F.lit(NEW))
+               .otherwise(F.lit(DUPLICATE)))
+    return batch.join(decided, on=keys).select(
+        *batch.columns, F.col("_stored").isNotNull().alias("stored"), status.alias("status"))
+
+
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """S6/J6 (``ON CONFLICT DO NOTHING``): incoming rows whose key is not stored.
 

@@ -12,7 +12,8 @@ written batch.  Then exactly one commit publishes either
 
 Because the classified batch is a written table, a lost executor only
 re-runs its own tasks and nothing is recomputed from the source twice.
-Payments (I7) land whole pages or nothing, with the same classification.
+Payments (I7) land whole pages or nothing; every copy of a payment keeps its
+own page, and the first copy in feed order decides.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.canonical import canonical_json, payload_hash
 from ..functions.contracts import check_payments
-from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
+from ..operators.versions import CONFLICT, NEW, classify, classify_copies, landed_for_batch, latest_by
 from ..sources import feed
 from ..sources.lake import ConcurrentCommit, Lake
 from ..sources.scan import SOURCE_COLUMNS, Window, change_scan
@@ -189,11 +190,18 @@ def landed_orders(lake: Lake) -> DataFrame:
 class PaymentIngestion:
     """Landed feed pages -> raw payment versions, page-atomic.
 
-    ``on_bad="fail"`` (parity): pages are taken in ``page_seq`` order and the
-    first page with an invalid record or a conflicting version stops the run;
-    pages before it land, and the named error is raised.
-    ``on_bad="quarantine"``: every clean page lands; refused pages are
-    reported in the result.
+    A page with an invalid record is refused.  On the pages without one, a
+    payment's stored hash decides, or else its first copy in feed order (page
+    number, place in the page); a page with a copy that differs is refused too,
+    whether or not the page of the first copy lands.  A payment lands once, from
+    its first copy on a page that lands.
+
+    ``on_bad="fail"``: the first refused page stops the run; the pages before it
+    land, and the named error is raised.  ``on_bad="quarantine"``: every page
+    that is not refused lands; the number of refused ones is in the result.
+
+    A run that finds other payments published since it started raises
+    ``pipeline_already_running`` and lands nothing.
     """
 
     def __init__(self, lake: Lake, on_bad: str = "fail"):
@@ -202,60 +210,52 @@ class PaymentIngestion:
         self.lake, self.on_bad, self.spark = lake, on_bad, lake.spark
 
     def run(self, pages: DataFrame) -> dict:
-        parsed = feed.parse_pages(pages.select("page_id", "page"))
+        since = self.lake.last_commit()
+        pages, _ = self.lake.scratch(pages.select("page_id", "page_seq", "page"), "payment-pages")
+        parsed = feed.parse_pages(pages, carried=("page_seq",))
         feed.check_pages(parsed)
-        seq = pages.select("page_id", "page_seq")
-        recs = check_payments(feed.explode_records(parsed), "payload").join(seq, on="page_id")
+        recs = check_payments(feed.explode_records(parsed), "payload")
         v = F.try_parse_json(F.col("payload"))
-        recs = recs.select("page_id", "page_seq", "payload", payload_hash(F.col("payload")).alias("payload_hash"),
+        recs = recs.select("page_id", "page_seq", "pos", "payload", payload_hash(F.col("payload")).alias("payload_hash"),
                            F.try_variant_get(v, "$.payment_id", "string").alias("payment_id"),
                            F.try_variant_get(v, "$.version", "bigint").alias("version"),
                            F.try_variant_get(v, "$.order_id", "string").alias("order_id"),
                            (F.size("invalid_fields") > 0).alias("bad"))
-        recs, n = self.lake.scratch(recs, "payments")
+        recs, _ = self.lake.scratch(recs, "payments")
+        keys = ["payment_id", "version"]
+        invalid_pages = recs.where("bad").select("page_id")
+        sound = recs.drop("bad").join(invalid_pages, on="page_id", how="left_anti")
         landed = landed_for_batch(self.lake.read("raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS)
-                                  .select("payment_id", "version", "payload_hash"),
-                                  recs, ["payment_id", "version"])
-        labelled = classify(recs.where(~F.col("bad")).drop("bad"), landed, ["payment_id", "version"])
-        invalid = recs.where(F.col("bad")).select(
-            *[F.col(c) if c in recs.columns else F.lit(None).cast(labelled.schema[c].dataType).alias(c)
-              for c in labelled.columns if c != "status"], F.lit(INVALID).alias("status"))
-        out = labelled.unionByName(invalid).withColumn("ingested_at", F.current_timestamp())
-        out = out.select(*[c for c in out.columns if c != "status"], "status")
-        # one write of every record, split by status; all later steps read it back
-        token = uuid.uuid4().hex
-        base = f"{self.lake.root}/tables/raw_payment_versions/{token}"
-        out.write.partitionBy("status").parquet(base)
-        written = self.spark.read.schema(out.schema).parquet(base)
-        refused_flag = F.col("status").isin(INVALID, CONFLICT)
-        page_stats = written.groupBy("page_id", "page_seq").agg(
-            F.sum("batch_copies").alias("rows"),
-            F.max(refused_flag.cast("int")).alias("refused"),
-            F.max((F.col("status") == INVALID).cast("int")).alias("invalid"))
-        summary = page_stats.agg(
-            F.min(F.when(F.col("refused") == 1, F.col("page_seq"))).alias("stop"),
-            F.min_by(F.when(F.col("invalid") == 1, F.lit("invalid_payment_contract"))
-                      .otherwise(F.lit("payment_version_payload_conflict")),
-                     F.when(F.col("refused") == 1, F.col("page_seq"))).alias("error"),
-            F.count_if(F.col("refused") == 1).alias("refused_pages")).first()
-        if self.on_bad == "fail" and summary["stop"] is not None:
-            keep = page_stats.where(F.col("page_seq") < summary["stop"])
-        else:
-            keep = page_stats.where(F.col("refused") == 0)
-        counts = keep.agg(F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("received")).first()
-        new_rows = written.where(F.col("status") == NEW).join(keep.select("page_id"), on="page_id",
-                                                             how="left_semi") \
-            .select("payment_id", "version", "order_id", "payload", "payload_hash", "ingested_at", "page_id")
-        staged = self.lake.stage("raw_payment_versions", new_rows)
+                                  .select(*keys, "payload_hash"), sound, keys)
+        labelled, _ = self.lake.scratch(
+            classify_copies(sound, landed, keys, ("page_seq", "pos")), "payments-labelled")
+        # one row per page, pages without records included
+        refused = labelled.where(F.col("status") == CONFLICT).select("page_id", F.lit(CONFLICT).alias("why")) \
+            .unionByName(invalid_pages.select("page_id", F.lit(INVALID).alias("why"))) \
+            .groupBy("page_id").agg(F.max("why").alias("why"))
+        judged = pages.select("page_id", "page_seq").join(refused, on="page_id", how="left")
+        summary = judged.agg(F.min(F.when(F.col("why").isNotNull(), F.col("page_seq"))).alias("stop"),
+                             F.min_by("why", F.when(F.col("why").isNotNull(), F.col("page_seq"))).alias("why"),
+                             F.count("why").alias("refused")).first()
+        stop = summary["stop"]
+        keep = judged.where(F.col("why").isNull())
+        if self.on_bad == "fail" and stop is not None:
+            keep = keep.where(F.col("page_seq") < stop)
+        kept = labelled.join(keep.select("page_id"), on="page_id", how="left_semi")
+        new_rows = latest_by(kept.where(~F.col("stored")), keys, ("page_seq", "pos"), descending=False)
+        staged = self.lake.stage("raw_payment_versions", new_rows.select(
+            *keys, "order_id", "payload", "payload_hash", F.current_timestamp().alias("ingested_at"), "page_id"))
         inserted = self.spark.read.schema(schemas.RAW_PAYMENT_VERSIONS).parquet(
             f"{self.lake.root}/tables/raw_payment_versions/{staged}").count()
-        self.lake.commit({"raw_payment_versions": [staged]}, info={"event": "payments"})
-        result = {"pages_fetched": int(counts["pages"] or 0), "payments_received": int(counts["received"] or 0),
+        self.lake.commit({"raw_payment_versions": [staged]} if inserted else {}, info={"event": "payments"},
+                         guard=("raw_payment_versions",), since=since)
+        result = {"pages_fetched": keep.count(), "payments_received": kept.count(),
                   "payments_inserted": int(inserted)}
-        if summary["stop"] is not None:
+        if stop is not None:
             if self.on_bad == "fail":
-                raise ValueError(summary["error"])
-            result["refused_pages"] = int(summary["refused_pages"])
+                raise ValueError("invalid_payment_contract" if summary["why"] == INVALID
+                                 else "payment_version_payload_conflict")
+            result["refused_pages"] = int(summary["refused"])
         return result
 
 

@@ -13,6 +13,8 @@ or file per page) and the whole set is validated and exploded in parallel:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ class FeedError(ValueError):
     pass
 
 
-def parse_pages(pages: DataFrame, id_col: str = "page_id", text_col: str = "page") -> DataFrame:
+def parse_pages(pages: DataFrame, id_col: str = "page_id", text_col: str = "page",
+                carried: Sequence[str] = ()) -> DataFrame:
     v = F.try_parse_json(F.col(text_col))
     data_t = F.schema_of_variant(F.try_variant_get(v, "$.data", "variant"))
     cur_t = F.schema_of_variant(F.try_variant_get(v, "$.next_cursor", "variant"))
@@ -29,7 +32,7 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", text_col: str = "page
     ok = (F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
           & F.coalesce(data_t.startswith("ARRAY<OBJECT") | (data_t.isin("ARRAY<VOID>", "ARRAY<UNKNOWN>") & none), F.lit(False))
           & F.coalesce(cur_t.isin("STRING", "VOID"), F.lit(False)))
-    return pages.select(F.col(id_col).alias("page_id"), v.alias("_v"), ok.alias("shape_ok"),
+    return pages.select(F.col(id_col).alias("page_id"), *carried, v.alias("_v"), ok.alias("shape_ok"),
                         F.try_variant_get(v, "$.next_cursor", "string").alias("next_cursor"))
 
 
@@ -47,8 +50,8 @@ def check_pages(parsed: DataFrame) -> dict:
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
-    """One row per record: page_id, position, record (VARIANT) and its canonical text."""
-    recs = parsed.select("page_id", "next_cursor",
+    """One row per record: its page's columns, position, record (VARIANT) and canonical text."""
+    recs = parsed.select(*[c for c in parsed.columns if c not in ("_v", "shape_ok")],
                          F.posexplode(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"))
                           .alias("pos", "record"))
     return recs.withColumn("payload", F.to_json("record"))   # canonical: sorted keys, compact

@@ -6,24 +6,27 @@ Layout under ``root``::
     _commits/<commit>.json                            names the directories a
                                                       commit publishes, per table
 
-A commit becomes visible when its JSON file is created; creation is
-create-if-absent on the next commit number, so of two writers racing for the
-same number exactly one wins and the loser's data directories stay unnamed
-(readers never see them).  Rows, run status and checkpoint of one ingestion
+A commit becomes visible when its JSON file appears, whole, under the next
+commit number, and never over an existing one: of two writers racing for a
+number one wins, and until the other publishes too its data directories stay
+unnamed (readers never see them).  Rows, run status and checkpoint of one ingestion
 run are therefore published together or not at all.  This is a publish step
 only: data files are ordinary Parquet written by Spark, and readers are
 ``spark.read.parquet`` over the committed directories.
 
-File-system calls go through the Hadoop FileSystem API of the session, so the
-same code works on a local disk, HDFS or an object store.
+File-system calls go through the Hadoop FileSystem API of the session: a mounted
+shared folder or HDFS.  An object store whose rename is a copy does not refuse
+an existing name in one step and is not supported for commits.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,7 +41,7 @@ class FileSystem:
 
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
-        self._jvm = jvm
+        self._jvm, self._gateway = jvm, spark.sparkContext._gateway
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(self._conf)
 
@@ -52,18 +55,38 @@ class FileSystem:
         self._fs.mkdirs(self._p(path))
 
     def create_new(self, path: str, text: str) -> bool:
-        """Write ``text`` only if ``path`` does not exist; False if it did."""
+        """Publish ``text`` as ``path`` unless it exists; False if it did.
+
+        The text is written to a hidden file beside ``path`` first and appears
+        under its name whole, or not at all: by a hard link on a mounted folder
+        (a link refuses an existing name), elsewhere by a rename that does not
+        overwrite, which HDFS does in one step.  A crash leaves only a hidden
+        file that no reader looks at.
+        """
+        folder, name = path.rsplit("/", 1)
+        hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self.write_text(hidden, text)
+        if str(self._fs.getScheme()) == "file":
+            local = [self._p(p).toUri().getPath() for p in (hidden, path)]
+            try:
+                os.link(*local)
+                return True
+            except FileExistsError:
+                return False
+            finally:
+                self._fs.delete(self._p(hidden), False)
+        fs = self._jvm.org.apache.hadoop.fs
+        keep = self._gateway.new_array(fs.Options.Rename, 1)
+        keep[0] = getattr(fs.Options.Rename, "NONE")
         try:
-            out = self._fs.create(self._p(path), False)
-        except Exception as exc:  # FileAlreadyExistsException through py4j
-            if "AlreadyExists" in str(exc) or self.exists(path):
+            fs.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(
+                self._p(hidden), self._p(path), keep)
+            return True
+        except Py4JJavaError as exc:
+            self._fs.delete(self._p(hidden), False)
+            if "FileAlreadyExists" in exc.java_exception.getClass().getName():
                 return False
             raise
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-        return True
 
     def write_text(self, path: str, text: str) -> None:
         out = self._fs.create(self._p(path), True)
@@ -126,7 +149,8 @@ class Lake:
         return out
 
     def last_commit(self) -> int:
-        names = [n for n in self.fs.list_names(f"{self.root}/_commits") if n.endswith(".json")]
+        names = [n for n in self.fs.list_names(f"{self.root}/_commits")
+                 if n.endswith(".json") and not n.startswith(".")]
         return max((int(n[:-5]) for n in names), default=0)
 
     def read(self, table: str, schema: StructType, as_of: int | None = None) -> DataFrame:

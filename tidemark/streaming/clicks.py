@@ -6,31 +6,31 @@ partition, offset, timestamp.  Everything after ``read_clicks`` is shared.
 
 Landing runs in ``foreachBatch``: the micro-batch is parsed and checked with
 column expressions (V5), canonicalised and hashed (P1, P2), classified against
-the landed events by ``event_id`` (J4; in-batch copies with different hashes
-are a conflict -- T2), written once split by status, and published by one lake
-commit that records the stream's batch id.  A replayed batch id is skipped
-(T1), so Spark's at-least-once delivery cannot land a row twice; offsets are
-committed by Spark only after ``foreachBatch`` returns.
+the landed events by ``event_id`` (J4; the first delivery by offset decides and
+a later one that differs is a conflict, wherever the batches end -- T2), written
+once, and published by one lake commit that records the stream's batch id.  A
+replayed batch id is skipped (T1), so Spark's at-least-once delivery cannot land
+a row twice; offsets are committed by Spark only after ``foreachBatch`` returns.
+A batch that finds other events published meanwhile is classified again.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.canonical import canonical_free_json, payload_hash
 from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures, parse_ok
 from ..functions.timeutil import has_zone
-from ..operators.versions import CONFLICT, NEW, classify, landed_for_batch
-from ..sources.lake import Lake
+from ..operators.versions import CONFLICT, NEW, classify_copies, landed_for_batch
+from ..sources.lake import ConcurrentCommit, Lake
 
 TOPIC = "tidemark.clickstream"
 TOPIC_PARTITIONS = 3
 KAFKA_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 STREAM = "clickstream"
+REASONS = ("invalid_clickstream_json", "invalid_clickstream_contract", "clickstream_payload_conflict")
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -48,6 +48,8 @@ def publish(records: DataFrame, target: dict) -> int:
     ``target`` is either Kafka options (``kafka.bootstrap.servers``) or
     ``{"path": dir}`` for the file form, whose records also carry partition
     and offset (as a broker would assign them)."""
+    sent = Observation()
+    records = records.observe(sent, F.count(F.lit(1)).alias("records"))
     if "kafka.bootstrap.servers" in target:
         (records.select("key", "value").write.format("kafka")
          .option("kafka.bootstrap.servers", target["kafka.bootstrap.servers"])
@@ -55,7 +57,7 @@ def publish(records: DataFrame, target: dict) -> int:
     else:
         records.select("key", "value", F.lit(target.get("topic", TOPIC)).alias("topic"),
                        "partition", "offset", "timestamp").write.mode("append").json(target["path"])
-    return records.count()
+    return int(sent.get["records"])
 
 
 def read_clicks(spark: SparkSession, options: dict) -> DataFrame:
@@ -107,55 +109,57 @@ class ClickSink:
         self.counters = {"received": 0, "inserted": 0, "duplicates": 0, "quarantined": 0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # the micro-batch is written once; every later step reads the files
+        checked, received = self.lake.scratch(check_clicks(batch), f"clicks-{batch_id}")
+        while True:
+            try:
+                return self._land(checked, received, batch_id)
+            except ConcurrentCommit:
+                continue   # another drain published events: classify against them
+
+    def _land(self, checked: DataFrame, received: int, batch_id: int) -> None:
+        since = self.lake.last_commit()
         if batch_id in self.lake.batch_ids(self.stream_id):
             return  # replay of a committed batch
-        spark = batch.sparkSession
-        # the micro-batch is written once; every later step reads the files
-        checked, n = self.lake.scratch(check_clicks(batch), f"clicks-{batch_id}")
-        good = checked.where(~F.col("bad_json") & (F.size("invalid_fields") == 0))
-        rows = good.select("event_id", F.col("partition").alias("kafka_partition"),
-                           F.col("offset").alias("kafka_offset"), "topic", "payload",
-                           payload_hash(F.col("payload")).alias("payload_hash"))
+        broken = F.col("bad_json") | (F.size("invalid_fields") > 0)
+        rows = checked.where(~broken).select(
+            "event_id", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
+            "topic", "value", "payload", payload_hash(F.col("payload")).alias("payload_hash"))
         landed = landed_for_batch(self.lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS)
                                   .select("event_id", "payload_hash"), rows, ["event_id"])
-        labelled = classify(rows, landed, ["event_id"]).withColumn("ingested_at", F.current_timestamp())
-        bad = checked.where(F.col("bad_json") | (F.size("invalid_fields") > 0)).select(
+        labelled, _ = self.lake.scratch(
+            classify_copies(rows, landed, ["event_id"], ("kafka_offset", "kafka_partition"))
+            .withColumn("ingested_at", F.current_timestamp()), f"clicks-{batch_id}-labelled")
+        refused = checked.where(broken).select(
             "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
             "value", F.when(F.col("bad_json"), F.lit("invalid_clickstream_json"))
                       .otherwise(F.lit("invalid_clickstream_contract")).alias("reason"),
-            F.current_timestamp().alias("ingested_at"))
-        token = uuid.uuid4().hex
-        base = f"{self.lake.root}/tables/clickstream_events/{token}"
-        labelled.write.partitionBy("status").parquet(base)
-        qtoken = self.lake.stage("click_quarantine", bad)
-        written = spark.read.schema(labelled.select(*[c for c in labelled.columns if c != "status"], "status")
-                                    .schema).parquet(base)
-        stats = written.agg(F.sum("batch_copies").alias("received"), F.count_if(F.col("status") == NEW).alias("new"),
-                            F.count_if(F.col("status") == CONFLICT).alias("conflicts")).first()
-        qstats = spark.read.schema(schemas.CLICK_QUARANTINE).parquet(
-            f"{self.lake.root}/tables/click_quarantine/{qtoken}").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason") == "invalid_clickstream_json").alias("json")).first()
+            F.current_timestamp().alias("ingested_at")).unionByName(
+            labelled.where(F.col("status") == CONFLICT).select(
+                "topic", "kafka_partition", "kafka_offset", "value",
+                F.lit("clickstream_payload_conflict").alias("reason"), "ingested_at"))
+        quarantined = self.lake.stage("click_quarantine", refused)
+        by_reason = {r["reason"]: r["count"] for r in self.lake.spark.read.schema(schemas.CLICK_QUARANTINE)
+                     .parquet(f"{self.lake.root}/tables/click_quarantine/{quarantined}")
+                     .groupBy("reason").count().collect()}   # three reasons at most
         if self.on_bad == "fail":
-            if qstats["json"]:
-                raise ValueError("invalid_clickstream_json")
-            if qstats["n"]:
-                raise ValueError("invalid_clickstream_contract")
-            if stats["conflicts"]:
-                raise ValueError("clickstream_payload_conflict")
-        staged = {"click_quarantine": [qtoken]}
-        if stats["new"]:
-            staged["clickstream_events"] = [f"{token}/status={NEW}"]
-        if stats["conflicts"]:
-            cq = written.where(F.col("status") == CONFLICT).select(
-                "topic", "kafka_partition", "kafka_offset", F.col("payload").alias("value"),
-                F.lit("clickstream_payload_conflict").alias("reason"), "ingested_at")
-            staged["click_quarantine"].append(self.lake.stage("click_quarantine", cq))
-        self.lake.commit(staged, info={"event": "clicks"}, batch=(self.stream_id, batch_id))
-        received = int(stats["received"] or 0) + int(qstats["n"] or 0)
-        self.counters["received"] += received
-        self.counters["inserted"] += int(stats["new"] or 0)
-        self.counters["quarantined"] += int(qstats["n"] or 0) + int(stats["conflicts"] or 0)
-        self.counters["duplicates"] = self.counters["received"] - self.counters["inserted"] - self.counters["quarantined"]
+            for reason in REASONS:
+                if reason in by_reason:
+                    raise ValueError(reason)
+        new = labelled.where(F.col("status") == NEW)
+        inserted = new.count()
+        staged = {}
+        if by_reason:
+            staged["click_quarantine"] = [quarantined]
+        if inserted:
+            staged["clickstream_events"] = [self.lake.stage("clickstream_events", new.select(
+                *schemas.CLICKSTREAM_EVENTS.fieldNames()))]
+        self.lake.commit(staged, info={"event": "clicks"}, batch=(self.stream_id, batch_id),
+                         guard=("clickstream_events",), since=since)
+        bad = sum(by_reason.values())
+        for name, n in (("received", received), ("inserted", inserted), ("quarantined", bad),
+                        ("duplicates", received - inserted - bad)):
+            self.counters[name] += n
 
 
 def consume(spark: SparkSession, lake: Lake, source: dict, checkpoint: str, on_bad: str = "fail") -> dict:
