@@ -97,11 +97,11 @@ def test_batch_structure(spark):
     from tidemark.functions.contracts import BatchShapeError, batch_structure
     ok = spark.createDataFrame([("a", 1, "2026-01-01")], "order_id string, version bigint, updated_at string")
     assert batch_structure(ok)["keys"] == 1
-    with pytest.raises(BatchShapeError, match="missing required"):
+    with pytest.raises(BatchShapeError, match="columns missing"):
         batch_structure(ok.drop("version"))
     nulls = spark.createDataFrame([("a", None, "x")], "order_id string, version bigint, updated_at string")
-    with pytest.raises(BatchShapeError, match="NULL order metadata"):
+    with pytest.raises(BatchShapeError, match="metadata is NULL"):
         batch_structure(nulls)
     dup = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "order_id string, version bigint, updated_at string")
-    with pytest.raises(BatchShapeError, match="duplicate order IDs"):
+    with pytest.raises(BatchShapeError, match="twice in the batch"):
         batch_structure(dup)

@@ -37,7 +37,7 @@ def test_first_load_rerun_backfill_and_empty_window(spark, lake):
     latest = later + timedelta(hours=1)
     r = ing.run(latest)   # an empty window still advances the checkpoint
     assert r["extracted"] == 0 and ing.checkpoint() == latest
-    with pytest.raises(ValueError, match="cannot move backwards"):
+    with pytest.raises(ValueError, match="that is a backfill"):
         ing.run(CUTOFF)
     assert landed_orders(lake).count() == 8
 
@@ -81,7 +81,7 @@ def test_second_writer_takes_the_next_number_unless_guarded(spark, lake):
 
 def test_run_failure_marks_run_failed(spark, lake):
     bad = source(spark).withColumn("order_id", F.lit(None).cast("string"))
-    with pytest.raises(ValueError, match="NULL order metadata"):
+    with pytest.raises(ValueError, match="metadata is NULL"):
         OrderIngestion(lake, bad).run(CUTOFF)
     r = latest_runs(lake).first()
     assert r["status"] == "failed" and r["error_code"] == "ValueError" and landed_orders(lake).count() == 0
@@ -289,3 +289,14 @@ def test_commit_files_appear_whole_or_not_at_all(spark, lake):
     assert not lake.fs.create_new(f"{folder}/{1:020d}.json", "{}")
     assert lake.commits()[0].meta["info"] == {"event": "one"}
     assert lake.commit({}, info={"event": "two"}) == 2
+
+
+def test_versions_that_differ_inside_a_batch_reach_the_ledger(spark, lake):
+    twice = ORDERS + [ORDERS[0][:3] + (Decimal("1.00"),) + ORDERS[0][4:]]
+    with pytest.raises(ValueError, match="order_version_payload_conflict"):
+        OrderIngestion(lake, source(spark, twice)).run(CUTOFF)
+    ledger = lake.read("order_conflicts", schemas.ORDER_CONFLICTS).collect()
+    assert [(r["order_id"], r["existing_payload_hash"]) for r in ledger] == [(ORDERS[0][0], None)]
+    assert landed_orders(lake).count() == 0
+    with pytest.raises(ValueError, match="twice in the batch"):
+        OrderIngestion(lake, source(spark, ORDERS + ORDERS[:1])).run(CUTOFF)

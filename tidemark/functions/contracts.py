@@ -213,14 +213,14 @@ def batch_structure(df: DataFrame, required=("order_id", "version", "updated_at"
     One aggregate job; only three counters reach the driver."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise BatchShapeError("Page is missing required order metadata")
+        raise BatchShapeError(f"columns missing from the batch: {missing}")
     null_any = F.lit(False)
     for c in required:
         null_any = null_any | F.col(c).isNull()
     r = df.agg(F.count_if(null_any).alias("nulls"), F.count(F.col(key)).alias("keys"),
                F.count_distinct(F.col(key)).alias("distinct_keys")).first()
     if r["nulls"]:
-        raise BatchShapeError("Page contains NULL order metadata")
+        raise BatchShapeError("order metadata is NULL")
     if r["keys"] != r["distinct_keys"]:
-        raise BatchShapeError("Page contains duplicate order IDs")
+        raise BatchShapeError("an order occurs twice in the batch")
     return r.asDict()

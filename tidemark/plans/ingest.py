@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
@@ -30,154 +31,158 @@ from ..functions.canonical import canonical_json, payload_hash
 from ..functions.contracts import check_payments
 from ..operators.versions import CONFLICT, NEW, classify, classify_copies, landed_for_batch, latest_by
 from ..sources import feed
-from ..sources.lake import ConcurrentCommit, Lake
+from ..sources.lake import Lake
 from ..sources.scan import SOURCE_COLUMNS, Window, change_scan
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 DEFAULT_INITIAL_START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 DEFAULT_LOOKBACK = timedelta(minutes=15)
 CONFLICT_REASON = "same_version_different_payload"
 INVALID = "invalid"
+LEDGER_COUNTS = {"extracted": "extracted_count", "inserted": "inserted_count",
+                 "duplicates": "duplicate_count", "conflicts": "conflict_count"}
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+@dataclass(frozen=True)
+class Run:
+    """One pass over a window; ``scheduled`` runs move the checkpoint."""
+    pipeline: str
+    window: Window
+    scheduled: bool
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    started: datetime = field(default_factory=_now)
+
+    def ledger(self, spark, status: str, error: str | None = None, **counts) -> DataFrame:
+        """The run's next ledger row: seq 1 when it starts, 2 when it ends."""
+        ended = status != "running"
+        known = {"run_id": self.run_id, "pipeline_name": self.pipeline, "window_start": self.window.start,
+                 "window_end": self.window.end, "status": status, "started_at": self.started,
+                 "completed_at": _now() if ended else None, "error_code": error, "seq": 2 if ended else 1, **counts}
+        row = tuple(known.get(c) for c in schemas.INGESTION_RUNS.fieldNames())
+        return spark.createDataFrame([row], schemas.INGESTION_RUNS)
+
+
 class OrderIngestion:
+    """Lands the order versions of a change window (module docstring)."""
+
     def __init__(self, lake: Lake, source: DataFrame, *, pipeline_name: str = "orders_incremental",
-                 initial_start: datetime = DEFAULT_INITIAL_START,
-                 lookback: timedelta = DEFAULT_LOOKBACK):
-        if lookback < timedelta(0):
-            raise ValueError("Invalid page size or lookback")
-        Window(initial_start, initial_start)
-        self.lake, self.source, self.pipeline = lake, source, pipeline_name
-        self.initial_start, self.lookback = initial_start, lookback
-        self.spark = lake.spark
-
-    # -- control state (a handful of rows) -------------------------------------
+                 initial_start: datetime = DEFAULT_INITIAL_START, lookback: timedelta = DEFAULT_LOOKBACK):
+        if lookback < timedelta(0) or initial_start.utcoffset() is None:
+            raise ValueError("the lookback is negative or the first window has no UTC offset")
+        self.lake, self.spark, self.source = lake, lake.spark, source
+        self.pipeline, self.initial_start, self.lookback = pipeline_name, initial_start, lookback
+
     def checkpoint(self) -> datetime | None:
-        cp = self.lake.read("checkpoints", schemas.CHECKPOINTS).where(F.col("pipeline_name") == self.pipeline)
-        row = cp.agg(F.max_by("last_completed_window_end", "updated_at").alias("end")).first()
-        end = row["end"] if row else None
-        return None if end is None else end.replace(tzinfo=timezone.utc) if end.tzinfo is None else end
-
-    def _run_row(self, run_id, window, status, started, seq, counters=None, error_code=None):
-        c = counters or {}
-        row = (run_id, self.pipeline, window.start, window.end, status, started,
-               None if status == "running" else _now(), c.get("extracted"), c.get("inserted"),
-               c.get("duplicates"), c.get("conflicts"), error_code, seq)
-        return self.spark.createDataFrame([row], schemas.INGESTION_RUNS)
-
-    # -- entry points -----------------------------------------------------------
+        """The furthest published window end: it never moves back, so no clock is compared."""
+        cps = self.lake.read("checkpoints", schemas.CHECKPOINTS).where(F.col("pipeline_name") == self.pipeline)
+        micros = cps.agg(F.unix_micros(F.max("last_completed_window_end"))).first()[0]
+        return None if micros is None else EPOCH + timedelta(microseconds=micros)
+
     def run(self, safe_cutoff: datetime) -> dict:
-        """Scheduled run up to ``safe_cutoff``; re-reads the lookback."""
-        Window(safe_cutoff, safe_cutoff)
-        checkpoint = self.checkpoint()
-        if checkpoint is not None and safe_cutoff < checkpoint:
-            raise ValueError("Safe cutoff cannot move backwards; use backfill")
-        start = self.initial_start if checkpoint is None else max(self.initial_start, checkpoint - self.lookback)
-        return self._run_window(Window(start, safe_cutoff), advance=True)
+        """From the checkpoint, less the lookback, to ``safe_cutoff``."""
+        done, start = self.checkpoint(), self.initial_start
+        if done is not None:
+            if Window(safe_cutoff, safe_cutoff).end < done:
+                raise ValueError("the cutoff lies before the checkpoint; that is a backfill")
+            start = max(start, done - self.lookback)
+        return self._execute(Run(self.pipeline, Window(start, safe_cutoff), scheduled=True))
 
     def backfill(self, start: datetime, end: datetime) -> dict:
-        """The same run over an explicit window; the checkpoint is untouched."""
-        return self._run_window(Window(start, end), advance=False)
-
-    # -- one run ------------------------------------------------------------------
-    def _run_window(self, window: Window, *, advance: bool) -> dict:
-        run_id, started = uuid.uuid4().hex, _now()
-        start_no = self.lake.append({"ingestion_runs": self._run_row(run_id, window, "running", started, 1)},
-                                    info={"run_id": run_id, "event": "start"})
-        extracted = 0
+        """An explicit window; the checkpoint is untouched."""
+        return self._execute(Run(self.pipeline, Window(start, end), scheduled=False))
+
+    def _execute(self, run: Run) -> dict:
+        opened = self.lake.append({"ingestion_runs": run.ledger(self.spark, "running")},
+                                  info={"run_id": run.run_id, "event": "start"})
+        found: dict = {}
         try:
-            batch = change_scan(self.source, window).select(*SOURCE_COLUMNS)
-            payload = canonical_json(batch, list(SOURCE_COLUMNS))
-            staged = batch.select(
-                "order_id", "version", F.col("updated_at").alias("source_updated_at"),
-                payload.alias("payload")).withColumn("payload_hash", payload_hash(F.col("payload")))
-            # one pass over the source window: the staged batch is a written table
-            staged, batch_rows = self.lake.scratch(staged, f"orders-{run_id}")
-            landed = landed_for_batch(
-                self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS)
-                    .select("order_id", "version", "payload_hash"),
-                staged, ["order_id", "version"])
-            labelled = classify(staged, landed, ["order_id", "version"]).select(
-                "order_id", "version", "source_updated_at", "payload", "payload_hash",
-                F.current_timestamp().alias("ingested_at"), F.lit(run_id).alias("first_seen_run_id"),
-                "existing_hash", "batch_copies", "status")
-            token = self._write_classified(labelled)
-            stats = self._stats(token)
-            extracted = int(stats["extracted"] or 0)
-            if stats["bad_meta"]:
-                raise ValueError("Page contains NULL order metadata")
-            if (stats["max_copies"] or 0) > 1:
-                raise ValueError("Page contains duplicate order IDs")
-            if stats["conflicts"]:
-                self._publish_conflicts(run_id, window, started, token, extracted, int(stats["conflicts"]))
-                raise ValueError("order_version_payload_conflict")
-            inserted = int(stats["new"] or 0)
-            counters = {"extracted": extracted, "inserted": inserted,
-                        "duplicates": extracted - inserted, "conflicts": 0}
-            frames = {"ingestion_runs": [self.lake.stage("ingestion_runs", self._run_row(
-                run_id, window, "succeeded", started, 2, counters))]}
-            if inserted:
-                frames["raw_order_versions"] = [f"{token}/status={NEW}"]
-            if advance:
-                cp = self.spark.createDataFrame([(self.pipeline, window.end, run_id, _now())], schemas.CHECKPOINTS)
-                frames["checkpoints"] = [self.lake.stage("checkpoints", cp)]
-            # refused if another run published rows or a checkpoint since this run started
-            self.lake.commit(frames, info={"run_id": run_id, "event": "succeeded"},
-                             guard=("raw_order_versions", "checkpoints"), since=start_no)
+            folder, found = self._classified(run)
+            if found["nulls"]:
+                raise ValueError("order metadata is NULL")
+            if not found["conflicts"]:
+                if found["copies"] > 1:
+                    raise ValueError("an order version occurs twice in the batch")
+                return self._publish(run, opened, folder, found)
         except Exception as exc:
-            if str(exc) != "order_version_payload_conflict":
-                try:
-                    self.lake.append({"ingestion_runs": self._run_row(
-                        run_id, window, "failed", started, 2, {"extracted": extracted},
-                        type(exc).__name__)}, info={"run_id": run_id, "event": "failed"})
-                except Exception:
-                    pass
+            self._fail(run, exc, found)
             raise
-        return {"pipeline": self.pipeline, "run_id": run_id, "window_start": window.start.isoformat(),
-                "window_end": window.end.isoformat(), "status": "succeeded", **counters,
-                "checkpoint_advanced": advance}
-
-    def _write_classified(self, labelled: DataFrame) -> str:
-        """One write of the labelled batch, split by status into sub-folders."""
+        self._refuse(run, folder, found)
+        raise ValueError("order_version_payload_conflict")
+
+    def _classified(self, run: Run) -> tuple[str, dict]:
+        """Write the labelled window once, split by status; return folder and counts."""
+        rows = change_scan(self.source, run.window).select(*SOURCE_COLUMNS)
+        rows = rows.select("order_id", "version", F.col("updated_at").alias("source_updated_at"),
+                           canonical_json(rows, list(SOURCE_COLUMNS)).alias("payload"))
+        # the staged window is a written table: the source is scanned once
+        staged, _ = self.lake.scratch(rows.withColumn("payload_hash", payload_hash(F.col("payload"))),
+                                      f"orders-{run.run_id}")
+        key = ["order_id", "version"]
+        landed = landed_for_batch(self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS)
+                                  .select(*key, "payload_hash"), staged, key)
+        # only new rows keep their payload: duplicates and refused ones need their hash alone
+        labelled = classify(staged, landed, key).select(
+            *key, "source_updated_at", F.when(F.col("status") == NEW, F.col("payload")).alias("payload"),
+            "payload_hash", F.current_timestamp().alias("ingested_at"),
+            F.lit(run.run_id).alias("first_seen_run_id"), "existing_hash", "batch_copies", "status")
         token = uuid.uuid4().hex
-        labelled.write.partitionBy("status").parquet(f"{self.lake.root}/tables/raw_order_versions/{token}")
-        return token
-
-    def _stats(self, token: str) -> dict:
-        base = f"{self.lake.root}/tables/raw_order_versions/{token}"
-        if not self.lake.fs.list_names(base) or self.lake.fs.list_names(base) == ["_SUCCESS"]:
-            return {"extracted": 0, "new": 0, "conflicts": 0, "max_copies": 0, "bad_meta": 0}
-        df = self.spark.read.parquet(base)
-        bad = F.col("order_id").isNull() | F.col("version").isNull() | F.col("source_updated_at").isNull()
-        return df.agg(F.sum("batch_copies").alias("extracted"),
-                      F.count_if(F.col("status") == NEW).alias("new"),
-                      F.count_if(F.col("status") == CONFLICT).alias("conflicts"),
-                      F.max("batch_copies").alias("max_copies"),
-                      F.count_if(bad).alias("bad_meta")).first().asDict()
-
-    def _publish_conflicts(self, run_id, window, started, token, extracted, n) -> None:
-        """The ledger keeps metadata only (two hashes), never the payload."""
-        base = f"{self.lake.root}/tables/raw_order_versions/{token}/status={CONFLICT}"
-        rows = self.spark.read.parquet(base).select(
-            F.expr("uuid()").alias("conflict_id"), F.lit(run_id).alias("run_id"), "order_id", "version",
+        path = f"{self.lake.root}/tables/raw_order_versions/{token}"
+        labelled.write.partitionBy("status").parquet(path)
+        null = F.col("order_id").isNull() | F.col("version").isNull() | F.col("source_updated_at").isNull()
+        found = self.spark.read.schema(labelled.schema).parquet(path).agg(
+            F.coalesce(F.sum("batch_copies"), F.lit(0)).alias("extracted"),
+            F.count_if(F.col("status") == NEW).alias("new"),
+            F.count_if(F.col("status") == CONFLICT).alias("conflicts"),
+            F.coalesce(F.max("batch_copies"), F.lit(0)).alias("copies"),
+            F.count_if(null).alias("nulls")).first().asDict()
+        return token, found
+
+    def _publish(self, run: Run, opened: int, folder: str, found: dict) -> dict:
+        """One commit: rows, run and checkpoint; refused if another run published since ``opened``."""
+        counts = {"extracted": found["extracted"], "inserted": found["new"],
+                  "duplicates": found["extracted"] - found["new"], "conflicts": 0}
+        staged = {"ingestion_runs": [self.lake.stage("ingestion_runs", run.ledger(
+            self.spark, "succeeded", **{LEDGER_COUNTS[k]: n for k, n in counts.items()}))]}
+        if found["new"]:
+            staged["raw_order_versions"] = [f"{folder}/status={NEW}"]
+        if run.scheduled:
+            moved = self.spark.createDataFrame([(run.pipeline, run.window.end, run.run_id, _now())],
+                                               schemas.CHECKPOINTS)
+            staged["checkpoints"] = [self.lake.stage("checkpoints", moved)]
+        self.lake.commit(staged, info={"run_id": run.run_id, "event": "succeeded"},
+                         guard=("raw_order_versions", "checkpoints"), since=opened)
+        return {"run_id": run.run_id, **counts, "checkpoint_advanced": run.scheduled}
+
+    def _refuse(self, run: Run, folder: str, found: dict) -> None:
+        """The ledger keeps metadata only (two hashes), never the payload.
+        Copies that differ inside the batch have no stored hash (NULL)."""
+        rows = self.spark.read.parquet(f"{self.lake.root}/tables/raw_order_versions/{folder}/status={CONFLICT}")
+        rows = rows.select(
+            F.expr("uuid()").alias("conflict_id"), F.lit(run.run_id).alias("run_id"), "order_id", "version",
             F.col("existing_hash").alias("existing_payload_hash"),
             F.col("payload_hash").alias("incoming_payload_hash"),
             F.lit(CONFLICT_REASON).alias("reason_code"), F.current_timestamp().alias("detected_at"))
-        frames = {
-            "order_conflicts": [self.lake.stage("order_conflicts", rows)],
-            "ingestion_runs": [self.lake.stage("ingestion_runs", self._run_row(
-                run_id, window, "failed", started, 2, {"extracted": extracted, "conflicts": n},
-                "ValueError"))],
-        }
-        self.lake.commit(frames, info={"run_id": run_id, "event": "conflict"})
+        failed = run.ledger(self.spark, "failed", "ValueError", **{
+            LEDGER_COUNTS["extracted"]: found["extracted"], LEDGER_COUNTS["conflicts"]: found["conflicts"]})
+        self.lake.append({"order_conflicts": rows, "ingestion_runs": failed},
+                         info={"run_id": run.run_id, "event": "conflict"})
+
+    def _fail(self, run: Run, exc: Exception, found: dict) -> None:
+        """Ledger the failure; the first error is the one to report, so a second is only noted on it."""
+        try:
+            self.lake.append({"ingestion_runs": run.ledger(self.spark, "failed", type(exc).__name__, **{
+                LEDGER_COUNTS["extracted"]: found.get("extracted", 0)})}, info={"run_id": run.run_id, "event": "failed"})
+        except Exception as second:
+            exc.add_note(f"the run's failure could not be ledgered: {second}")
 
 
-def latest_runs(lake: Lake) -> DataFrame:
+def latest_runs(lake: Lake, commits=None) -> DataFrame:
     """Current state of every run (the row with the highest ``seq``)."""
-    runs = lake.read("ingestion_runs", schemas.INGESTION_RUNS)
+    runs = lake.read("ingestion_runs", schemas.INGESTION_RUNS, commits=commits)
     cols = [c for c in runs.columns if c != "run_id"]
     return runs.groupBy("run_id").agg(F.max_by(F.struct(*cols), "seq").alias("r")).select("run_id", "r.*")
 

@@ -14,42 +14,45 @@ from ..operators import checks
 
 def gate_values(fct_orders: DataFrame, fct_payments: DataFrame, fct_refunds: DataFrame,
                 daily_finance: DataFrame) -> DataFrame:
-    """Q1-Q5 as one small plan: (gate, value); 0 means pass."""
-    loaded = fct_orders.agg(F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).cast("bigint").alias("value"))
-    mapping = fct_orders.agg(F.count_if(F.col("customer_sk").isNull()).alias("value"))
+    """Q1-Q5 as one small plan: (gate, value); 0 means pass.  Orders give two
+    gates and the three money tables two, each from one aggregate."""
+    failed = lambda ok: F.when(ok, 0).otherwise(1)
+    orders = fct_orders.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_sk").isNull()).alias("unmapped")) \
+        .select(*_gates(orders_loaded=failed(F.col("n") > 0), customer_mapping=F.col("unmapped")))
+    money = finance_terms(fct_payments, fct_refunds, daily_finance).select(*_gates(
+        finance_reconciliation=failed(F.col("net_total") == F.col("paid_total") - F.col("refund_total")),
+        negative_payment_amount=F.col("negative_payments")))
     orphans = (fct_payments.select("order_id")
                .join(fct_orders.select("order_id"), on="order_id", how="left_anti")
-               .agg(F.count(F.lit(1)).alias("value")))
-    fin = finance_terms(fct_payments, fct_refunds, daily_finance).select(
-        F.when(F.col("net_total") == F.col("paid_total") - F.col("refund_total"), 0)
-         .otherwise(1).cast("bigint").alias("value"))
-    negative = fct_payments.agg(F.count_if(F.col("amount") < 0).alias("value"))
-    named = [("orders_loaded", loaded), ("customer_mapping", mapping), ("orphan_payments", orphans),
-             ("finance_reconciliation", fin), ("negative_payment_amount", negative)]
-    out = None
-    for name, frame in named:
-        f = frame.select(F.lit(name).alias("gate"), F.col("value").cast("bigint").alias("value"))
-        out = f if out is None else out.unionByName(f)
-    return out
+               .agg(F.count(F.lit(1)).alias("n")).select(*_gates(orphan_payments=F.col("n"))))
+    return orders.unionByName(money).unionByName(orphans)
+
+
+def _gates(**values):
+    return [F.inline(F.array(*[F.struct(F.lit(k).alias("gate"), v.cast("bigint").alias("value"))
+                               for k, v in values.items()]))]
 
 
 def finance_terms(fct_payments: DataFrame, fct_refunds: DataFrame, daily_finance: DataFrame) -> DataFrame:
-    """The three global sums (each 0 when empty) as one row, from one
-    aggregate over a tagged union (no join between the three scalars)."""
-    zero = F.lit(0).cast("decimal(18,2)")
-    net = daily_finance.select(F.col("net").alias("n"), zero.alias("p"), zero.alias("r"))
-    paid = fct_payments.where(F.col("status") == "succeeded").select(
-        zero.alias("n"), F.col("amount").alias("p"), zero.alias("r"))
-    ref = fct_refunds.select(zero.alias("n"), zero.alias("p"), F.col("amount").alias("r"))
+    """The three global sums (each 0 when empty) and the number of payments
+    below zero as one row, from one aggregate over a tagged union (no join
+    between the scalars)."""
+    zero, none = F.lit(0).cast("decimal(18,2)"), F.lit(0).cast("bigint")
+    net = daily_finance.select(F.col("net").alias("n"), zero.alias("p"), zero.alias("r"), none.alias("b"))
+    paid = fct_payments.select(
+        zero.alias("n"), F.when(F.col("status") == "succeeded", F.col("amount")).otherwise(zero).alias("p"),
+        zero.alias("r"), F.when(F.col("amount") < 0, 1).otherwise(0).cast("bigint").alias("b"))
+    ref = fct_refunds.select(zero.alias("n"), zero.alias("p"), F.col("amount").alias("r"), none.alias("b"))
     return net.unionByName(paid).unionByName(ref).agg(
         F.coalesce(F.sum("n"), zero).alias("net_total"),
         F.coalesce(F.sum("p"), zero).alias("paid_total"),
-        F.coalesce(F.sum("r"), zero).alias("refund_total"))
+        F.coalesce(F.sum("r"), zero).alias("refund_total"),
+        F.coalesce(F.sum("b"), none).alias("negative_payments"))
 
 
 def finance_reconcile(fct_payments: DataFrame, fct_refunds: DataFrame, daily_finance: DataFrame) -> DataFrame:
     """Q13: one row; ``passed`` is false when net differs from paid - refunded."""
-    t = finance_terms(fct_payments, fct_refunds, daily_finance)
+    t = finance_terms(fct_payments, fct_refunds, daily_finance).drop("negative_payments")
     return t.withColumn("passed", F.col("net_total").eqNullSafe(F.col("paid_total") - F.col("refund_total")))
 
 

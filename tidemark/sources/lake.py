@@ -153,10 +153,12 @@ class Lake:
                  if n.endswith(".json") and not n.startswith(".")]
         return max((int(n[:-5]) for n in names), default=0)
 
-    def read(self, table: str, schema: StructType, as_of: int | None = None) -> DataFrame:
-        """All committed rows of ``table`` (optionally as of a commit number)."""
+    def read(self, table: str, schema: StructType, as_of: int | None = None,
+             commits: list[Commit] | None = None) -> DataFrame:
+        """All committed rows of ``table`` (optionally as of a commit number, or
+        by a commit list read before, for several tables at one moment)."""
         dirs = []
-        for c in self.commits():
+        for c in self.commits() if commits is None else commits:
             if as_of is not None and c.number > as_of:
                 continue
             for d in c.meta.get("tables", {}).get(table, []):
