@@ -58,14 +58,17 @@ def build_session(master: str | None = None, app_name: str = "tidemark",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written state (commit logs, checkpoints, lakes).
 
-    Read from ``spark.checkpoint.dir`` (the setting a cluster names).  Only
-    when it is unset -- local tests -- a fresh scratch folder is created and
-    registered, so every later call in the session agrees on it.
+    Read from ``spark.checkpoint.dir`` (the setting a cluster names).  Where it
+    is unset a local session gets a fresh scratch folder, registered so that
+    every later call agrees on it; on a cluster, where executors would write to
+    their own disks, the missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", current)
