@@ -300,3 +300,15 @@ def test_versions_that_differ_inside_a_batch_reach_the_ledger(spark, lake):
     assert landed_orders(lake).count() == 0
     with pytest.raises(ValueError, match="twice in the batch"):
         OrderIngestion(lake, source(spark, ORDERS + ORDERS[:1])).run(CUTOFF)
+
+
+def test_feed_walk_with_a_gap_or_a_way_back(spark, lake):
+    def feed_of(*links):
+        return spark.createDataFrame([(f"p{i}", i, json.dumps({"data": [], "next_cursor": c}))
+                                      for i, c in links], "page_id string, page_seq bigint, page string")
+    with pytest.raises(ValueError, match="missing_page"):
+        PaymentIngestion(lake).run(feed_of((0, "p1"), (1, "p2"), (3, None)))
+    with pytest.raises(ValueError, match="repeated_cursor"):
+        PaymentIngestion(lake).run(feed_of((0, None), (1, "p2"), (2, "p1")))
+    assert PaymentIngestion(lake).run(feed_of((0, "p1"), (1, None), (5, None)))["pages_fetched"] == 3
+    assert landed_payments(lake).count() == 0

@@ -42,6 +42,13 @@ def parse_zoned(text) -> Column:
     return F.when(has_zone(t), F.try_to_timestamp(F.regexp_replace(t, "[zZ]$", "+00:00")))
 
 
+def zoned_or_fail(text) -> Column:
+    """P5 for landed payloads: NULL stays NULL, a text without offset or no time at all fails the job."""
+    t, at = _col(text), parse_zoned(text)
+    bad = F.raise_error(F.concat(F.lit("payload_time_invalid: "), t)).cast("timestamp")
+    return F.when(t.isNotNull() & at.isNull(), bad).otherwise(at)
+
+
 def iso_utc(ts) -> Column:
     """Canonical text of an instant: microseconds and explicit offset, in UTC."""
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

@@ -198,6 +198,29 @@ def daily_finance_frame(spark, sf):
     return marts.daily_finance(fct_payments(spark, sf), fct_refunds(spark, sf))
 
 
+@register("product_dimension", _sql(("d_products",), [], """
+select product_id, product_name, category, cast(current_price as double) as current_price from d_products"""))
+def q_product_dimension(spark, sf):
+    """M4: the product dimension, row by row."""
+    return wh.dim_product(d.products(spark, sf))
+
+
+@register("payments_fact", _sql(("d_payments",), [FCT_PAYMENTS_SQL], f"""
+select payment_id, order_id, cast(version as bigint) as version, cast(amount as double) as amount, currency, status,
+  {TS.format('paid_at')} as paid_at, cast(payment_date as varchar) as payment_date from fct_payments"""))
+def q_payments_fact(spark, sf):
+    """M8: payments with their business date, row by row."""
+    return fct_payments(spark, sf)
+
+
+@register("refunds_fact", _sql(("d_refunds",), [FCT_REFUNDS_SQL], f"""
+select refund_id, order_id, cast(amount as double) as amount, currency, {TS.format('refunded_at')} as refunded_at,
+  cast(refund_date as varchar) as refund_date from fct_refunds"""))
+def q_refunds_fact(spark, sf):
+    """M9: refunds with their business date, row by row."""
+    return fct_refunds(spark, sf)
+
+
 @register("orphan_payments", _sql(("d_order_versions", "d_customer_history", "d_payments"),
                                    [STG_ORDERS_SQL, DIM_CUSTOMER_SQL, FCT_ORDERS_SQL, FCT_PAYMENTS_SQL], """
 select p.payment_id, p.order_id from fct_payments p
@@ -392,10 +415,14 @@ full outer join (select order_date, currency, count(*) as order_count, sum(amoun
              from fct_orders where status <> 'cancelled' group by all) w
   on l.event_date is not distinct from w.order_date and l.currency is not distinct from w.currency"""))
 def q_two_path_reconcile(spark, sf):
-    """The lake aggregate (A1) against the warehouse aggregate, per day and
-    currency; ``matched`` false marks a difference."""
-    lake = marts.daily_orders(lake_orders(spark, sf))
-    whs = (fct_orders(spark, sf).where(F.col("status") != "cancelled")
+    """The mart of a verified snapshot (A1) against the warehouse fact over
+    the landed payloads, per day and currency; ``matched`` false marks a difference."""
+    from ..sources import snapshot as snap
+    from .ingest import landed_orders
+    landed, root = _snapshot_lake(spark, sf)
+    lake = spark.read.parquet(f"{snap.build_spark_mart(spark, root)['path']}/data")
+    fact = wh.fct_orders(wh.stg_landed_orders(landed_orders(landed)), wh.dim_customer(d.customer_history(spark, sf)))
+    whs = (fact.where(F.col("status") != "cancelled")
            .groupBy(F.col("order_date").alias("event_date"), "currency")
            .agg(F.count(F.lit(1)).alias("order_count"), F.sum("amount").alias("order_value")))
     return checks.reconcile(lake, whs, ["event_date", "currency"], ["order_count", "order_value"])
@@ -848,6 +875,30 @@ def q_payment_upsert(spark, sf):
     return landed_payments(lake).select("payment_id", "page_id", "payload_hash")
 
 
+@register("landed_payments_staging", _payment_sql(f"""ref as payment_id, ref as order_id, cast(1 as bigint) as version,
+  cast(json_extract_string(s, '$.amount') as double) as amount, json_extract_string(s, '$.currency') as currency,
+  json_extract_string(s, '$.status') as status, {TS.format(
+    "cast(replace(json_extract_string(s, '$.updated_at'), '+07:00', '') as timestamp) - interval 7 hour")} as paid_at""",
+    "qualify bool_and(invalid_fields = '') over (partition by page_no)"))
+def q_landed_payments_staging(spark, sf):
+    """Payments staged from the landed payloads of the clean pages."""
+    from ..sources.events import payment_pages
+    from .ingest import PaymentIngestion, landed_payments
+    lake = fresh_lake(spark, "staging")
+    pages = payment_pages(spark, sf).withColumn("page_seq", F.substring("page_id", 2, 20).cast("bigint"))
+    PaymentIngestion(lake, on_bad="quarantine").run(pages)
+    return wh.stg_landed_payments(landed_payments(lake))
+
+
+@register("landed_orders_staging", ORACLE_SQL["latest_orders"])
+def q_landed_orders_staging(spark, sf):
+    """Orders staged from the landed payloads."""
+    from .ingest import OrderIngestion, landed_orders
+    lake = fresh_lake(spark, "staging")
+    OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL).run(CUTOFF_2)
+    return wh.stg_landed_orders(landed_orders(lake))
+
+
 # Streaming, snapshots, health ------------------------------------------------------
 def click_log(spark, sf):
     """Topic records of the click events as a broker would hold them:
@@ -899,7 +950,7 @@ def _snapshot_lake(spark, sf):
     OrderIngestion(lake, d.order_versions(spark, sf), initial_start=INITIAL).run(CUTOFF_2)
     root = f"{lake.root}/_snapshots"
     snap.export_snapshot(lake, root)
-    return root
+    return lake, root
 
 
 @register("snapshot_roundtrip", _sql(("d_order_versions",), [], f"""
@@ -911,7 +962,7 @@ def q_snapshot_roundtrip(spark, sf):
     """Every landed version exported by business date, verified
     (ids, paths, sizes, digests, row counts) and read back."""
     from ..sources import snapshot as snap
-    root = _snapshot_lake(spark, sf)
+    _, root = _snapshot_lake(spark, sf)
     directory, _ = snap.load_snapshot(spark, root)
     return snap.read_snapshot_table(spark, directory, "orders")
 
@@ -921,7 +972,7 @@ def q_derived_mart(spark, sf):
     """The reference's Spark job over a verified snapshot, published
     once as data + report, then read back."""
     from ..sources import snapshot as snap
-    root = _snapshot_lake(spark, sf)
+    _, root = _snapshot_lake(spark, sf)
     report = snap.build_spark_mart(spark, root)
     return spark.read.parquet(f"{report['path']}/data")
 
@@ -1011,22 +1062,23 @@ def q_alert_hold(spark, sf):
 @register("summary", _sql(("d_payments", "d_refunds", "d_clicks"), [FCT_PAYMENTS_SQL, FCT_REFUNDS_SQL,
                                                                     DAILY_FINANCE_SQL], f"""
 select 'finance' as section, cast(date_day as varchar) as date_day, currency as label,
-  cast(net as double) as value from daily_finance
+  cast(revenue as double) as revenue, cast(refund as double) as refund, cast(net as double) as net,
+  cast(null as bigint) as event_count, cast(null as bigint) as unique_customers from daily_finance
 union all
-select 'clickstream', cast({JKT.format('event_time')} as varchar), event_type, cast(count(*) as double)
+select 'clickstream', cast({JKT.format('event_time')} as varchar), event_type, null, null, null,
+  cast(count(*) as bigint), cast(count(distinct customer_id) as bigint)
 from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout') group by all"""))
 def q_summary(spark, sf):
     """The run summary -- finance by date, clickstream by date
-    and type -- as one ordered report over the marts."""
+    and type, all columns of both marts -- as one ordered report."""
     from ..functions.contracts import click_errors
     fin = daily_finance_frame(spark, sf).select(
-        F.lit("finance").alias("section"), "date_day", F.col("currency").alias("label"),
-        F.col("net").cast("double").alias("value"))
+        F.lit("finance").alias("section"), "date_day", F.col("currency").alias("label"), "revenue", "refund", "net")
     c = d.clicks(spark, sf)
     clk = marts.daily_clickstream(c.where(F.size(click_errors(c)) == 0)).select(
         F.lit("clickstream").alias("section"), "date_day", F.col("event_type").alias("label"),
-        F.col("event_count").cast("double").alias("value"))
-    return fin.unionByName(clk).orderBy("section", "date_day", "label")
+        "event_count", "unique_customers")
+    return fin.unionByName(clk, allowMissingColumns=True).orderBy("section", "date_day", "label")
 
 
 @register("warehouse_build", _sql(("d_order_versions", "d_customer_history", "d_payments", "d_refunds",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canonical import surrogate_key
-from ..functions.timeutil import business_date
+from ..functions.timeutil import business_date, zoned_or_fail
 from ..operators.asof import asof_left_join
 from ..operators.versions import latest_by
 
@@ -25,6 +25,30 @@ def stg_payments(payment_versions: DataFrame, tiebreak: str = "paid_at") -> Data
     return latest_by(payment_versions, ["payment_id"], ["version", tiebreak])
 
 
+def _payload_text(name: str):
+    return F.try_variant_get(F.col("_v"), f"$.{name}", "string")
+
+
+def stg_landed_orders(raw_orders: DataFrame) -> DataFrame:
+    """M1 over the landed log: the newest version (then the last ingested row)
+    of each order, its payload parsed and typed only after the others are gone."""
+    newest = latest_by(raw_orders, ["order_id"], ["version", "ingested_at"])
+    return newest.withColumn("_v", F.try_parse_json("payload")).select(
+        "order_id", _payload_text("customer_id").alias("customer_id"), _payload_text("status").alias("status"),
+        _payload_text("amount").cast("decimal(18,2)").alias("amount"), _payload_text("currency").alias("currency"),
+        "version", zoned_or_fail(_payload_text("created_at")).alias("created_at"),
+        F.col("source_updated_at").alias("updated_at"))
+
+
+def stg_landed_payments(raw_payments: DataFrame) -> DataFrame:
+    """M2 over the landed log; ``paid_at`` is the record's own zoned time."""
+    newest = latest_by(raw_payments, ["payment_id"], ["version", "ingested_at"])
+    return newest.withColumn("_v", F.try_parse_json("payload")).select(
+        "payment_id", "order_id", "version", _payload_text("amount").cast("decimal(18,2)").alias("amount"),
+        _payload_text("currency").alias("currency"), _payload_text("status").alias("status"),
+        zoned_or_fail(_payload_text("updated_at")).alias("paid_at"))
+
+
 def dim_customer(history: DataFrame) -> DataFrame:
     """M3: Type 2 customer rows with a hash surrogate key of (id, valid_from UTC)."""
     sk = surrogate_key(F.col("customer_id"), F.col("valid_from").cast("string"))

@@ -6,7 +6,10 @@ or file per page) and the whole set is validated and exploded in parallel:
 
 * shape: every page must be an object with an array of objects under
   ``data`` and a string or null ``next_cursor`` -> ``invalid_response_shape``;
-* a cursor named by two pages would loop -> ``repeated_cursor``;
+* a page lands under the cursor that fetched it, so a cursor that no page landed
+  under is a gap in the walk -> ``missing_page``;
+* a cursor named by two pages, or leading back in feed order, would loop ->
+  ``repeated_cursor``; several walks, each up to its null cursor, may be landed together;
 * records are exploded with their page id, ready for the contract (V4) and
   the page-atomic upsert (I7).
 """
@@ -36,16 +39,26 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", text_col: str = "page
                         F.try_variant_get(v, "$.next_cursor", "string").alias("next_cursor"))
 
 
-def check_pages(parsed: DataFrame) -> dict:
-    """Raise the named feed errors; one small aggregate reaches the driver."""
+def check_pages(parsed: DataFrame, order: str = "page_seq") -> dict:
+    """Raise the named feed errors; two one-row aggregates reach the driver."""
     shape = parsed.agg(F.count_if(~F.col("shape_ok")).alias("bad"),
                        F.count(F.lit(1)).alias("pages")).first()
     if shape["bad"]:
         raise FeedError("invalid_response_shape")
-    repeated = (parsed.where(F.col("next_cursor").isNotNull()).groupBy("next_cursor")
-                .count().where("count > 1").limit(1).count())
-    if repeated:
+    seq = F.col(order)
+    named = parsed.where(F.col("next_cursor").isNotNull()).select(F.col("next_cursor").alias("id"), seq.alias("named_at"))
+    landed = parsed.select(F.col("page_id").alias("id"), seq.alias("landed_at"))
+    walk = (named.unionByName(landed, allowMissingColumns=True).groupBy("id")
+            .agg(F.count("named_at").alias("names"), F.max("named_at").alias("named_at"),
+                 F.min("landed_at").alias("landed_at"))
+            .agg(F.coalesce(F.bool_or((F.col("names") > 1) | (F.col("named_at") >= F.col("landed_at"))),
+                            F.lit(False)).alias("loops"),
+                 F.coalesce(F.bool_or((F.col("names") > 0) & F.col("landed_at").isNull()),
+                            F.lit(False)).alias("gaps")).first())
+    if walk["loops"]:
         raise FeedError("repeated_cursor")
+    if walk["gaps"]:
+        raise FeedError("missing_page")
     return {"pages": shape["pages"]}
 
 
