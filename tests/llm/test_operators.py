@@ -203,6 +203,19 @@ def test_mixing(docs, table, spark):
     same([(r["rid"], r["taken"]) for r in again], [(r["rid"], r["taken"]) for r in found])
 
 
+def test_mixing_fills_behind_a_long_document(spark):
+    # a document as long as all others together is met on the way to the target
+    sized = [("long", 50_000), *[("long", 100)] * 500, *[("mixed", 1 + k % 7 * 40 + k % 13) for k in range(300)], ("mixed", 20_000), ("mixed", 9_000)]
+    df = spark.createDataFrame([(k, s, n) for k, (s, n) in enumerate(sized)], "doc_id long, source string, n long")
+    for source in ("long", "mixed"):
+        rows, _, targets, _ = mixing.mix(df.where(mixing.F.col("source") == source), mixing.F.array("source"), mixing.F.col("n"))
+        found = rows.collect()
+        left = int(targets[source]) - sum(r["taken"] for r in found)
+        assert len(found) == sum(s == source for s, _ in sized) and {r["taken"] // r["size"] for r in found} == {1, 2}
+        assert 0 <= left < min(r["size"] for r in found if r["taken"] == r["size"])
+        assert source != "long" or left == 0
+
+
 def test_flow_of_overlapping_sources():
     patterns = {("a",): 100, ("a", "b"): 100, ("b",): 10}
     flows = mixing.min_cost_flow(patterns, {"a": 90, "b": 110}, 2)

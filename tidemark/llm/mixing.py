@@ -7,8 +7,8 @@ words are left that were not taken.  The network has a node per pattern and per
 solved on the driver: what reaches it are sums per pattern, ``max_patterns`` at most (more is
 an error, as the pattern table would no longer be small).  Then each pattern takes its
 words from its documents in a seeded order: whole rounds first, the rest as a prefix of the order
-(cut by sums over hash ranges, so no pattern is sorted in one task) and, where the prefix
-leaves room, the largest documents that still fit.  Documents are taken whole.
+(cut by sums over hash ranges, so no pattern is sorted in one task), then as prefixes of the
+documents that still fit, until none does.  Documents are taken whole.
 
 Null texts have size 0; a null source is a source of its own, last in order; every row is a
 document of its own (repeated rows are taken each).  Empty tables give no rows; other columns are
@@ -18,6 +18,7 @@ not read.  Reruns over the same rows agree: the order is a hash of id, text size
 from __future__ import annotations
 
 from collections import deque
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def min_cost_flow(patterns: dict, goals: dict, copies: int) -> dict:
 
 
 def mix(docs: DataFrame, members, size, copies: int = 2, weights=(5, 2, 1), share: float = 1.5, seed: int = 17,
-        max_patterns: int = 100_000, fills: int = 3, keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict, dict, dict]:
+        max_patterns: int = 100_000, keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict, dict, dict]:
     """Taken words per document.
 
     ``members``: column with the array of a document's sources; ``size``: column with its words.
@@ -128,41 +129,49 @@ def mix(docs: DataFrame, members, size, copies: int = 2, weights=(5, 2, 1), shar
         flow = sum(flows[(p, s)] for s in p)
         rounds = flow // words if words else 0
         plan.append((list(p), rounds, flow - rounds * words))
+    # Patterns are joined as arrays (null members are equal in them): with to_json(transform(members)) as the key
+    # a row now and then missed its match (most likely its evaluator is shared by concurrent broadcast builds)
     plan = spark.createDataFrame(plan, "members array<string>, rounds long, rest long")
-    rows = rows.join(_null_safe(plan), _key("members") == F.col("_members"), "left").drop("_members")
-    turn = F.shiftrightunsigned("turn", 64 - RANGES.bit_length() + 1)
-    spans = rows.groupBy("members", "rest", turn.alias("span")).agg(F.sum("size").alias("words"))
-    upto = F.sum("words").over(Window.partitionBy(_key("members")).orderBy("span"))
-    cuts = (spans.withColumn("upto", upto).where(F.col("upto") > F.col("rest")).groupBy("members")
-            .agg(F.min(F.struct("span", (F.col("upto") - F.col("words")).alias("before"))).alias("cut")))
-    cuts = cuts.select(_key("members").alias("_members"), F.col("cut.span").alias("cut"), F.col("cut.before").alias("before"))
-    rows = rows.join(cuts, _key("members") == F.col("_members"), "left").drop("_members")
-    edge = rows.where(turn == F.col("cut"))
-    inside = F.sum("size").over(Window.partitionBy(_key("members")).orderBy("turn", "rid"))
-    edge = edge.select(F.col("rid").alias("_rid"), (F.col("before") + inside <= F.col("rest")).alias("fits"))
-    rows = rows.join(edge, F.col("rid") == F.col("_rid"), "left").drop("_rid")
-    chosen = F.coalesce(F.col("fits"), turn < F.col("cut"), F.lit(False))
-    rows = rows.withColumn("chosen", chosen).select(
-        "rid", "doc_id", "members", "size", "rounds", "rest", "turn", "chosen", *keep).checkpoint(eager=True)
-    for _ in range(fills):
-        room = rows.groupBy("members", "rest").agg(F.coalesce(F.sum(F.when(F.col("chosen"), F.col("size"))), F.lit(0)).alias("got"))
-        room = room.select(_key("members").alias("_members"), (F.col("rest") - F.col("got")).alias("room"))
-        open_rows = rows.where(~F.col("chosen") & (F.col("size") > 0)).join(room, _key("members") == F.col("_members"))
-        pick = open_rows.where(F.col("size") <= F.col("room")).groupBy("members").agg(F.max(F.struct("size", "turn", "rid")).alias("pick"))
-        pick = pick.select(F.col("pick.rid").alias("_rid"))
-        rows = rows.join(pick, F.col("rid") == F.col("_rid"), "left").withColumn("chosen", F.col("chosen") | F.col("_rid").isNotNull()).drop("_rid")
-        rows = rows.checkpoint(eager=True)
-    taken = F.col("size") * (F.col("rounds") + F.col("chosen").cast("long"))
+    rows = rows.join(plan, "members", "left")
+    rows = rows.join(_chosen(rows.select("rid", "members", "size", "turn", F.col("rest").alias("room"))), "rid", "left")
+    taken = F.col("size") * (F.col("rounds") + F.col("chosen").isNotNull().cast("long"))
     return rows.select("rid", "doc_id", "members", "size", taken.alias("taken"), *keep), sizes, targets, flows
 
 
-def _key(column: str):
-    """Arrays with null members as one comparable text."""
-    return F.to_json(F.transform(column, lambda s: F.struct(F.coalesce(s, F.lit("")).alias("s"), s.isNull().alias("n"))))
+def _chosen(rows: DataFrame) -> DataFrame:
+    """(rid, chosen) of documents (rid, members, size, turn, room) taken into each pattern's room.
 
-
-def _null_safe(plan: DataFrame) -> DataFrame:
-    return plan.select(_key("members").alias("_members"), "rounds", "rest")
+    Each round takes the longest prefix of the open documents that fit one by one; what is then larger
+    than the room left is closed, the document after the prefix with it.  Ends when nothing is open.
+    """
+    taken = []
+    rows = rows.where((F.col("size") > 0) & (F.col("size") <= F.col("room")))
+    while True:
+        rows = _prefix(rows).checkpoint(eager=True)
+        taken.append(rows.where("fits").select("rid", F.lit(True).alias("chosen")))
+        if taken[-1].isEmpty():
+            return reduce(DataFrame.unionByName, taken)
+        got = rows.groupBy("members").agg(F.coalesce(F.sum(F.when(F.col("fits"), F.col("size"))), F.lit(0)).alias("got"))
+        rows = rows.where(~F.col("fits")).join(got, "members")
+        rows = rows.select("rid", "members", "size", "turn", (F.col("room") - F.col("got")).alias("room"))
+        rows = rows.where(F.col("size") <= F.col("room"))
+
+
+def _prefix(rows: DataFrame) -> DataFrame:
+    """The rows with ``fits``: whether the sum of sizes up to them, in order of turn, is within the room."""
+    turn = F.shiftrightunsigned("turn", 64 - RANGES.bit_length() + 1)
+    spans = rows.groupBy("members", "room", turn.alias("span")).agg(F.sum("size").alias("words"))
+    upto = F.sum("words").over(Window.partitionBy("members").orderBy("span"))
+    cuts = (spans.withColumn("upto", upto).where(F.col("upto") > F.col("room")).groupBy("members")
+            .agg(F.min(F.struct("span", (F.col("upto") - F.col("words")).alias("before"))).alias("cut")))
+    cuts = cuts.select("members", F.col("cut.span").alias("cut"), F.col("cut.before").alias("before"))
+    rows = rows.join(cuts, "members", "left")
+    edge = rows.where(turn == F.col("cut"))
+    inside = F.sum("size").over(Window.partitionBy("members").orderBy("turn", "rid"))
+    edge = edge.select(F.col("rid").alias("_rid"), (F.col("before") + inside <= F.col("room")).alias("inner"))
+    rows = rows.join(edge, F.col("rid") == F.col("_rid"), "left")
+    fits = F.coalesce(F.col("inner"), turn < F.col("cut"), F.lit(True))
+    return rows.select("rid", "members", "size", "turn", "room", fits.alias("fits"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
