@@ -132,7 +132,7 @@ def mix(docs: DataFrame, members, size, copies: int = 2, weights=(5, 2, 1), shar
     # Patterns are joined as arrays (null members are equal in them): with to_json(transform(members)) as the key
     # a row now and then missed its match (most likely its evaluator is shared by concurrent broadcast builds)
     plan = spark.createDataFrame(plan, "members array<string>, rounds long, rest long")
-    rows = rows.join(plan, "members", "left")
+    rows = rows.join(F.broadcast(plan), "members", "left")  # here and below max_patterns rows at most
     rows = rows.join(_chosen(rows.select("rid", "members", "size", "turn", F.col("rest").alias("room"))), "rid", "left")
     taken = F.col("size") * (F.col("rounds") + F.col("chosen").isNotNull().cast("long"))
     return rows.select("rid", "doc_id", "members", "size", taken.alias("taken"), *keep), sizes, targets, flows
@@ -152,7 +152,7 @@ def _chosen(rows: DataFrame) -> DataFrame:
         if taken[-1].isEmpty():
             return reduce(DataFrame.unionByName, taken)
         got = rows.groupBy("members").agg(F.coalesce(F.sum(F.when(F.col("fits"), F.col("size"))), F.lit(0)).alias("got"))
-        rows = rows.where(~F.col("fits")).join(got, "members")
+        rows = rows.where(~F.col("fits")).join(F.broadcast(got), "members")
         rows = rows.select("rid", "members", "size", "turn", (F.col("room") - F.col("got")).alias("room"))
         rows = rows.where(F.col("size") <= F.col("room"))
 
@@ -165,7 +165,7 @@ def _prefix(rows: DataFrame) -> DataFrame:
     cuts = (spans.withColumn("upto", upto).where(F.col("upto") > F.col("room")).groupBy("members")
             .agg(F.min(F.struct("span", (F.col("upto") - F.col("words")).alias("before"))).alias("cut")))
     cuts = cuts.select("members", F.col("cut.span").alias("cut"), F.col("cut.before").alias("before"))
-    rows = rows.join(cuts, "members", "left")
+    rows = rows.join(F.broadcast(cuts), "members", "left")
     edge = rows.where(turn == F.col("cut"))
     inside = F.sum("size").over(Window.partitionBy("members").orderBy("turn", "rid"))
     edge = edge.select(F.col("rid").alias("_rid"), (F.col("before") + inside <= F.col("room")).alias("inner"))
