@@ -273,6 +273,41 @@ def test_packing(docs, table, spark):
     assert len(bins) <= -(-sum(e[3] for e in expected) // 4096) + 1
 
 
+def test_rows_keep_their_numbers_when_scans_split_anew(spark, table, tmp_path, monkeypatch):
+    """The files are split otherwise between the jobs of an operator, as when executors join."""
+    plain = spark.createDataFrame(table, SCHEMA)
+    plain.repartition(3, "text").sortWithinPartitions("doc_id").write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    splits = itertools.cycle([1, 6, 2, 8])
+
+    def resplit(module, name):
+        inner = getattr(module, name)
+
+        def call(*args, **more):
+            spark.conf.set("spark.sql.files.minPartitionNum", next(splits))
+            return inner(*args, **more)
+        monkeypatch.setattr(module, name, call)
+
+    resplit(parity, "links")
+    resplit(mixing, "min_cost_flow")
+    resplit(spotsigs.F, "broadcast")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        kept = Counter(r["text"] or "" for r in parity.one_of_each(docs).collect())
+        comps = brute_components(ordered(table))
+        assert sum(kept.values()) == len({c for _, n, c in comps if n}) + sum(1 for _, n, _ in comps if not n)
+        mixed = Counter((r["doc_id"], r["text"]) for r in mixing.mixed(docs).collect())
+        spots = spotsigs.fingerprints(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(spots) == len(table)
+    # every document with words is taken once at least in this mix
+    assert set(mixed) == {(r[0], r[1]) for r in table if WORD.findall(r[1] or "")}
+    same([(r["doc_id"], r["n_chars"]) for r in spots], [(i, len(t)) for i, t in ordered(table)])
+
+
 def labelled_table(n=500):
     rng = random.Random(2)
     rows, labels = [], []

@@ -11,10 +11,12 @@ only the bucket it was dealt, and the number of buckets grows with the input
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,13 +201,41 @@ def bucket_count(texts: DataFrame, column: str = "text", each: int = BUCKET_BYTE
     return int(max(partitions, -(-int(size) // each)))
 
 
-def keyed(docs: DataFrame, columns: tuple[str, ...] = ("text",)) -> DataFrame:
+RID = "_rid"
+
+
+def numbered(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``columns`` and ``RID``, a number of each row that all later scans give again, whatever their splits.
+
+    Rows of Parquet files are numbered by file (in order of path) and place in it; the rows of other tables
+    are written once to the shared folder with their numbers.
+    """
+    from tidemark.session import shared_dir
+
+    spark, plan = docs.sparkSession, docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    try:
+        if plan.nodeName() != "LogicalRelation":
+            raise AnalysisException("not rows of files")
+        rows = docs.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"), *columns)
+    except AnalysisException:
+        path = f"{shared_dir(spark)}/numbered-{uuid.uuid4().hex}"
+        docs.select(F.monotonically_increasing_id().alias(RID), *columns).write.parquet(path)
+        return spark.read.parquet(path)
+    paths = sorted(r[0] for r in rows.select("_path").distinct().collect())
+    files = spark.createDataFrame(list(enumerate(paths)), "_file long, _path string")
+    rows = rows.join(F.broadcast(files), "_path")  # one row per file
+    return rows.select((F.shiftleft("_file", 36) + F.col("_row")).alias(RID), *columns)
+
+
+def keyed(docs: DataFrame, columns: tuple[str, ...] = ("text",), rid: str | None = None) -> DataFrame:
     """(rid, doc_id, columns): every input row is a document of its own.
 
-    ``rid`` numbers rows by input split and position, so repeated rows and null ids stay
-    apart; reading a written table again gives the same numbers.
+    ``rid`` numbers rows, so repeated rows and null ids stay apart: by input split and position, which
+    another scan gives again only if it is split alike, or from the column ``rid`` (see ``numbered``).
     """
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select((F.monotonically_increasing_id() if rid is None else F.col(rid)).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                        *(F.col(c).cast("string").alias(c) for c in columns))
 
 

@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import arrays as A
+
 WORD = r"[^\x20\x09-\x0D]+"
 RANGES = 1 << 14
 
@@ -100,17 +102,18 @@ def min_cost_flow(patterns: dict, goals: dict, copies: int) -> dict:
 
 
 def mix(docs: DataFrame, members, size, copies: int = 2, weights=(5, 2, 1), share: float = 1.5, seed: int = 17,
-        max_patterns: int = 100_000, keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict, dict, dict]:
+        max_patterns: int = 100_000, keep: tuple[str, ...] = (), rid: str | None = None) -> tuple[DataFrame, dict, dict, dict]:
     """Taken words per document.
 
-    ``members``: column with the array of a document's sources; ``size``: column with its words.
+    ``members``: column with the array of a document's sources; ``size``: column with its words;
+    ``rid``: column that numbers the rows, if they have one (``arrays.numbered``).
     Gives (rows with rid, doc_id, members, size, taken and the ``keep`` columns; words per
     source; targets; flows by pattern and source).
     """
     from tidemark.session import shared_dir
 
     shared_dir(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select((F.monotonically_increasing_id() if rid is None else F.col(rid)).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.array_sort(F.array_distinct(members)).alias("members"), size.alias("size"), *keep)
     rows = rows.withColumn("turn", F.xxhash64(F.lit(seed), "doc_id", "size", "rid")).checkpoint(eager=True)
     groups = rows.groupBy("members").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
@@ -176,16 +179,16 @@ def _prefix(rows: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents, all columns, as often as the mix takes them (op4's parameters)."""
-    rows, *_ = mix(docs, F.array(F.col("source").cast("string")), word_count())
-    copies = rows.where("taken > 0").select(F.col("rid").alias("_rid"), (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    own = docs.withColumn("_rid", F.monotonically_increasing_id()).join(copies, "_rid")
-    return own.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    own = A.numbered(docs, tuple(docs.columns))
+    rows, *_ = mix(own, F.array(F.col("source").cast("string")), word_count(), rid=A.RID)
+    copies = rows.where("taken > 0").select(F.col("rid").alias(A.RID), (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    return own.join(copies, A.RID).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def query(spark, sf_dir) -> DataFrame:
     """op4: all documents; a document's source is its one membership."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows, sizes, targets, _ = mix(docs, F.array(F.col("source").cast("string")), word_count())
+    docs = A.numbered(spark.read.parquet(f"{sf_dir}/documents.parquet"), ("doc_id", "text", "source"))
+    rows, sizes, targets, _ = mix(docs, F.array(F.col("source").cast("string")), word_count(), rid=A.RID)
     known = spark.createDataFrame([(s, sizes[s], targets[s]) for s in sizes] or [(None, 0, 0.0)],
                                   "name string, source_size long, target double")
     rows = rows.join(known, F.col("members")[0].eqNullSafe(F.col("name")), "left")

@@ -369,16 +369,17 @@ def links(holds: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     return components(edges.unionByName(more))
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, rid: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, rid, first) for documents (doc_id, text, ...).
 
     ``class_id`` is the smallest doc_id with the same set, ``component_id`` the smallest reachable by
-    links; ``first`` marks the smallest (doc_id, row) of each component.
+    links; ``first`` marks the smallest (doc_id, row) of each component.  ``rid``: column of
+    ``arrays.numbered`` rows.
     """
     from tidemark.session import shared_dir
 
-    docs = A.keyed(docs)
     shared_dir(docs.sparkSession)
+    docs = A.keyed(docs if rid else A.numbered(docs, ("doc_id", "text")), rid=rid or A.RID)
     n = A.bucket_count(docs)
     every = digests(docs, words).checkpoint()
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "rid"))
@@ -404,8 +405,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75) -> Da
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, carried: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text, carried columns) of the first document of each component; documents without
     shingles all stay."""
-    keep = jaccard_components(docs, words, percent).where("first").select("rid")
-    docs = A.keyed(docs, ("text", *carried))
+    docs = A.numbered(docs, ("doc_id", "text", *carried))
+    keep = jaccard_components(docs, words, percent, A.RID).where("first").select("rid")
+    docs = A.keyed(docs, ("text", *carried), A.RID)
     n = A.bucket_count(docs)
     texts = A.text_rows(docs, n, carried)
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), *((c, pa.string()) for c in carried)])

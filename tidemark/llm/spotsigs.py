@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import arrays as A
+
 BLANK = r"[\x20\x09-\x0D]"
 #: A run of common words, or the start of a content word with a or e; then content words with the
 #: common words between them.
@@ -114,7 +116,7 @@ def similar(prints: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, Data
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_text, sigs, edited_sigs, next_sigs) for documents (doc_id, text, ...)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = A.numbered(docs, ("doc_id", "text")).select(F.col(A.RID).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = in_order(rows.withColumn("sigs", spots(F.col("text"))), ["text", "sigs"])
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
