@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import lines, mixing, packing, parity, quality, spotsigs, substring, suffixes, topk, toxicity
+from tidemark.llm import balanced, lines, mixing, packing, parity, quality, spotsigs, substring, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": parity.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_spot_signatures": spotsigs.query,
     "op9_best_fit_packing": packing.query,
     "op10_suffix_array_dedup": suffixes.query,
+    "op11_cost_balanced_packing": balanced.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
