@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = catalog.QUERIES[name](spark, SF)
     expected = con.execute(catalog.ORACLE_SQL[name]).fetchall()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import balanced, divergence, lines, mixing, packing, parity, quality, spotsigs, substring, suffixes, topk, toxicity
+from tidemark.llm import balanced, divergence, lines, mixing, packing, parity, prefixtrie, quality, spotsigs, substring, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": parity.query,
@@ -16,11 +16,13 @@ QUERIES = {
     "op9_best_fit_packing": packing.query,
     "op10_suffix_array_dedup": suffixes.query,
     "op11_cost_balanced_packing": balanced.query,
+    "op12_conversation_trie": prefixtrie.query,
     "op13_source_divergence": divergence.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": topk.ORACLE,
     "op7_line_dedup": lines.ORACLE,
+    "op12_conversation_trie": prefixtrie.ORACLE,
     "op13_source_divergence": divergence.ORACLE,
 }
