@@ -7,13 +7,14 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import balanced
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-IDS = balanced.Ids(PATH)
+VOCABULARY = (PATH, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+MADE = balanced.Vocabulary(*VOCABULARY)
 ODD = " \t\n\r\x0b\x0c\x85\xa0     　᠎​﻿\x1c\x1f"
 
 
@@ -24,12 +25,18 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from([*ODD, *"ab1'.é日", "'s", "don't", "<|endoftext|>", "  ", " x"]), max_size=40))
-def test_chunks_give_the_ids_of_the_whole_text(parts):
+@settings(max_examples=500, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parts=st.lists(st.text(max_size=4) | st.sampled_from([*ODD, *"ab1'.é日", "'s", "don't", "<|endoftext|>", "  ", " x"]), max_size=40))
+def test_ids_are_those_of_the_tokenizer(tokenizer, parts):
     text = "".join(parts)
-    expected = IDS.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(IDS.of(text), "<u4").tolist() == expected
+    found = np.frombuffer(MADE.token_bytes(text), "<u4").tolist()
+    assert found == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000 + "x", "x" * 300_000, "日" * 100_000, "a " * 500_000, "!" * 300_000])
+def test_ids_of_very_long_texts(tokenizer, text):
+    found = np.frombuffer(MADE.token_bytes(text), "<u4").tolist()
+    assert found == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def plain_assign(pieces, room, cost):
@@ -107,12 +114,12 @@ def test_packing_covers_every_id_once(spark, tokenizer):
     documents = [(k if k % 11 else None, t) for k, t in enumerate(texts)] + [(1, texts[0]), (1, texts[1])]
     frame = spark.createDataFrame([(i, t, 7, "s", 1) for i, t in documents], "doc_id long, text string, start long, ids string, length int")
     for group_tokens in (3000, 1 << 20):
-        rows = balanced.pack_balanced(frame.repartition(3), PATH, 256, group_tokens=group_tokens).collect()
+        rows = balanced.pack_balanced(frame.repartition(3), *VOCABULARY, 256, group_tokens=group_tokens).collect()
         by_sequence = check(rows, documents, tokenizer, 256)
         if group_tokens > 3000:
             assert sum(sum(r.length for r in s) < 256 for s in by_sequence.values()) <= 8
     empty = spark.createDataFrame([], "doc_id long, text string")
-    assert balanced.pack_balanced(empty, PATH).count() == 0
+    assert balanced.pack_balanced(empty, *VOCABULARY).count() == 0
 
 
 def test_query_balances_cost(spark, tokenizer):
@@ -126,4 +133,4 @@ def test_query_balances_cost(spark, tokenizer):
 
 def test_length_is_a_power_of_two(spark):
     with pytest.raises(ValueError):
-        balanced.pack_balanced(spark.createDataFrame([], "doc_id long, text string"), PATH, 2000)
+        balanced.pack_balanced(spark.createDataFrame([], "doc_id long, text string"), *VOCABULARY, 2000)
