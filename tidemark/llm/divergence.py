@@ -207,8 +207,8 @@ def audit(docs: DataFrame, min_docs: int = 10, terms: int = 10, block: int = BLO
     langs = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.max("block").alias("last"))
 
     runs = kept.groupBy("lang", "vector").agg(F.count(F.lit(1)).alias("run"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = written(runs.repartitionByRange(partitions, "lang", "vector").sortWithinPartitions("lang", "vector")
+    # as many ranges as slices: the bounds of a range sort are sampled on the driver
+    columns = written(runs.repartitionByRange(-(-kept.count() // slice_runs) or 1, "lang", "vector").sortWithinPartitions("lang", "vector")
                       .mapInArrow(_columns(slice_runs), COLUMN_SCHEMA), "columns")
     slices = columns.groupBy("lang", "slice").agg(F.max("length").alias("length"))
     dealt = (slices.join(groups, "lang").join(columns.drop("length"), ["lang", "slice", "source"], "left")
