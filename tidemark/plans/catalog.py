@@ -900,20 +900,20 @@ def q_landed_orders_staging(spark, sf):
 
 
 # Streaming, snapshots, health ------------------------------------------------------
+CLICK_DRAIN = 600   # records of the first, bounded drain
+
+
 def click_log(spark, sf):
-    """Topic records of the click events as a broker would hold them:
-    partition = customer mod 3, offset = 2 * event id; replays (every 10th
-    event, same payload) at offset 2 * event id + 1."""
+    """Topic records of the click events: partition = customer mod 3, in the
+    order of event ids; replays are every 10th event, same payload."""
     from ..functions.timeutil import iso_utc
     c = d.clicks(spark, sf)
     value = F.to_json(F.struct("customer_id", "event_id", iso_utc("event_time").alias("event_time"), "event_type"))
     base = c.select(F.col("customer_id").alias("key"), value.alias("value"),
                     (F.col("customer_id").cast("bigint") % 3).cast("int").alias("partition"),
-                    (F.col("event_id").cast("bigint") * 2).alias("offset"),
+                    F.col("event_id").cast("bigint").alias("offset"),
                     F.col("event_time").alias("timestamp"), "event_id")
-    replays = base.where(F.col("event_id").cast("bigint") % 10 == 0) \
-                  .withColumn("offset", F.col("offset") + 1)
-    return base, replays
+    return base, base.where(F.col("offset") % 10 == 0)
 
 
 _CLICK_PAYLOAD_SQL = """cast(json_object('customer_id', customer_id, 'event_id', event_id,
@@ -922,21 +922,25 @@ _CLICK_PAYLOAD_SQL = """cast(json_object('customer_id', customer_id, 'event_id',
 
 @register("stream_ingest", _sql(("d_clicks",), [], f"""
 select event_id, sha256({_CLICK_PAYLOAD_SQL}) as payload_hash, 'tidemark.clickstream' as topic,
-  cast(cast(customer_id as bigint) % 3 as bigint) as kafka_partition,
-  cast(event_id as bigint) * 2 as kafka_offset
-from d_clicks where event_type in ('page_view', 'add_to_cart', 'checkout')"""))
+  cast(cast(customer_id as bigint) % 3 as bigint) as kafka_partition, kafka_offset
+from (select *, cast(row_number() over (partition by cast(customer_id as bigint) % 3
+        order by cast(event_id as bigint)) - 1 as bigint) as kafka_offset from d_clicks)
+where event_type in ('page_view', 'add_to_cart', 'checkout')"""))
 def q_stream_ingest(spark, sf):
-    """Publish the click log (then its replays), drain it with
-    Structured Streaming into the lake (quarantine mode for the invalid types);
-    each event lands once, from its first delivery."""
+    """Publish the click log (then its replays) to a topic, drain
+    it with Structured Streaming into the lake (quarantine mode for the invalid
+    types): a bounded drain of the first records, then the rest; each event lands
+    once, from its first delivery, with the offset the topic gave it."""
     from ..streaming import clicks as st
     lake = fresh_lake(spark, "clicks")
     topic = f"{lake.root}/_topic"
     base, replays = click_log(spark, sf)
-    st.publish(base, {"path": topic})
-    st.publish(replays, {"path": topic})
-    counters = st.consume(spark, lake, {"path": topic, "max_files": 4}, f"{lake.root}/_stream_ckpt",
-                          on_bad="quarantine")
+    sent = st.publish(base, {"topic_path": topic}) + st.publish(replays, {"topic_path": topic})
+    drains = [st.consume(spark, lake, {"topic_path": topic}, f"{lake.root}/_stream_ckpt", on_bad="quarantine", **bound)
+              for bound in ({"max_messages": CLICK_DRAIN}, {})]
+    counters = {k: sum(c[k] for c in drains) for k in drains[0]}
+    if drains[0]["received"] != min(sent, CLICK_DRAIN) or counters["received"] != sent:
+        raise AssertionError(f"the drains did not stop at their bounds: {drains}")
     if counters["inserted"] + counters["duplicates"] + counters["quarantined"] != counters["received"]:
         raise AssertionError(f"stream counters do not add up: {counters}")
     return st.landed_clicks(lake).select("event_id", "payload_hash", "topic", "kafka_partition",

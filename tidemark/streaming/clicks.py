@@ -1,8 +1,10 @@
 """Click events: publish (S5), bounded read (S4) and idempotent landing.
 
-The source is Kafka when its connector is on the classpath; otherwise (tests,
-this environment) a file stream of the same column set: key, value, topic,
-partition, offset, timestamp.  Everything after ``read_clicks`` is shared.
+The source is Kafka when its connector is on the classpath, a topic folder with
+real offsets (``streaming/topic.py``), or a file stream of the same column set:
+key, value, topic, partition, offset, timestamp.  Everything after ``read_clicks``
+is shared.  A drain of a topic folder can be bounded (T4): ``consume`` stops after
+``max_messages`` records, on the very record, or when none came for ``idle_seconds``.
 
 Landing runs in ``foreachBatch``: the micro-batch is parsed and checked with
 column expressions (V5), canonicalised and hashed (P1, P2), classified against
@@ -16,8 +18,12 @@ A batch that finds other events published meanwhile is classified again.
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import schemas
 from ..functions.canonical import canonical_free_json, payload_hash
@@ -25,6 +31,7 @@ from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures,
 from ..functions.timeutil import has_zone
 from ..operators.versions import CONFLICT, NEW, classify_copies, landed_for_batch
 from ..sources.lake import ConcurrentCommit, Lake
+from . import topic as topics
 
 TOPIC = "tidemark.clickstream"
 TOPIC_PARTITIONS = 3
@@ -45,9 +52,12 @@ def kafka_available(spark: SparkSession) -> bool:
 def publish(records: DataFrame, target: dict) -> int:
     """Write (key, value) records to the topic; returns the count.
 
-    ``target`` is either Kafka options (``kafka.bootstrap.servers``) or
-    ``{"path": dir}`` for the file form, whose records also carry partition
-    and offset (as a broker would assign them)."""
+    ``target`` is Kafka options (``kafka.bootstrap.servers``), ``{"topic_path":
+    dir}`` for a topic folder, which assigns offsets in the order of the records'
+    ``offset`` column, or ``{"path": dir}`` for the file form, whose records carry
+    partition and offset themselves."""
+    if "topic_path" in target:
+        return topics.publish(records, target["topic_path"], target.get("topic", TOPIC), ("offset",))
     sent = Observation()
     records = records.observe(sent, F.count(F.lit(1)).alias("records"))
     if "kafka.bootstrap.servers" in target:
@@ -73,6 +83,9 @@ def read_clicks(spark: SparkSession, options: dict) -> DataFrame:
                 .load()
                 .selectExpr("cast(key as string) as key", "cast(value as string) as value", "topic",
                             "partition", "offset", "timestamp"))
+    if "topic_path" in options:
+        return topics.read_stream(spark, options["topic_path"], start=json.dumps(options.get("start", {})),
+                                  limits=json.dumps({"total": options.get("total"), "batch": options.get("batch")}))
     return (spark.readStream.schema(KAFKA_COLUMNS)
             .option("maxFilesPerTrigger", str(options.get("max_files", 1)))
             .json(options["path"]))
@@ -154,7 +167,10 @@ class ClickSink:
         if inserted:
             staged["clickstream_events"] = [self.lake.stage("clickstream_events", new.select(
                 *schemas.CLICKSTREAM_EVENTS.fieldNames()))]
-        self.lake.commit(staged, info={"event": "clicks"}, batch=(self.stream_id, batch_id),
+        # how far the landed batches reach, per topic partition
+        through = {str(r["partition"]): r["end"] for r in checked.groupBy("partition")
+                   .agg((F.max("offset") + 1).alias("end")).collect()}   # one row per topic partition
+        self.lake.commit(staged, info={"event": "clicks", "through": through}, batch=(self.stream_id, batch_id),
                          guard=("clickstream_events",), since=since)
         bad = sum(by_reason.values())
         for name, n in (("received", received), ("inserted", inserted), ("quarantined", bad),
@@ -162,16 +178,90 @@ class ClickSink:
             self.counters[name] += n
 
 
-def consume(spark: SparkSession, lake: Lake, source: dict, checkpoint: str, on_bad: str = "fail") -> dict:
-    """T4: drain what is available now (bounded per trigger), then stop."""
+def landed_through(lake: Lake, stream_id: str) -> dict[str, int]:
+    """The offsets after the last landed record of a stream, per partition."""
+    out: dict[str, int] = {}
+    for c in lake.commits():
+        if c.meta.get("batch") and c.meta["batch"][0] == stream_id:
+            for p, end in c.meta["info"].get("through", {}).items():
+                out[p] = max(end, out.get(p, 0))
+    return out
+
+
+class DrainListener(StreamingQueryListener):
+    """How far one query has come; Spark reports a batch after its offsets are committed."""
+
+    def __init__(self):
+        self.run_id, self.reached, self.last = None, 0, None
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        if str(event.progress.runId) != self.run_id:
+            return
+        for source in event.progress.sources:
+            self.reached = sum(json.loads(source.endOffset or "{}").values())
+        if event.progress.numInputRows or self.last is None:
+            self.last = time.monotonic()
+
+    def onQueryIdle(self, event):
+        if str(event.runId) == self.run_id and self.last is None:   # the idle clock starts with the first look
+            self.last = time.monotonic()
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def consume(spark: SparkSession, lake: Lake, source: dict, checkpoint: str, on_bad: str = "fail",
+            max_messages: int | None = None, idle_seconds: float | None = None) -> dict:
+    """T4: drain what is available now, then stop; from a topic folder also bounded: stop after ``max_messages``
+    records, or when none came for ``idle_seconds``.  Offsets are committed up to the bound and not beyond, so the
+    next call goes on with the next record."""
+    if any(b is not None and b <= 0 for b in (max_messages, idle_seconds)):
+        raise ValueError("the bounds of a drain are above zero")
     sink = ClickSink(lake, on_bad, stream_id=f"{STREAM}@{checkpoint}")
-    q = (read_clicks(spark, source).writeStream.foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    if "topic_path" in source:
+        _drain_topic(spark, sink, source, checkpoint, max_messages, idle_seconds)
+    elif max_messages is not None or idle_seconds is not None:
+        raise ValueError("only a topic folder is drained up to a bound")
+    else:
+        q = (read_clicks(spark, source).writeStream.foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
     return sink.counters
 
 
+def _drain_topic(spark: SparkSession, sink: ClickSink, source: dict, checkpoint: str, total: int | None,
+                 idle_seconds: float | None, poll_seconds: float = 0.2) -> None:
+    start = landed_through(sink.lake, sink.stream_id)
+    if idle_seconds is None:   # what is there now, or less
+        here = topics.heads(topics.segments(source["topic_path"]))
+        available = sum(end - start.get(p, 0) for p, end in here.items())
+        total = available if total is None else min(total, available)
+        if not total:
+            return
+    listener = DrainListener()
+    spark.streams.addListener(listener)
+    try:
+        q = (read_clicks(spark, {**source, "start": start, "total": total}).writeStream.foreachBatch(sink)
+             .option("checkpointLocation", checkpoint)
+             .trigger(processingTime=f"{int(poll_seconds * 1000)} milliseconds").start())
+        listener.run_id = str(q.runId)
+        while not q.awaitTermination(poll_seconds):
+            # the reader plans no record past the bound, so a stop cuts nothing short
+            enough = total is not None and listener.reached - sum(start.values()) >= total
+            idle = (idle_seconds is not None and listener.last is not None and not q.status["isTriggerActive"]
+                    and time.monotonic() - listener.last > idle_seconds)
+            if enough or idle:
+                q.stop()
+        if q.exception() is not None:
+            raise q.exception()
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def landed_clicks(lake: Lake) -> DataFrame:
     return lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS)
