@@ -2,7 +2,7 @@
 
 Orders: each run scans one half-open window of the source (S1), renders the
 canonical payload and hash (P1, P2), classifies every (order_id, version)
-against the landed log in one join (J4) and writes the classified batch once,
+against the index of landed keys in one join (J4; ``sources/keyindex.py``) and writes the classified batch once,
 partitioned by status.  Counters come from one small aggregate over that
 written batch.  Then exactly one commit publishes either
 
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.canonical import canonical_json, payload_hash
 from ..functions.contracts import check_payments
-from ..operators.versions import CONFLICT, NEW, classify, classify_copies, landed_for_batch, latest_by
+from ..operators.versions import CONFLICT, NEW, classify, classify_copies, latest_by
 from ..sources import feed
+from ..sources.keyindex import KeyIndex
 from ..sources.lake import Lake
 from ..sources.scan import SOURCE_COLUMNS, Window, change_scan
 
@@ -74,6 +75,7 @@ class OrderIngestion:
         if lookback < timedelta(0) or initial_start.utcoffset() is None:
             raise ValueError("the lookback is negative or the first window has no UTC offset")
         self.lake, self.spark, self.source = lake, lake.spark, source
+        self.index = KeyIndex(lake, "raw_order_versions", schemas.RAW_ORDER_VERSIONS, ("order_id", "version"))
         self.pipeline, self.initial_start, self.lookback = pipeline_name, initial_start, lookback
 
     def checkpoint(self) -> datetime | None:
@@ -122,8 +124,7 @@ class OrderIngestion:
         staged, _ = self.lake.scratch(rows.withColumn("payload_hash", payload_hash(F.col("payload"))),
                                       f"orders-{run.run_id}")
         key = ["order_id", "version"]
-        landed = landed_for_batch(self.lake.read("raw_order_versions", schemas.RAW_ORDER_VERSIONS)
-                                  .select(*key, "payload_hash"), staged, key)
+        landed = self.index.landed(staged)
         # only new rows keep their payload: duplicates and refused ones need their hash alone
         labelled = classify(staged, landed, key).select(
             *key, "source_updated_at", F.when(F.col("status") == NEW, F.col("payload")).alias("payload"),
@@ -149,6 +150,8 @@ class OrderIngestion:
             self.spark, "succeeded", **{LEDGER_COUNTS[k]: n for k, n in counts.items()}))]}
         if found["new"]:
             staged["raw_order_versions"] = [f"{folder}/status={NEW}"]
+            staged[self.index.entry] = [self.index.stage(self.spark.read.schema(schemas.RAW_ORDER_VERSIONS).parquet(
+                f"{self.lake.root}/tables/raw_order_versions/{folder}/status={NEW}"))]
         if run.scheduled:
             moved = self.spark.createDataFrame([(run.pipeline, run.window.end, run.run_id, _now())],
                                                schemas.CHECKPOINTS)
@@ -213,6 +216,7 @@ class PaymentIngestion:
         if on_bad not in ("fail", "quarantine"):
             raise ValueError("on_bad must be fail or quarantine")
         self.lake, self.on_bad, self.spark = lake, on_bad, lake.spark
+        self.index = KeyIndex(lake, "raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS, ("payment_id", "version"))
 
     def run(self, pages: DataFrame) -> dict:
         since = self.lake.last_commit()
@@ -230,8 +234,7 @@ class PaymentIngestion:
         keys = ["payment_id", "version"]
         invalid_pages = recs.where("bad").select("page_id")
         sound = recs.drop("bad").join(invalid_pages, on="page_id", how="left_anti")
-        landed = landed_for_batch(self.lake.read("raw_payment_versions", schemas.RAW_PAYMENT_VERSIONS)
-                                  .select(*keys, "payload_hash"), sound, keys)
+        landed = self.index.landed(sound)
         labelled, _ = self.lake.scratch(
             classify_copies(sound, landed, keys, ("page_seq", "pos")), "payments-labelled")
         # one row per page, pages without records included
@@ -250,9 +253,11 @@ class PaymentIngestion:
         new_rows = latest_by(kept.where(~F.col("stored")), keys, ("page_seq", "pos"), descending=False)
         staged = self.lake.stage("raw_payment_versions", new_rows.select(
             *keys, "order_id", "payload", "payload_hash", F.current_timestamp().alias("ingested_at"), "page_id"))
-        inserted = self.spark.read.schema(schemas.RAW_PAYMENT_VERSIONS).parquet(
-            f"{self.lake.root}/tables/raw_payment_versions/{staged}").count()
-        self.lake.commit({"raw_payment_versions": [staged]} if inserted else {}, info={"event": "payments"},
+        landing = self.spark.read.schema(schemas.RAW_PAYMENT_VERSIONS).parquet(
+            f"{self.lake.root}/tables/raw_payment_versions/{staged}")
+        inserted = landing.count()
+        published = {"raw_payment_versions": [staged], self.index.entry: [self.index.stage(landing)]} if inserted else {}
+        self.lake.commit(published, info={"event": "payments"},
                          guard=("raw_payment_versions",), since=since)
         result = {"pages_fetched": keep.count(), "payments_received": kept.count(),
                   "payments_inserted": int(inserted)}

@@ -29,7 +29,8 @@ from .. import schemas
 from ..functions.canonical import canonical_free_json, payload_hash
 from ..functions.contracts import CLICK_TYPES, _probe, _probe_cleanup, failures, parse_ok
 from ..functions.timeutil import has_zone
-from ..operators.versions import CONFLICT, NEW, classify_copies, landed_for_batch
+from ..operators.versions import CONFLICT, NEW, classify_copies
+from ..sources.keyindex import KeyIndex
 from ..sources.lake import ConcurrentCommit, Lake
 from . import topic as topics
 
@@ -119,6 +120,7 @@ class ClickSink:
         # batch ids restart at 0 for every new checkpoint, so replay markers are
         # kept per stream (its checkpoint location)
         self.lake, self.on_bad, self.stream_id = lake, on_bad, stream_id
+        self.index = KeyIndex(lake, "clickstream_events", schemas.CLICKSTREAM_EVENTS, ("event_id",))
         self.counters = {"received": 0, "inserted": 0, "duplicates": 0, "quarantined": 0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -138,8 +140,7 @@ class ClickSink:
         rows = checked.where(~broken).select(
             "event_id", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
             "topic", "value", "payload", payload_hash(F.col("payload")).alias("payload_hash"))
-        landed = landed_for_batch(self.lake.read("clickstream_events", schemas.CLICKSTREAM_EVENTS)
-                                  .select("event_id", "payload_hash"), rows, ["event_id"])
+        landed = self.index.landed(rows)
         labelled, _ = self.lake.scratch(
             classify_copies(rows, landed, ["event_id"], ("kafka_offset", "kafka_partition"))
             .withColumn("ingested_at", F.current_timestamp()), f"clicks-{batch_id}-labelled")
@@ -167,6 +168,7 @@ class ClickSink:
         if inserted:
             staged["clickstream_events"] = [self.lake.stage("clickstream_events", new.select(
                 *schemas.CLICKSTREAM_EVENTS.fieldNames()))]
+            staged[self.index.entry] = [self.index.stage(new)]
         # how far the landed batches reach, per topic partition
         through = {str(r["partition"]): r["end"] for r in checked.groupBy("partition")
                    .agg((F.max("offset") + 1).alias("end")).collect()}   # one row per topic partition
