@@ -585,7 +585,7 @@ def _payment_sql(body_cols: str, tail: str = "") -> str:
     return f"""
 with pr as (select cast(o_orderkey as varchar) as ref, cast(o_orderkey // {PAGE_ROWS} as bigint) as page_no,
                    {payment_text('duckdb')} as s
-            from orders where o_orderstatus in ('F', 'O')),
+            from orders),
 f as (select *, {txt('amount')} as atext, {txt('updated_at')} as ttext from pr),
 g as (select ref, page_no, s, concat_ws(',',
     case when coalesce(trim({txt('payment_id')}) = '', true) then 'payment_id' end,
@@ -632,7 +632,7 @@ def q_click_contract(spark, sf):
 
 @register("feed_pages_explode", f"""
 with pr as (select cast(o_orderkey as varchar) as ref, cast(o_orderkey // 100 as bigint) as page_no
-            from orders where o_orderstatus in ('F', 'O')),
+            from orders),
 pg as (select distinct page_no from pr)
 select 'p' || cast(pr.page_no as varchar) as page_id,
   case when n.page_no is not null then 'p' || cast(pr.page_no + 1 as varchar) end as next_cursor,

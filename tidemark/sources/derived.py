@@ -15,24 +15,24 @@ Rules (fixed values of the derivation):
   d_customer_history split = 1998-01-01 + (custkey mod 365) days; row 1
                      [1995-01-01, split) unless custkey mod 10 = 0; row 2 [split, open)
                      with city (nationkey + 1) mod 25.
-  d_payments         orders with status F or O; status failed when key mod 7 = 0;
-                     order_id = key + 1000000 when key mod 50 = 0 (orphans);
-                     paid_at = o_orderdate + 18 hours.
-  d_refunds          lineitem returnflag R, linenumber 1, one per order: the smallest
-                     (partkey, suppkey, extendedprice, shipdate); refunded_at =
-                     shipdate + 18 hours.
-  d_items            lineitem once per (orderkey, linenumber): the smallest
-                     (partkey, quantity, extendedprice).
+  d_payments         every order is paid in 1 + (key mod 3) parts of its cents, the first parts
+                     one cent larger where they do not divide; part i is paid at o_orderdate
+                     + 18 hours + (i - 1) days and failed when (key + i) mod 7 = 0; the order
+                     is unknown (key + 1000000) when key mod 50 = 0; currency USD when
+                     key mod 5 = 0, SGD when it is 1, else IDR.
+  d_items            every lineitem row, numbered within its order by all its columns.
+  d_refunds          every item of returnflag R, in the currency of the order's payments;
+                     refunded_at = shipdate + 18 hours.
   d_clicks           events: view->page_view, click->add_to_cart, purchase->checkout,
                      other types kept (they fail the click contract).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import as_utc_instant, iso_utc
+from ..functions.timeutil import as_utc_instant
 from .tables import read_table
 
 MONEY = "decimal(18,2)"
@@ -91,47 +91,53 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _money(F.col("p_retailprice")).alias("current_price"))
 
 
+def _currency_of(key: Column) -> Column:
+    return F.when(key % 5 == 0, "USD").when(key % 5 == 1, "SGD").otherwise(CURRENCY)
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = (read_table(spark, sf_dir, "orders")
-         .where(F.col("o_orderstatus").isin("F", "O"))
-         .select("o_orderkey", "o_totalprice", "o_orderdate"))
-    k = F.col("o_orderkey")
-    return o.select(
-        k.cast("string").alias("payment_id"),
-        F.when(k % 50 == 0, k + ORPHAN_OFFSET).otherwise(k).cast("string").alias("order_id"),
-        F.lit(1).cast("bigint").alias("version"),
-        _money(F.col("o_totalprice")).alias("amount"),
-        F.lit(CURRENCY).alias("currency"),
-        F.when(k % 7 == 0, "failed").otherwise("succeeded").alias("status"),
-        F.timestamp_add("HOUR", F.lit(18), as_utc_instant("o_orderdate")).alias("paid_at"))
+    """Several part payments per order, in three currencies."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    k, i = F.col("o_orderkey"), F.col("i")
+    parts = 1 + k % 3
+    cents = (_money(F.col("o_totalprice")) * 100).cast("bigint")
+    part = F.expr("cents div parts") + (i <= F.col("cents") % F.col("parts")).cast("bigint")
+    return (o.select("*", cents.alias("cents"), parts.alias("parts"), F.explode(F.sequence(F.lit(1).cast("bigint"), parts)).alias("i"))
+             .select((k * 10 + i).cast("string").alias("payment_id"),
+                     F.when(k % 50 == 0, k + ORPHAN_OFFSET).otherwise(k).cast("string").alias("order_id"),
+                     F.lit(1).cast("bigint").alias("version"),
+                     (part.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY).alias("amount"),
+                     _currency_of(k).alias("currency"),
+                     F.when((k + i) % 7 == 0, "failed").otherwise("succeeded").alias("status"),
+                     F.timestamp_add("HOUR", 18 + (i - 1) * 24, as_utc_instant("o_orderdate")).alias("paid_at")))
+
+
+_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+               "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem row with its number in its order; equal rows are interchangeable."""
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER))
+    return read_table(spark, sf_dir, "lineitem").withColumn("line_number", number)
 
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One refund per returned order; ``min(struct)`` is a partial-aggregated
-    hash aggregate (map-side combine), cheaper than a sort-based rank."""
-    li = (read_table(spark, sf_dir, "lineitem")
-          .where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)))
-    first = li.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")).alias("r"))
-    return first.select(
-        F.col("l_orderkey").cast("string").alias("refund_id"),
+    """One refund per returned line: several per order and day."""
+    returned = _lines(spark, sf_dir).where(F.col("l_returnflag") == "R")
+    return returned.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("line_number").cast("string")).alias("refund_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
-        _money(F.col("r.l_extendedprice")).alias("amount"),
-        F.lit(CURRENCY).alias("currency"),
-        F.timestamp_add("HOUR", F.lit(18), as_utc_instant("r.l_shipdate")).alias("refunded_at"))
+        _money(F.col("l_extendedprice")).alias("amount"),
+        _currency_of(F.col("l_orderkey")).alias("currency"),
+        F.timestamp_add("HOUR", F.lit(18), as_utc_instant("l_shipdate")).alias("refunded_at"))
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min(F.struct("l_partkey", "l_quantity", "l_extendedprice")).alias("i"))
-    return one.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("line_number"),
-        F.col("i.l_partkey").cast("string").alias("product_id"),
-        F.col("i.l_quantity").cast("int").alias("quantity"),
-        _money(F.col("i.l_extendedprice")).alias("unit_price"))
+    return _lines(spark, sf_dir).select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("line_number").cast("int").alias("line_number"),
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"),
+        _money(F.col("l_extendedprice")).alias("unit_price"))
 
 
 CLICK_TYPES = {"view": "page_view", "click": "add_to_cart", "purchase": "checkout"}
@@ -148,15 +154,10 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     as_utc_instant("ts").alias("event_time"))
 
 
-def click_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click events as the JSON text a producer would publish (key = customer)."""
-    c = clicks(spark, sf_dir)
-    payload = F.to_json(F.struct("customer_id", "event_id",
-                                 iso_utc("event_time").alias("event_time"), "event_type"))
-    return c.select("event_id", F.col("customer_id").alias("key"), payload.alias("value"))
-
-
 # ---------------------------------------------------------------- oracle twins
+_CURRENCY = "case {} % 5 when 0 then 'USD' when 1 then 'SGD' else 'IDR' end"
+_LINES = f"""(select *, row_number() over (partition by l_orderkey order by {', '.join(_LINE_ORDER)}) as line_number
+  from lineitem)"""
 _MIN = "to_minutes(cast(o_orderkey % 1440 as bigint))"
 
 DERIVED_SQL = {
@@ -183,27 +184,26 @@ where s = 2 or c_custkey % 10 <> 0""",
     "d_products": """
 select cast(p_partkey as varchar) as product_id, p_name as product_name, p_type as category,
   cast(p_retailprice as decimal(18,2)) as current_price from part""",
-    "d_payments": """
-select cast(o_orderkey as varchar) as payment_id,
+    "d_payments": f"""
+select cast(o_orderkey * 10 + i as varchar) as payment_id,
   cast(case when o_orderkey % 50 = 0 then o_orderkey + 1000000 else o_orderkey end as varchar) as order_id,
-  cast(1 as bigint) as version, cast(o_totalprice as decimal(18,2)) as amount, 'IDR' as currency,
-  case when o_orderkey % 7 = 0 then 'failed' else 'succeeded' end as status,
-  o_orderdate + interval 18 hour as paid_at
-from orders where o_orderstatus in ('F', 'O')""",
-    "d_refunds": """
-select cast(l_orderkey as varchar) as refund_id, cast(l_orderkey as varchar) as order_id,
-  cast(l_extendedprice as decimal(18,2)) as amount, 'IDR' as currency,
-  l_shipdate + interval 18 hour as refunded_at
-from lineitem where l_returnflag = 'R' and l_linenumber = 1
-qualify row_number() over (partition by l_orderkey
-  order by l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1""",
-    "d_items": """
-select cast(l_orderkey as varchar) as order_id, cast(l_linenumber as integer) as line_number,
+  cast(1 as bigint) as version,
+  cast((cents // parts + case when i <= cents % parts then 1 else 0 end) * 0.01 as decimal(18,2)) as amount,
+  {_CURRENCY.format('o_orderkey')} as currency,
+  case when (o_orderkey + i) % 7 = 0 then 'failed' else 'succeeded' end as status,
+  o_orderdate + interval 18 hour + to_days(cast(i - 1 as integer)) as paid_at
+from (select *, unnest(range(1, 2 + o_orderkey % 3)) as i, 1 + o_orderkey % 3 as parts,
+        cast(cast(o_totalprice as decimal(18,2)) * 100 as bigint) as cents from orders)""",
+    "d_refunds": f"""
+select cast(l_orderkey as varchar) || '-' || cast(line_number as varchar) as refund_id,
+  cast(l_orderkey as varchar) as order_id, cast(l_extendedprice as decimal(18,2)) as amount,
+  {_CURRENCY.format('l_orderkey')} as currency, l_shipdate + interval 18 hour as refunded_at
+from {_LINES} where l_returnflag = 'R'""",
+    "d_items": f"""
+select cast(l_orderkey as varchar) as order_id, cast(line_number as integer) as line_number,
   cast(l_partkey as varchar) as product_id, cast(l_quantity as integer) as quantity,
   cast(l_extendedprice as decimal(18,2)) as unit_price
-from lineitem
-qualify row_number() over (partition by l_orderkey, l_linenumber
-  order by l_partkey, l_quantity, l_extendedprice) = 1""",
+from {_LINES}""",
     "d_clicks": """
 select cast(event_id as varchar) as event_id, cast(user_id as varchar) as customer_id,
   case event_type when 'view' then 'page_view' when 'click' then 'add_to_cart'
