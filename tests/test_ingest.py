@@ -203,7 +203,7 @@ def test_concurrent_run_of_same_pipeline_is_refused(spark, lake):
 
 def feed_pages(spark, *bodies):
     """Landed pages p0, p1, ... in this order, of the given record lists."""
-    rows = [(f"p{i * 8 + 2}", i, json.dumps({"data": recs, "next_cursor": None}))
+    rows = [(f"p{i * 8 + 2}", i, json.dumps({"data": recs, "next_cursor": f"p{i * 8 + 10}" if i + 1 < len(bodies) else None}))
             for i, recs in enumerate(bodies)]
     return spark.createDataFrame(rows, "page_id string, page_seq bigint, page string")
 
@@ -309,6 +309,8 @@ def test_feed_walk_with_a_gap_or_a_way_back(spark, lake):
     with pytest.raises(ValueError, match="missing_page"):
         PaymentIngestion(lake).run(feed_of((0, "p1"), (1, "p2"), (3, None)))
     with pytest.raises(ValueError, match="repeated_cursor"):
-        PaymentIngestion(lake).run(feed_of((0, None), (1, "p2"), (2, "p1")))
-    assert PaymentIngestion(lake).run(feed_of((0, "p1"), (1, None), (5, None)))["pages_fetched"] == 3
+        PaymentIngestion(lake).run(feed_of((0, "p1"), (1, "p2"), (2, "p1")))
+    # pages that no cursor leads to are no part of the walk, whatever their own cursors say
+    r = PaymentIngestion(lake).run(feed_of((0, "p1"), (1, None), (5, None), (6, "p7"), (7, "p6"), (8, "p9")))
+    assert (r["pages_fetched"], r["detached_pages"]) == (2, 4)
     assert landed_payments(lake).count() == 0

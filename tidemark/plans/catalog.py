@@ -488,6 +488,34 @@ def q_keyset_page(spark, sf):
     return scan.keyset_page(d.order_versions(spark, sf), SCAN_WINDOW, PAGE_SIZE, *PAGE_CURSOR)
 
 
+WALK_PAGE = 5000
+
+
+def change_log(spark, sf):
+    """The order versions as a source laid out by time of change."""
+    return scan.ChangeLog.write(d.order_versions(spark, sf), f"{_session.shared_dir(spark)}/tidemark-changes/{_uuid.uuid4().hex}")
+
+
+@register("laid_out_scan", ORACLE_SQL["change_scan"])
+def q_laid_out_scan(spark, sf):
+    """S1 / V8 over a source laid out by time: the window prunes folders and row groups."""
+    return change_log(spark, sf).scan(SCAN_WINDOW)
+
+
+@register("keyset_walk", _sql(("d_order_versions",), [], f"""
+select order_id, cast(version as bigint) as version, {TS.format('updated_at')} as updated_at,
+  cast((row_number() over (order by updated_at, order_id) - 1) // {WALK_PAGE} as bigint) as page
+from d_order_versions
+where updated_at >= timestamp '1997-01-01 00:00:00' and updated_at < timestamp '1998-01-01 00:00:00'"""))
+def q_keyset_walk(spark, sf):
+    """The whole window page by page, each from the cursor of the one before."""
+    out = None
+    for no, page in enumerate(change_log(spark, sf).pages(SCAN_WINDOW, WALK_PAGE)):
+        rows = page.select("order_id", "version", "updated_at", F.lit(no).cast("bigint").alias("page"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # Contracts --------------------------------------------------------------------
 def _oe_sql() -> str:
     from ..functions import contracts as c
@@ -651,6 +679,43 @@ def q_feed_pages_explode(spark, sf):
                                                   ref.alias("payment_ref"))
 
 
+_FEED_PAGES = 8   # pages of one of the many small feeds below
+
+
+def linked_pages(spark, sf):
+    """Many feeds of pages (order key ranges), chained by cursor; by number of the feed mod 4: whole; page 3
+    never landed; the last page's cursor leads back to page 2; page 4 ends the walk and the rest is detached."""
+    from ..sources.tables import read_table
+    page = F.floor(F.col("o_orderkey") / 20)
+    pages = read_table(spark, sf, "orders").select((page % _FEED_PAGES).alias("no"), F.floor(page / _FEED_PAGES).alias("feed")).distinct()
+    no, kind = F.col("no"), F.col("feed") % 4
+    cursor = (F.when((kind == 2) & (no == _FEED_PAGES - 1), F.lit("p2")).when((kind == 3) & (no == 4), F.lit(None))
+               .when(no < _FEED_PAGES - 1, F.concat(F.lit("p"), (no + 1).cast("string"))))
+    return pages.where(~((kind == 1) & (no == 3))).select(
+        "feed", F.concat(F.lit("p"), no.cast("string")).alias("page_id"), no.alias("page_seq"), cursor.alias("next_cursor"))
+
+
+@register("feed_walk", f"""
+with recursive pg as (select distinct (o_orderkey // 20) % {_FEED_PAGES} as no, (o_orderkey // 20) // {_FEED_PAGES} as feed from orders),
+links as (select feed, 'p' || cast(no as varchar) as page_id, no,
+    case when feed % 4 = 2 and no = {_FEED_PAGES - 1} then 'p2' when feed % 4 = 3 and no = 4 then null
+         when no < {_FEED_PAGES - 1} then 'p' || cast(no + 1 as varchar) end as next_cursor
+  from pg where not (feed % 4 = 1 and no = 3)),
+w as (select feed, page_id, next_cursor, 0 as position, [page_id] as seen from links l
+      where no = (select min(no) from links f where f.feed = l.feed)
+  union all
+  select l.feed, l.page_id, l.next_cursor, w.position + 1, list_append(w.seen, l.page_id)
+  from w join links l on l.feed = w.feed and l.page_id = w.next_cursor where not list_contains(w.seen, l.page_id)),
+e as (select w.feed, case when w.next_cursor is null then 'complete' when list_contains(w.seen, w.next_cursor) then 'repeated_cursor'
+        else 'missing_page' end as outcome from w where w.position = (select max(position) from w x where x.feed = w.feed))
+select cast(feed as bigint) as feed, page_id, cast(position as bigint) as position, outcome from w join e using (feed)""")
+def q_feed_walk(spark, sf):
+    """S3: the pages that each feed's walk from its first page comes to, and how
+    the walk ends: whole feeds, gaps, loops and detached pages."""
+    from ..sources import feed
+    return feed.walk(linked_pages(spark, sf))
+
+
 # Scalars: canonical text and hash, JSON extraction -----------------------------
 ORDER_PAYLOAD_COLUMNS = ["order_id", "customer_id", "status", "amount", "currency", "version",
                          "created_at", "updated_at"]

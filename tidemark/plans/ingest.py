@@ -208,6 +208,8 @@ class PaymentIngestion:
     land, and the named error is raised.  ``on_bad="quarantine"``: every page
     that is not refused lands; the number of refused ones is in the result.
 
+    Only pages on the walk from the first page take part; the number of others is in the result.
+
     A run that finds other payments published since it started raises
     ``pipeline_already_running`` and lands nothing.
     """
@@ -222,7 +224,8 @@ class PaymentIngestion:
         since = self.lake.last_commit()
         pages, _ = self.lake.scratch(pages.select("page_id", "page_seq", "page"), "payment-pages")
         parsed = feed.parse_pages(pages, carried=("page_seq",))
-        feed.check_pages(parsed)
+        parsed, walked = feed.check_pages(parsed)
+        pages = self.lake.scratch(parsed.select("page_id", "page_seq"), "payment-walk")[0]
         recs = check_payments(feed.explode_records(parsed), "payload")
         v = F.try_parse_json(F.col("payload"))
         recs = recs.select("page_id", "page_seq", "pos", "payload", payload_hash(F.col("payload")).alias("payload_hash"),
@@ -261,6 +264,8 @@ class PaymentIngestion:
                          guard=("raw_payment_versions",), since=since)
         result = {"pages_fetched": keep.count(), "payments_received": kept.count(),
                   "payments_inserted": int(inserted)}
+        if walked["detached"]:
+            result["detached_pages"] = walked["detached"]
         if stop is not None:
             if self.on_bad == "fail":
                 raise ValueError("invalid_payment_contract" if summary["why"] == INVALID

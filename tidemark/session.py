@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the default type of written instants has no ranges in Parquet, so no window could prune by it
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Rows here are often CPU-heavy (JSON parse, hashing) but small in bytes;
     # a lower floor keeps several tasks per stage on small inputs.  At cluster
     # scale partitions are far above this floor, so it changes nothing there.

@@ -56,7 +56,7 @@ class KeyIndex:
         types = {f.name: f.dataType.simpleString() for f in self.schema.fields}
         columns = ", ".join(f"`{c}` {types[c]}" for c in (*self.keys, self.hash_col))
         self.spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} (key_text STRING, {columns}, token STRING) USING parquet
-            OPTIONS ('parquet.bloom.filter.enabled#key_text' 'true') PARTITIONED BY (token)
+            OPTIONS ('parquet.bloom.filter.enabled#key_text' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') PARTITIONED BY (token)
             CLUSTERED BY (key_text) SORTED BY (key_text) INTO {buckets} BUCKETS LOCATION '{self.path}'""")
 
     def _buckets(self) -> int:
