@@ -1086,14 +1086,12 @@ def q_health_report(spark, sf):
 
 
 @register("metric_rows", _sql(("d_order_versions",), [], """
-select metric, cast(value as double) as value from (values ('tidemark_pipeline_healthy', 0),
-  ('tidemark_ingestion_last_success_age_seconds', 0), ('tidemark_ingestion_latest_failed', 1),
-  ('tidemark_quality_last_run_passed', 0), ('tidemark_raw_payments_total', 0), ('tidemark_clickstream_events_total', 0),
-  ('tidemark_ingestion_failed_runs', 1), ('tidemark_ingestion_running_runs', 0),
-  ('tidemark_ingestion_stale_runs', 0)) v(metric, value)
-union all select 'tidemark_raw_orders_total', cast(count(*) as double) from d_order_versions"""))
+select * from (values ('tidemark_ok', 'pipeline', 0::double), ('tidemark_ok', 'quality', 0), ('tidemark_ok', 'last_run', 0),
+  ('tidemark_seconds_since_success', 'orders', 0), ('tidemark_landed_rows', 'clicks', 0), ('tidemark_landed_rows', 'payments', 0),
+  ('tidemark_runs', 'failed', 1), ('tidemark_runs', 'open', 0), ('tidemark_runs', 'stuck', 0)) v(metric, part, value)
+union all select 'tidemark_landed_rows', 'orders', cast(count(*) as double) from d_order_versions"""))
 def q_metric_rows(spark, sf):
-    """H2: the health row as ten (metric, value) gauges."""
+    """H2: the health row as ten (metric, part, value) gauges."""
     from .health import health_report, metric_rows
     lake, now = _health_lake(spark, sf)
     return metric_rows(health_report(lake, now=now))
