@@ -44,6 +44,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * BASE)
 LOWER_VALUES = BYTE_VALUES[LOWER]
 STEP = 1 << 16
+#: Values that one polynomial covers.  Modulo 2**64 longer ones can be made equal (Thue-Morse sequences, from 512
+#: values on), so the hashes of the blocks of a longer range are mixed with their places and added up.
+BLOCK = 64
+BLOCKS_AT_ONCE = 1 << 18
 _POWERS: dict[int, list[np.ndarray]] = {}
 
 
@@ -77,6 +81,23 @@ class Rolling:
         np.cumsum(scaled, out=self.prefix[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        blocks = (end - start + (BLOCK - 1)) // BLOCK
+        long = np.flatnonzero(blocks > 1)
+        if not len(long):
+            return self._polynomials(start, end)
+        out = self._polynomials(start, np.minimum(end, start + BLOCK))
+        done = np.cumsum(blocks[long])
+        for part in np.split(long, np.flatnonzero(np.diff(done // BLOCKS_AT_ONCE)) + 1):
+            count = blocks[part]
+            first = np.cumsum(count) - count
+            k = np.arange(int(count.sum())) - np.repeat(first, count)
+            at = np.repeat(start[part], count) + k * BLOCK
+            each = self._polynomials(at, np.minimum(at + BLOCK, np.repeat(end[part], count)))
+            total = np.add.reduceat(mix(each + k.astype(U) * WORD_BASE), first)
+            out[part] = mix(total + (end[part] - start[part]).astype(U) * CHECK_BASE)
+        return out
+
+    def _polynomials(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         low, high = self.down
         out = self.prefix[end] - self.prefix[start]
         out *= low[start & (STEP - 1)]
