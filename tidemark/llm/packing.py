@@ -7,10 +7,11 @@ ids by index; the worker's table of chunks starts anew beyond CHUNKS_KEPT entrie
 
 Packing.  Documents end with ``end_id``; longer ones are cut.  Pieces meet in groups bounded by
 text size; each group packs best-fit (longest first, into the fullest bin with room).  Bins full
-up to the level's share are emitted; the pieces of the others move on, FAN groups
-together, and are packed again, up the tree to one group.  The share falls from level to level
-to a half, and best fit leaves at most one bin under a half per group, so what a task
-of a higher level gets is bounded by its fan-in, and nothing is ever left over.
+up to FULL are emitted; the pieces of the others move on, FAN groups together, and are packed
+again, up the tree to one group.  The rule is the same on every level.  A group moves CARRIED
+pieces on at most, those of its emptiest bins, and emits its other bins as they are: they are
+the ones that gain least, and a task of a higher level gets FAN times CARRIED pieces at most.
+Nothing is left over.  The groups follow from the table alone, not from session settings.
 
 Null and empty texts are the end id alone; every row is a document of its own (repeated
 ids give repeated pieces); empty tables give no rows; other columns are not read.
@@ -28,8 +29,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import arrays as A
 
 CHUNKS_KEPT = 1_500_000
+#: Text bytes of a group, where each row counts ROW_BYTES besides (a row without text is a piece too).
 GROUP_BYTES = 64 << 20
+ROW_BYTES = 64
 FAN = 8
+#: Share of a bin from which on it is emitted, and pieces that a group moves to the next level at most.
+FULL = 0.99
+CARRIED = 1 << 17
 PIECE = np.dtype([("id", "<i8"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
 PIECE_SCHEMA = "bucket int, pieces binary"
 PIECE_ARROW = pa.schema([("bucket", pa.int32()), ("pieces", pa.binary())])
@@ -167,21 +173,28 @@ def best_fit(lengths: np.ndarray, room: int) -> list[list[int]]:
     return bins
 
 
-def pack_level(rows: DataFrame, room: int, full: float, level: int) -> DataFrame:
-    """Bins of each group; ``done`` where the share ``full`` is reached."""
+def to_carry(fills: np.ndarray, counts: np.ndarray, room: int, carried: int) -> np.ndarray:
+    """Which bins are packed again: the emptiest of those under FULL, ``carried`` pieces in all at most."""
+    order = np.argsort(fills, kind="stable")
+    order = order[fills[order] < FULL * room]
+    again = np.zeros(len(fills), bool)
+    again[order[np.cumsum(counts[order]) <= carried]] = True
+    return again
+
+
+def pack_level(rows: DataFrame, room: int, last: bool, level: int, carried: int) -> DataFrame:
+    """Bins of each group; ``done`` where they are emitted."""
     def group(table: pa.Table) -> pa.Table:
         g = table.column("bucket")[0].as_py()
         pieces = np.frombuffer(b"".join(table.column("pieces").to_pylist()), PIECE)
         pieces = pieces[np.lexsort((pieces["crc"], pieces["piece"], pieces["id"]))]
-        done, raw = [], []
-        for b in best_fit(pieces["length"].astype(np.int64), room):
-            own = pieces[b]
-            done.append(int(own["length"].sum()) >= full * room)
-            raw.append(own.tobytes())
-        k = len(raw)
+        bins = [pieces[b] for b in best_fit(pieces["length"].astype(np.int64), room)]
+        k = len(bins)
+        fills = np.fromiter((int(b["length"].sum()) for b in bins), np.int64, k)
+        done = np.ones(k, bool) if last else ~to_carry(fills, np.fromiter(map(len, bins), np.int64, k), room, carried)
         numbers = (np.int64(level) << np.int64(56)) + (np.int64(g) << np.int64(26)) + np.arange(k)
-        return pa.table([pa.array([g // FAN] * k, pa.int32()), pa.array(done, pa.bool_()), pa.array(numbers, pa.int64()),
-                         pa.array(raw, pa.binary())], schema=BIN_ARROW)
+        return pa.table([pa.array([g // FAN] * k, pa.int32()), pa.array(done), pa.array(numbers, pa.int64()),
+                         pa.array([b.tobytes() for b in bins], pa.binary())], schema=BIN_ARROW)
 
     return rows.select("bucket", "pieces").groupBy("bucket").applyInArrow(group, BIN_SCHEMA)
 
@@ -192,23 +205,25 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = 4096, end
 
     docs = A.keyed(docs)
     shared_dir(docs.sparkSession)
-    n = A.bucket_count(docs, each=GROUP_BYTES)
+    size = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES), F.lit(0))).first()[0]
+    n = max(1, -(-int(size) // GROUP_BYTES))
     rows = piece_rows(docs, tokenizer_path, length, end_id, n).checkpoint(eager=True)  # tokenised once; small beside the texts
-    levels, groups = [], n
+    return _placed(pack_pieces(rows, n, length))
+
+
+def pack_pieces(rows: DataFrame, groups: int, room: int, carried: int = CARRIED) -> DataFrame:
+    """Bins (sequence_id, pieces) of packed pieces in ``groups`` groups; each level's bins are written once."""
+    out, level = None, 0
     while True:
-        levels.append(groups)
-        if groups == 1:
-            break
-        groups = -(-groups // FAN)
-    out = None
-    for level in range(len(levels)):
-        last = level == len(levels) - 1
-        full = 0.0 if last else 0.99 if len(levels) < 3 else 0.99 - 0.49 * level / (len(levels) - 2)
-        bins = pack_level(rows, length, full, level)
-        ready = bins.where("done")
+        last = groups <= 1
+        bins = pack_level(rows, room, last, level, carried)
+        if not last:
+            bins = bins.checkpoint(eager=True)
+        ready = bins.where("done").select("sequence_id", "pieces")
         out = ready if out is None else out.unionByName(ready)
-        rows = bins.where("NOT done")
-    return _placed(out)
+        if last:
+            return out
+        rows, groups, level = bins.where("NOT done"), -(-groups // FAN), level + 1
 
 
 def _placed(bins: DataFrame) -> DataFrame:
