@@ -10,6 +10,9 @@ only the bucket it was dealt, and the number of buckets grows with the input
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -105,6 +108,42 @@ class Rolling:
         return mix(out + (end - start).astype(U) * CHECK_BASE)
 
 
+@functools.cache
+def _malloc_trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def _give_back():
+    pa.default_memory_pool().release_unused()
+    _malloc_trim()(0)
+
+
+def trimmed(work):
+    """``work`` for mapInArrow or a grouped applyInArrow, after which its worker gives free memory back.
+
+    Workers are reused and idle ones stay, so what their allocators keep would add up on an executor.
+    """
+    if inspect.isgeneratorfunction(work):
+        def whole(batches):
+            try:
+                yield from work(batches)
+            finally:
+                _give_back()
+    elif len(inspect.signature(work).parameters) == 1:
+        def whole(table: pa.Table) -> pa.Table:
+            try:
+                return work(table)
+            finally:
+                _give_back()
+    else:
+        def whole(left: pa.Table, right: pa.Table) -> pa.Table:
+            try:
+                return work(left, right)
+            finally:
+                _give_back()
+    return whole
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, borders from 0) of a string column; null counts as empty."""
     column = column.cast(pa.large_string())
@@ -277,6 +316,7 @@ def id_values(column: pa.Array) -> np.ndarray:
 def text_rows(docs: DataFrame, n: int, carried: tuple[str, ...] = ()) -> DataFrame:
     """Texts packed by ``row_bucket`` and compressed, for the steps that need a text beside
     what was found about it; ``carried`` names further string columns to keep with them."""
+    @trimmed
     def task(batches):
         import zstandard
 

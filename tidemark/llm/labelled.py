@@ -37,6 +37,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, bound: int
 def fit(sample: DataFrame, train: Callable[[Iterator], object]) -> object:
     """Run ``train`` over (bytes, borders, labels) slices of the bounded sample, in one task; rows
     reach it in an order of their own, so a rerun gives the same model."""
+    @A.trimmed
     def task(batches):
         def slices():
             for batch in batches:
@@ -46,7 +47,8 @@ def fit(sample: DataFrame, train: Callable[[Iterator], object]) -> object:
 
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(slices()))], pa.binary())], names=["model"])
 
-    ordered = sample.orderBy(F.xxhash64("text"), "text", "label").coalesce(1)
+    # sort keys are sampled on the driver, so they hold a digest, not the text
+    ordered = sample.orderBy(F.xxhash64("text"), F.sha2(F.col("text").cast("binary"), 256), "label").coalesce(1)
     row = ordered.mapInArrow(task, "model binary").first()
     return pickle.loads(row[0]) if row else train(iter(()))  # an empty sample may have no task
 
@@ -55,6 +57,7 @@ def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nda
     """(doc_id, held_out, score, predicted) for every row; no shuffle, texts stay in their task."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
+    @A.trimmed
     def task(batches):
         for batch in batches:
             parts = [score(data, borders) for _, _, data, borders in A.text_slices(batch.column("text"))]
@@ -70,6 +73,7 @@ def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nda
 
 def keep_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: float) -> DataFrame:
     """The rows, all columns, that score ``limit`` or more; no shuffle."""
+    @A.trimmed
     def task(batches):
         for batch in batches:
             parts = [score(data, borders) for _, _, data, borders in A.text_slices(batch.column("text"))]

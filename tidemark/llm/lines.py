@@ -84,6 +84,7 @@ def _lines(data, borders):
 
 def key_rows(texts: DataFrame, min_chars: int, n: int) -> DataFrame:
     """Packed (key, documents of this bucket, largest of them), addressed to shards, from a bucket."""
+    @A.trimmed
     def rows(table: pa.Table) -> pa.Table:
         rids, ids, data, borders = A.unpack_texts(table)
         seen: dict[bytes, list] = {}
@@ -103,6 +104,7 @@ def key_rows(texts: DataFrame, min_chars: int, n: int) -> DataFrame:
 
 def build_index(keys: DataFrame) -> DataFrame:
     """One row per shard: the perfect hash and its arrays."""
+    @A.trimmed
     def shard(table: pa.Table) -> pa.Table:
         _, key, seen = A.unpack(table, np.int64, KEY, SEEN)
         order = np.lexsort((seen["rid"], seen["id"], key["print"], key["place"]))
@@ -127,6 +129,7 @@ def build_index(keys: DataFrame) -> DataFrame:
 def probe(index: DataFrame, keys: DataFrame, min_docs: int) -> DataFrame:
     """Packed (key, last document) of lines in ``min_docs`` documents, addressed to the bucket of
     documents that asked."""
+    @A.trimmed
     def shard(left: pa.Table, right: pa.Table) -> pa.Table:
         home, key, _ = A.unpack(right, np.int64, KEY, SEEN)
         column = lambda name, kind: np.frombuffer(left.column(name)[0].as_py(), kind)
@@ -143,6 +146,7 @@ def probe(index: DataFrame, keys: DataFrame, min_docs: int) -> DataFrame:
 def drop_lines(texts: DataFrame, answers: DataFrame, min_chars: int, carried: tuple[str, ...] = ()) -> DataFrame:
     schema = pa.schema([*RESULT, *((c, pa.string()) for c in carried)])
 
+    @A.trimmed
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.Table.from_batches([], schema=schema)

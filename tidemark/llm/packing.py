@@ -3,7 +3,7 @@
 Tokenising.  A text's ids are those of its chunks: no token of this tokenizer family spans white
 space, nor the border of an ASCII letter and ASCII punctuation.  A slice of documents finds
 its distinct chunks by hash, runs the tokenizer on chunks its worker has not met, and gathers
-ids by index; the worker's table of chunks starts anew beyond CHUNKS_KEPT entries.
+ids by index; the worker's table of chunks starts anew beyond TABLE_BYTES.
 
 Packing.  Documents end with ``end_id``; longer ones are cut.  Pieces meet in groups bounded by
 text size; each group packs best-fit (longest first, into the fullest bin with room).  Bins full
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import arrays as A
 
-CHUNKS_KEPT = 1_500_000
+#: Bytes of a worker's table of chunks, beyond which it starts anew.
+TABLE_BYTES = 48 << 20
 #: Text bytes of a group, where each row counts ROW_BYTES besides (a row without text is a piece too).
 GROUP_BYTES = 64 << 20
 ROW_BYTES = 64
@@ -67,7 +68,7 @@ class ChunkTable:
         inside = where < len(self.keys)
         known[inside] = self.keys[where[inside]] == keys[inside]
         fresh = np.flatnonzero(~known)
-        if len(self.keys) + len(fresh) > CHUNKS_KEPT and len(self.keys):
+        if (len(self.keys) + len(fresh)) * 24 + self.ids.nbytes > TABLE_BYTES and len(self.keys):
             self.clear()
             return self.places(keys, data, starts, ends)
         if len(fresh):
@@ -121,6 +122,7 @@ def tokenized(data, borders, table: ChunkTable, end_id: int):
 
 
 def piece_rows(docs: DataFrame, path: str, length: int, end_id: int, n: int) -> DataFrame:
+    @A.trimmed
     def task(batches):
         import os
 
@@ -184,6 +186,7 @@ def to_carry(fills: np.ndarray, counts: np.ndarray, room: int, carried: int) ->
 
 def pack_level(rows: DataFrame, room: int, last: bool, level: int, carried: int) -> DataFrame:
     """Bins of each group; ``done`` where they are emitted."""
+    @A.trimmed
     def group(table: pa.Table) -> pa.Table:
         g = table.column("bucket")[0].as_py()
         pieces = np.frombuffer(b"".join(table.column("pieces").to_pylist()), PIECE)
@@ -230,6 +233,7 @@ def _placed(bins: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
+    @A.trimmed
     def task(batches):
         for batch in batches:
             raw = batch.column("pieces").to_pylist()

@@ -73,6 +73,7 @@ def digests(docs: DataFrame, words: int) -> DataFrame:
     """One row per document: size and digest of its set."""
     schema = pa.schema([(c, pa.int64()) for c in ("rid", "doc_id", "n", "d1", "d2")])
 
+    @A.trimmed
     def task(batches):
         for batch in batches:
             for first, end, data, borders in A.text_slices(batch.column("text")):
@@ -140,6 +141,7 @@ def _long(word):
 
 def count_words(texts: DataFrame, chosen: DataFrame, words: int, n: int) -> DataFrame:
     """Each bucket's distinct words with the number of its sets that hold them, by word."""
+    @A.trimmed
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return A.tables([], A.BLOB_ARROW)
@@ -155,6 +157,7 @@ def count_words(texts: DataFrame, chosen: DataFrame, words: int, n: int) -> Data
 
 def shared_words(counts: DataFrame, n: int) -> DataFrame:
     """Words that two sets or more hold, with their number, back to the buckets that asked."""
+    @A.trimmed
     def bucket(table: pa.Table) -> pa.Table:
         home, word, count = A.unpack(table, np.int64, WORD, np.uint8)
         value = _long(word)
@@ -177,6 +180,7 @@ def first_words(texts: DataFrame, answers: DataFrame, words: int, n: int) -> Dat
     schema = pa.schema([("bucket", pa.int32()), ("word", pa.int64()), ("rid", pa.int64()), ("rank", pa.int64()), ("n", pa.int64()),
                         ("parts", pa.bool_()), ("unique", pa.int64()), ("items", pa.binary())])
 
+    @A.trimmed
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.Table.from_batches([], schema=schema)
         if not left.num_rows or not right.num_rows:
@@ -224,6 +228,7 @@ def verified(sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
     ask = pairs.groupBy(F.col("a_bucket").alias("bucket"), "a", "b_bucket").agg(F.collect_list("b").alias("b"))
     sent = pa.schema([("bucket", pa.int32()), ("a", pa.int64()), ("b", pa.list_(pa.int64())), ("items", pa.binary())])
 
+    @A.trimmed
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([], schema=sent)
@@ -233,6 +238,7 @@ def verified(sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
         return pa.table([right.column("b_bucket").cast(pa.int32()), pa.array(a, pa.int64()),
                          pa.array(right.column("b").to_pylist(), pa.list_(pa.int64())), pa.array(items, pa.binary())], schema=sent)
 
+    @A.trimmed
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         out_a, out_b = [], []
         if left.num_rows and right.num_rows:
@@ -272,6 +278,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _asked(rids: DataFrame, n: int) -> DataFrame:
     """Kind 9 rows: rids packed for their bucket of rows."""
+    @A.trimmed
     def task(batches):
         for batch in batches:
             own = batch.column("rid").to_numpy()
@@ -282,6 +289,7 @@ def _asked(rids: DataFrame, n: int) -> DataFrame:
 
 def _with_bucket(pairs: DataFrame, n: int) -> DataFrame:
     """Pairs with the buckets of both rows (the hash of ``arrays.row_bucket``)."""
+    @A.trimmed
     def task(batches):
         for batch in batches:
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
@@ -293,6 +301,7 @@ def _with_bucket(pairs: DataFrame, n: int) -> DataFrame:
 
 def bit_sketches(sets: DataFrame) -> DataFrame:
     """(rid, bits): each shingle flips one of BITS bits."""
+    @A.trimmed
     def task(batches):
         for batch in batches:
             own = _split(pa.Table.from_batches([batch]))
@@ -325,6 +334,7 @@ def close_rows(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("block", F.xxhash64("word", F.least("own", "other"), F.greatest("own", "other")))
     deal = F.pmod("block", F.lit(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
+    @A.trimmed
     def task(table: pa.Table) -> pa.Table:
         block, rid, label = (table.column(c).to_numpy() for c in ("block", "rid", "label"))
         rank, n, parts, own = (table.column(c).to_numpy() for c in ("rank", "n", "parts", "own"))
@@ -412,6 +422,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, carried: tup
     texts = A.text_rows(docs, n, carried)
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), *((c, pa.string()) for c in carried)])
 
+    @A.trimmed
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([], schema=schema)
