@@ -88,20 +88,34 @@ def test_suffixes(docs, table):
     same([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffixes.dedup_bytes(docs).collect()], expected)
 
 
-def test_lines(docs, table):
+def line_rows(documents):
+    """(doc_id, lines, dropped lines, kept text) of documents in order."""
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(lower)
-    rows = [(k, i, t.split("\n")) for k, (i, t) in enumerate(ordered(table))]
+    rows = [(k, i, t.split("\n")) for k, (i, t) in enumerate(documents)]
     held = {}
     for k, _, own in rows:
         for x in {key(x) for x in own if len(key(x)) >= 40}:
             held.setdefault(x, []).append(k)
     last = {x: v[-1] for x, v in held.items() if len(v) >= 5}
-    assert last
     expected = []
     for k, i, own in rows:
         stay = [x for x in own if last.get(key(x), k) == k]
         expected.append((i, len(own), len(own) - len(stay), "\n".join(stay)))
+    return expected
+
+
+def brute_lines(documents):
+    return [(i, kept) for i, _, _, kept in line_rows(documents)]
+
+
+def text_of_ordered(rows):
+    return ordered([(r["doc_id"], r["text"]) for r in rows])
+
+
+def test_lines(docs, table):
+    expected = line_rows(ordered(table))
+    assert any(r[2] for r in expected)
     same(lines.dedup_lines(docs).collect(), expected)
 
 
@@ -354,21 +368,92 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     for name, query in catalog.QUERIES.items():
         assert query(spark, str(tmp_path)).collect() == [], name
 
 
+def text_of(rows):
+    return [(r["doc_id"], r["text"] or "") for r in rows]
+
+
 def test_pipeline(spark, tmp_path, table):
+    """Each stage against brute force on what the stage before it wrote; ``run`` gives the rows of the last one."""
     import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
 
     rows, labels = labelled_table(200)
     spark.createDataFrame([(i, t, "en", "s1", None) for i, t in rows[:200]] + [r[:5] for r in table],
-                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+                          "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    known = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
-        docs = spark.read.parquet(f"{tmp_path}/{k}")
-        if k < 4:
-            assert set(corpus_pipeline.COLUMNS) == set(docs.columns), name
-    assert docs.count() > 0
+        stage(spark, docs, str(tmp_path)).coalesce(1).write.parquet(f"{tmp_path}/{k}")
+        seen.append((docs, out := spark.read.parquet(f"{tmp_path}/{k}")))
+        docs = out
+        assert docs.count() > 0 and (k == 4 or set(corpus_pipeline.COLUMNS) == set(docs.columns)), name
+
+    # 1: the documents that the classifier predicts to be good, as they are
+    given, kept = seen[0]
+    scored = quality.classify(given, known).collect()  # rows in the order of the table
+    expected = [tuple(r[c] for c in corpus_pipeline.COLUMNS) for r, s in zip(given.collect(), scored, strict=True) if s["score"] >= 0.7]
+    assert len(expected) < given.count()
+    same([tuple(r[c] for c in corpus_pipeline.COLUMNS) for r in kept.collect()], expected)
+
+    # 2: every document stays, without the lines that a later one of five or more holds
+    given, kept = seen[1]
+    same(text_of(kept.collect()), brute_lines(text_of_ordered(given.collect())))
+
+    # 3: the first document of each component, and every document without words
+    given, kept = seen[2]
+    ordered_rows = text_of_ordered(given.collect())
+    firsts = {}
+    for k, (i, n, c) in enumerate(brute_components(ordered_rows)):
+        firsts.setdefault(c if n else ("empty", k), ordered_rows[k])
+    same(text_of(kept.collect()), firsts.values())
+
+    # 4: whole documents, twice at most, up to the target of their source; none that was not there
+    given, kept = seen[3]
+    have, out = given.collect(), kept.collect()
+    sizes, words_out = Counter(), Counter()
+    for r in have:
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    for r in out:
+        words_out[r["source"]] += len(WORD.findall(r["text"]))
+    targets = mixing.quotas(dict(sizes))
+    columns = corpus_pipeline.COLUMNS
+    there = Counter(tuple(r[c] for c in columns) for r in have)
+    assert all(n <= 2 * there[row] for row, n in Counter(tuple(r[c] for c in columns) for r in out).items())
+    for s, target in targets.items():
+        longest = max(len(WORD.findall(r["text"] or "")) for r in have if r["source"] == s)
+        assert 0 <= target - words_out[s] + 1e-6 <= longest + 1
+
+    # 5: the pieces of all rows, in sequences without gaps
+    given, pieces = seen[4]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = []
+    for i, t in text_of(given.collect()):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [1]
+        for at in range(0, len(ids), 4096):
+            part = np.array(ids[at: at + 4096], "<u4")
+            expected.append((i, at // 4096, at, len(part), zlib.crc32(part.tobytes())))
+    found = pieces.collect()
+    same([tuple(r)[:5] for r in found], expected)
+    ends = Counter()
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 4096
+
+    again = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    same([tuple(r)[:5] for r in again], expected)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
