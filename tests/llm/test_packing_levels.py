@@ -3,7 +3,10 @@
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import packing
 
@@ -43,3 +46,22 @@ def test_nothing_is_lost_where_few_pieces_move_on(spark, carried):
 def test_the_emptiest_bins_move_on():
     fills, counts = np.array([4096, 4000, 100, 3000, 4060, 2000]), np.array([1, 2, 3, 4, 5, 2])
     assert packing.to_carry(fills, counts, 4096, 5).tolist() == [False, False, True, False, False, True]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"], exclude_characters=" \t\n\x0b\x0c\r"), min_size=1, max_size=8)
+                | st.sampled_from(["\u0130stanbul", "\u01c5", "\u017f", "\ufb00", "\u1100\u1161\u11a8", "e\u0301a", "\u00aab", "don't", "x" * 300, "word"]),
+                max_size=30))
+def test_chunks_tokenised_together_have_the_ids_of_each_alone(table_of_chunks, chunks):
+    assert table_of_chunks.ends is not None
+    assert table_of_chunks.encoded(chunks) == table_of_chunks._ids(chunks)
+
+
+def test_other_tokenizers_take_chunks_one_by_one():
+    table = packing.ChunkTable(public_tokenizers.path("byte_bpe_50k.json"))
+    assert table.ends is None and table.encoded(["one", "two,", "é"]) == table._ids(["one", "two,", "é"])
+
+
+@pytest.fixture(scope="module")
+def table_of_chunks():
+    return packing.ChunkTable(public_tokenizers.path("word_bpe_49k.json"))

@@ -20,6 +20,7 @@ ids give repeated pieces); empty tables give no rows; other columns are not read
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from tidemark.llm import arrays as A
 
 #: Bytes of a worker's table of chunks, beyond which it starts anew.
 TABLE_BYTES = 48 << 20
+#: Chunks that the tokenizer gets in one call.
+ENCODED_AT_ONCE = 4096
 #: Text bytes of a group, where each row counts ROW_BYTES besides (a row without text is a piece too).
 GROUP_BYTES = 64 << 20
 ROW_BYTES = 64
@@ -53,10 +56,44 @@ class ChunkTable:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        # ids of tokens that end a word, where every word has exactly one (an end-of-word suffix, all bytes known with it)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix and all(c + suffix in vocabulary for c in ByteLevel.alphabet()):
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.clear()
 
+    def encoded(self, texts: list[str]) -> list:
+        """Ids of each chunk.  Chunks of letters alone are tokenised together, with blanks between: each gives at
+        least one word, so if there are as many words as chunks, the words are the chunks."""
+        made: list = [None] * len(texts)
+        words = [i for i, t in enumerate(texts) if t.isalpha()] if self.ends is not None else []
+        alone = [i for i, t in enumerate(texts) if not t.isalpha()] if words else list(range(len(texts)))
+        for k in range(0, len(words), ENCODED_AT_ONCE):
+            part = words[k: k + ENCODED_AT_ONCE]
+            ids = self._ids([" ".join([texts[i] for i in part])])[0]
+            at = np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1
+            if len(at) != len(part) or at[-1] != len(ids):
+                alone += part
+                continue
+            low = 0
+            for i, high in zip(part, at.tolist(), strict=True):
+                made[i] = ids[low:high]
+                low = high
+        for k in range(0, len(alone), ENCODED_AT_ONCE):
+            part = alone[k: k + ENCODED_AT_ONCE]
+            for i, ids in zip(part, self._ids([texts[i] for i in part]), strict=True):
+                made[i] = ids
+        return made
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def clear(self):
         self.keys, self.at, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
         self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -74,10 +111,10 @@ class ChunkTable:
         if len(fresh):
             view = memoryview(data)
             texts = [str(view[s:e], "utf-8") for s, e in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)]
-            made = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            made = self.encoded(texts)
             counts = np.fromiter(map(len, made), np.int64, len(made))
             first = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.uint32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))])
             at = np.searchsorted(self.keys, keys[fresh])
             self.keys = np.insert(self.keys, at, keys[fresh])
             self.starts, self.counts = np.insert(self.starts, at, first), np.insert(self.counts, at, counts)
