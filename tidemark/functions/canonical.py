@@ -3,15 +3,20 @@
 A payload with fixed columns is rendered by ``to_json`` over a struct whose
 fields are in sorted name order; money is carried as exact decimal text and
 instants as UTC ISO text, so the hash does not depend on the session zone.
-Free-form JSON is canonicalised by a ``parse_json``/``to_json`` round trip,
-which sorts keys at every level and drops insignificant whitespace.
+Free-form JSON goes through an Arrow-batched UDF over the JSON reader and writer of
+Python, since Spark's variant rewrites numbers (``1.0`` as ``1``, long integers as
+decimals): keys are sorted by code point at every depth, of repeated keys the last counts,
+white space goes, text stays unescaped, integers keep all digits and other numbers are the
+shortest text that reads back as the same double, always with a point or an exponent.
 """
 
-from __future__ import annotations
+import json
+import math
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, StringType, TimestampNTZType, TimestampType
 
 from .timeutil import iso_utc
 
@@ -33,10 +38,39 @@ def canonical_json(df, columns: list[str]) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+def _finite(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError("a number beyond a double")
+    return value
+
+
+def _refused(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def canonical_text(text: str | None) -> str | None:
+    """The canonical form of one JSON text; None if it has none."""
+    if text is None:
+        return None
+    try:
+        value = json.loads(text, parse_float=_finite, parse_constant=_refused)
+        made = json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+        made.encode()  # half a surrogate pair has no UTF-8
+    except (ValueError, RecursionError):
+        return None
+    return made
+
+
+@F.pandas_udf(StringType())
+def _canonical(texts: pd.Series) -> pd.Series:
+    return texts.map(canonical_text, na_action="ignore")
+
+
 def canonical_free_json(text) -> Column:
-    """P1 for free JSON text; NULL when the text is not valid JSON."""
-    t = F.col(text) if isinstance(text, str) else text
-    return F.to_json(F.try_parse_json(t))
+    """P1 for free JSON text; NULL when the text is not JSON, holds NaN, an infinite number or half a
+    surrogate pair, or is nested too deeply to read."""
+    return _canonical(F.col(text) if isinstance(text, str) else text)
 
 
 def payload_hash(canonical: Column) -> Column:

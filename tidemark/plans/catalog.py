@@ -738,6 +738,28 @@ def q_canonical_hash(spark, sf):
              .withColumn("payload_hash", payload_hash(F.col("payload")))
 
 
+#: A payload per event with nested objects, unsorted and repeated keys, white space and numbers in several
+#: spellings; every 50th event holds what JSON does not allow.
+FREE_JSON_SQL = """concat('{"z": ', props, ', "é" : "', event_type, '", "a": 0, "a": {"n": [1.0, ', value, ', 1e3, -0.50, ',
+  event_id, '000000000000000000],  "B": {"y": null, "x": true}, "b": ', case when event_id % 50 = 0 then 'NaN' else '{}' end, '}}')"""
+
+
+@register("canonical_free_json", """
+select event_id, payload, sha256(payload) as payload_hash
+from (select cast(event_id as bigint) as event_id, case when event_id % 50 <> 0 then
+    concat('{"a":{"B":{"x":true,"y":null},"b":{},"n":[1.0,', value, ',1000.0,-0.5,',
+           case when event_id > 0 then concat(event_id, repeat('0', 18)) else '0' end,
+           ']},"z":{"k":', json_extract_string(props, '$.k'), '},"é":"', event_type, '"}') end as payload
+  from events)""")
+def q_canonical_free_json(spark, sf):
+    """Canonical text and hash of free JSON of every event."""
+    from ..functions.canonical import canonical_free_json, payload_hash
+    from ..sources.tables import read_table
+    e = read_table(spark, sf, "events").select("event_id", F.expr(FREE_JSON_SQL).alias("raw"))
+    e = e.select(F.col("event_id").cast("long").alias("event_id"), canonical_free_json("raw").alias("payload"))
+    return e.withColumn("payload_hash", payload_hash(F.col("payload")))
+
+
 @register("json_typed_extract", """
 select cast(event_id as varchar) as event_id, cast(json_extract_string(props, '$.k') as bigint) as k,
   cast(cast(cast(cast(cast(value as decimal(18,2)) * 0.125 as decimal(18,5)) as varchar) as decimal(18,2))
