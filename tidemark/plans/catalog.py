@@ -510,8 +510,8 @@ where updated_at >= timestamp '1997-01-01 00:00:00' and updated_at < timestamp '
 def q_keyset_walk(spark, sf):
     """The whole window page by page, each from the cursor of the one before."""
     out = None
-    for no, page in enumerate(change_log(spark, sf).pages(SCAN_WINDOW, WALK_PAGE)):
-        rows = page.select("order_id", "version", "updated_at", F.lit(no).cast("bigint").alias("page"))
+    for pages in change_log(spark, sf).walk(SCAN_WINDOW, WALK_PAGE):
+        rows = pages.select("order_id", "version", "updated_at", F.col("_page").alias("page"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
