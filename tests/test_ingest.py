@@ -314,3 +314,47 @@ def test_feed_walk_with_a_gap_or_a_way_back(spark, lake):
     r = PaymentIngestion(lake).run(feed_of((0, "p1"), (1, None), (5, None), (6, "p7"), (7, "p6"), (8, "p9")))
     assert (r["pages_fetched"], r["detached_pages"]) == (2, 4)
     assert landed_payments(lake).count() == 0
+
+
+
+def _wide_rows_shuffled(spark, action, monkeypatch):
+    """Fields named payload below an exchange of the plans that ``action`` writes."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    found, real = [], DataFrameWriter.parquet
+
+    def noted(self, path, *a, **k):
+        text = self._df._jdf.queryExecution().optimizedPlan().toString()
+        found.extend(line for line in text.splitlines() if "Aggregate [" in line and "payload#" in line)
+        return real(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    action()
+    monkeypatch.undo()
+    return found
+
+
+def test_payloads_are_written_once_and_not_grouped(spark, lake, monkeypatch):
+    """New orders land as staged, and classification groups keys and hashes without the payload."""
+    ing = OrderIngestion(lake, source(spark))
+    assert _wide_rows_shuffled(spark, lambda: ing.run(CUTOFF), monkeypatch) == []
+    holders = [d for t in ("tables/raw_order_versions", "staging") for d in os.listdir(f"{lake.root}/{t}")
+               if "payload" in spark.read.parquet(f"{lake.root}/{t}/{d}").columns]
+    assert len(holders) == 1
+
+
+def test_new_rows_among_landed_ones(spark, lake):
+    """Few new among many, many new among few: each list of keys is the shorter one once."""
+    OrderIngestion(lake, source(spark, ORDERS[:2])).run(CUTOFF)
+    r = OrderIngestion(lake, source(spark)).backfill(datetime(2026, 1, 1, tzinfo=timezone.utc), CUTOFF)
+    assert (r["inserted"], r["duplicates"]) == (6, 2)
+    more = [*ORDERS, ("ord-9", *ORDERS[0][1:])]
+    r = OrderIngestion(lake, source(spark, more)).backfill(datetime(2026, 1, 1, tzinfo=timezone.utc), CUTOFF)
+    assert (r["inserted"], r["duplicates"]) == (1, 8) and landed_orders(lake).distinct().count() == 9
+
+
+def test_packed_hashes_keep_texts_apart(spark):
+    from tidemark.functions.canonical import packed_hash, unpacked_hash
+    texts = ["a" * 64, "A" * 64, "ab" * 16, "", "\x01", "ab", "é" * 32, "a" * 64 + "\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed_hash(F.col("t")).alias("p"))
+    rows = df.select("t", "p", unpacked_hash(F.col("p")).alias("u")).collect()
+    assert all(r["t"] == r["u"] for r in rows) and len({bytes(r["p"]) for r in rows if r["p"] is not None}) == 8
+    assert len(rows[0]["p"]) == 33 and len(rows[2]["p"]) == 17

@@ -78,6 +78,19 @@ def payload_hash(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
+def packed_hash(col: Column) -> Column:
+    """A SHA-256 or MD5 in lowercase hex as bytes, for shuffles; other text whole.  The first byte tells them apart,
+    so different texts stay different."""
+    return F.when(col.rlike(r"\A(?:[0-9a-f]{32}){1,2}\z"), F.concat(F.lit(b"\x01"), F.unhex(col))) \
+            .otherwise(F.concat(F.lit(b"\x00"), col.cast("binary")))
+
+
+def unpacked_hash(col: Column) -> Column:
+    """The text that ``packed_hash`` was given."""
+    rest = F.substring(col, 2, 2**31 - 1)
+    return F.when(F.substring(col, 1, 1) == F.lit(b"\x01"), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def surrogate_key(*parts: Column) -> Column:
     """md5 of the parts joined by '|'; NULL if any part is NULL (like ||)."""
     pieces: list[Column] = []

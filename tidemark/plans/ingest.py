@@ -2,9 +2,9 @@
 
 Orders: each run scans one half-open window of the source (S1), renders the
 canonical payload and hash (P1, P2), classifies every (order_id, version)
-against the index of landed keys in one join (J4; ``sources/keyindex.py``) and writes the classified batch once,
-partitioned by status.  Counters come from one small aggregate over that
-written batch.  Then exactly one commit publishes either
+against the index of landed keys in one join (J4; ``sources/keyindex.py``).  The window is staged as rows of the
+table, and the labels of its keys, without payloads, are written beside it; a window of new rows is published as staged.  Counters come from one
+small aggregate over the written labels.  Then exactly one commit publishes either
 
 * the new rows, the succeeded run row and (for scheduled runs) the checkpoint,
 * or, on a same-version/different-payload conflict, the conflict ledger rows
@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.canonical import canonical_json, payload_hash
+from ..functions.canonical import canonical_json, packed_hash, payload_hash, unpacked_hash
 from ..functions.contracts import check_payments
-from ..operators.versions import CONFLICT, NEW, classify, classify_copies, latest_by
+from ..operators.versions import CONFLICT, DUPLICATE, NEW, classify, classify_copies, latest_by
 from ..sources import feed
 from ..sources.keyindex import KeyIndex
 from ..sources.lake import Lake
@@ -40,6 +40,7 @@ DEFAULT_INITIAL_START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 DEFAULT_LOOKBACK = timedelta(minutes=15)
 CONFLICT_REASON = "same_version_different_payload"
 INVALID = "invalid"
+KEY = ["order_id", "version"]
 LEDGER_COUNTS = {"extracted": "extracted_count", "inserted": "inserted_count",
                  "duplicates": "duplicate_count", "conflicts": "conflict_count"}
 
@@ -102,56 +103,69 @@ class OrderIngestion:
                                   info={"run_id": run.run_id, "event": "start"})
         found: dict = {}
         try:
-            folder, found = self._classified(run)
+            folder, labelled, found = self._classified(run)
             if found["nulls"]:
                 raise ValueError("order metadata is NULL")
             if not found["conflicts"]:
                 if found["copies"] > 1:
                     raise ValueError("an order version occurs twice in the batch")
-                return self._publish(run, opened, folder, found)
+                return self._publish(run, opened, folder, labelled, found)
         except Exception as exc:
             self._fail(run, exc, found)
             raise
-        self._refuse(run, folder, found)
+        self._refuse(run, folder, labelled, found)
         raise ValueError("order_version_payload_conflict")
 
-    def _classified(self, run: Run) -> tuple[str, dict]:
-        """Write the labelled window once, split by status; return folder and counts."""
+    def _classified(self, run: Run) -> tuple[str, DataFrame, dict]:
+        """Stage the window, write the labels of its keys; return the folder, the labels and their counts."""
         rows = change_scan(self.source, run.window).select(*SOURCE_COLUMNS)
         rows = rows.select("order_id", "version", F.col("updated_at").alias("source_updated_at"),
                            canonical_json(rows, list(SOURCE_COLUMNS)).alias("payload"))
         # the staged window is a written table: the source is scanned once
-        staged, _ = self.lake.scratch(rows.withColumn("payload_hash", payload_hash(F.col("payload"))),
-                                      f"orders-{run.run_id}")
-        key = ["order_id", "version"]
-        landed = self.index.landed(staged)
-        # only new rows keep their payload: duplicates and refused ones need their hash alone
-        labelled = classify(staged, landed, key).select(
-            *key, "source_updated_at", F.when(F.col("status") == NEW, F.col("payload")).alias("payload"),
-            "payload_hash", F.current_timestamp().alias("ingested_at"),
-            F.lit(run.run_id).alias("first_seen_run_id"), "existing_hash", "batch_copies", "status")
-        token = uuid.uuid4().hex
-        path = f"{self.lake.root}/tables/raw_order_versions/{token}"
-        labelled.write.partitionBy("status").parquet(path)
+        token = self.lake.stage("raw_order_versions", rows.select(
+            "*", payload_hash(F.col("payload")).alias("payload_hash"), F.current_timestamp().alias("ingested_at"),
+            F.lit(run.run_id).alias("first_seen_run_id")))
+        staged = self._staged(token)
+        # keys and hashes are classified; a payload is never shuffled for it
+        narrow, landed = (df.withColumn("payload_hash", packed_hash(F.col("payload_hash"))) for df in (
+            staged.select(*KEY, "source_updated_at", "payload_hash"), self.index.landed(staged)))
+        differs = F.col("status") == CONFLICT
+        labelled, _ = self.lake.scratch(classify(narrow, landed, KEY).select(
+            *KEY, "source_updated_at", F.when(differs, unpacked_hash(F.col("payload_hash"))).alias("payload_hash"),
+            F.when(differs, unpacked_hash(F.col("existing_hash"))).alias("existing_hash"), "batch_copies", "status"),
+            f"orders-labelled-{run.run_id}")
         null = F.col("order_id").isNull() | F.col("version").isNull() | F.col("source_updated_at").isNull()
-        found = self.spark.read.schema(labelled.schema).parquet(path).agg(
+        found = labelled.agg(
             F.coalesce(F.sum("batch_copies"), F.lit(0)).alias("extracted"),
             F.count_if(F.col("status") == NEW).alias("new"),
             F.count_if(F.col("status") == CONFLICT).alias("conflicts"),
             F.coalesce(F.max("batch_copies"), F.lit(0)).alias("copies"),
             F.count_if(null).alias("nulls")).first().asDict()
-        return token, found
-
-    def _publish(self, run: Run, opened: int, folder: str, found: dict) -> dict:
+        return token, labelled, found
+
+    def _staged(self, token: str) -> DataFrame:
+        return self.spark.read.schema(schemas.RAW_ORDER_VERSIONS).parquet(f"{self.lake.root}/tables/raw_order_versions/{token}")
+
+    def _new_rows(self, token: str, labelled: DataFrame, found: dict) -> str:
+        """The folder of the new rows: the staged one if all are new, else a copy without the others.  Every key
+        occurs once here; of the lists of new and other keys the shorter one is joined."""
+        others = found["extracted"] - found["new"]
+        if not others:
+            return token
+        status, how = (NEW, "left_semi") if found["new"] <= others else (DUPLICATE, "left_anti")
+        listed, _ = self.lake.scratch(labelled.where(F.col("status") == status).select(*KEY), f"orders-{status}")
+        return self.lake.stage("raw_order_versions", self._staged(token).join(listed, KEY, how))
+
+    def _publish(self, run: Run, opened: int, folder: str, labelled: DataFrame, found: dict) -> dict:
         """One commit: rows, run and checkpoint; refused if another run published since ``opened``."""
         counts = {"extracted": found["extracted"], "inserted": found["new"],
                   "duplicates": found["extracted"] - found["new"], "conflicts": 0}
         staged = {"ingestion_runs": [self.lake.stage("ingestion_runs", run.ledger(
             self.spark, "succeeded", **{LEDGER_COUNTS[k]: n for k, n in counts.items()}))]}
         if found["new"]:
-            staged["raw_order_versions"] = [f"{folder}/status={NEW}"]
-            staged[self.index.entry] = [self.index.stage(self.spark.read.schema(schemas.RAW_ORDER_VERSIONS).parquet(
-                f"{self.lake.root}/tables/raw_order_versions/{folder}/status={NEW}"))]
+            landing = self._new_rows(folder, labelled, found)
+            staged["raw_order_versions"] = [landing]
+            staged[self.index.entry] = [self.index.stage(self._staged(landing))]
         if run.scheduled:
             moved = self.spark.createDataFrame([(run.pipeline, run.window.end, run.run_id, _now())],
                                                schemas.CHECKPOINTS)
@@ -160,10 +174,15 @@ class OrderIngestion:
                          guard=("raw_order_versions", "checkpoints"), since=opened)
         return {"run_id": run.run_id, **counts, "checkpoint_advanced": run.scheduled}
 
-    def _refuse(self, run: Run, folder: str, found: dict) -> None:
+    def _refuse(self, run: Run, folder: str, labelled: DataFrame, found: dict) -> None:
         """The ledger keeps metadata only (two hashes), never the payload.
         Copies that differ inside the batch have no stored hash (NULL)."""
-        rows = self.spark.read.parquet(f"{self.lake.root}/tables/raw_order_versions/{folder}/status={CONFLICT}")
+        rows = labelled.where(F.col("status") == CONFLICT)
+        if found["copies"] > 1:   # of copies that differ the first by time and payload is named
+            several = rows.where("batch_copies > 1").select(*KEY)
+            named = self._staged(folder).join(several, KEY, "left_semi").groupBy(*KEY).agg(
+                F.min(F.struct("source_updated_at", "payload", "payload_hash")).alias("_row"))
+            rows = rows.join(named, KEY, "left").withColumn("payload_hash", F.coalesce("_row.payload_hash", "payload_hash"))
         rows = rows.select(
             F.expr("uuid()").alias("conflict_id"), F.lit(run.run_id).alias("run_id"), "order_id", "version",
             F.col("existing_hash").alias("existing_payload_hash"),

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.canonical import packed_hash, unpacked_hash
 from .lake import Lake
 
 BUCKETS = 16
@@ -56,7 +57,7 @@ class KeyIndex:
         types = {f.name: f.dataType.simpleString() for f in self.schema.fields}
         columns = ", ".join(f"`{c}` {types[c]}" for c in (*self.keys, self.hash_col))
         self.spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} (key_text STRING, {columns}, token STRING) USING parquet
-            OPTIONS ('parquet.bloom.filter.enabled#key_text' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') PARTITIONED BY (token)
+            OPTIONS ('compression' 'zstd', 'parquet.bloom.filter.enabled#key_text' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') PARTITIONED BY (token)
             CLUSTERED BY (key_text) SORTED BY (key_text) INTO {buckets} BUCKETS LOCATION '{self.path}'""")
 
     def _buckets(self) -> int:
@@ -66,8 +67,11 @@ class KeyIndex:
         """Write the keys of rows about to be committed; returns the partition for the commit's ``entry``."""
         self._open()
         token = uuid.uuid4().hex
-        (rows.select(key_text(self.keys).alias("key_text"), *self.keys, self.hash_col, F.lit(token).alias("token"))
-             .repartition(self._buckets(), "key_text").write.insertInto(self.name))
+        hash_col = F.col(self.hash_col)
+        # the key text is made again behind the shuffle
+        (rows.select(*self.keys, packed_hash(hash_col).alias(self.hash_col)).repartition(self._buckets(), key_text(self.keys))
+             .select(key_text(self.keys).alias("key_text"), *self.keys, unpacked_hash(hash_col).alias(self.hash_col),
+                     F.lit(token).alias("token")).write.insertInto(self.name))
         return token
 
     def _partitions(self, commits) -> tuple[list[str], list]:
@@ -99,8 +103,11 @@ class KeyIndex:
             self._open()
             self._declare(tokens)
             rows = self.spark.table(self.name).where(F.col("token").isin(tokens))
-            few = [r[0] for r in wanted.distinct().limit(PROBE_KEYS + 1).collect()]
-            if len(few) <= PROBE_KEYS:
+            # an estimate in one pass: only a batch that may have few keys is made distinct
+            few = None
+            if wanted.agg(F.approx_count_distinct("key_text")).first()[0] <= 2 * PROBE_KEYS:
+                few = [r[0] for r in wanted.distinct().limit(PROBE_KEYS + 1).collect()]
+            if few is not None and len(few) <= PROBE_KEYS:
                 rows = rows.where(F.col("key_text").isin(few))
             else:
                 rows = rows.join(wanted, "key_text", "left_semi")

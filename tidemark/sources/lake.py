@@ -175,7 +175,8 @@ class Lake:
     def stage(self, table: str, df: DataFrame) -> str:
         """Write ``df`` as a new, not yet committed directory of ``table``."""
         token = uuid.uuid4().hex
-        df.write.mode("errorifexists").parquet(f"{self.root}/tables/{table}/{token}")
+        # hashes in hex are half as long with a coder of entropy
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{self.root}/tables/{table}/{token}")
         return token
 
     def scratch(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -184,7 +185,7 @@ class Lake:
         later steps read files, so a lost executor never recomputes the source."""
         path = f"{self.root}/staging/{name}-{uuid.uuid4().hex}"
         obs = Observation(f"scratch_{name}_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
     def commit(self, staged: dict[str, list[str]], info: dict | None = None,
