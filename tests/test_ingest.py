@@ -351,6 +351,17 @@ def test_new_rows_among_landed_ones(spark, lake):
     assert (r["inserted"], r["duplicates"]) == (1, 8) and landed_orders(lake).distinct().count() == 9
 
 
+def test_replayed_payments_write_no_payload_to_land(spark, lake):
+    a, b, c = (dict(PAYMENT_RECORDS[0], payment_id=f"copy-{i}") for i in range(3))
+    PaymentIngestion(lake).run(feed_pages(spark, [a, b]))
+    tables = f"{lake.root}/tables/raw_payment_versions"
+    before = len(os.listdir(tables))
+    r = PaymentIngestion(lake).run(feed_pages(spark, [a, b]))
+    assert r["payments_inserted"] == 0 and len(os.listdir(tables)) == before
+    r = PaymentIngestion(lake).run(feed_pages(spark, [a, c, c], [b]))
+    assert (r["payments_received"], r["payments_inserted"]) == (4, 1) and landed_payments(lake).count() == 3
+
+
 def test_packed_hashes_keep_texts_apart(spark):
     from tidemark.functions.canonical import packed_hash, unpacked_hash
     texts = ["a" * 64, "A" * 64, "ab" * 16, "", "\x01", "ab", "é" * 32, "a" * 64 + "\n", None]

@@ -247,23 +247,27 @@ class PaymentIngestion:
         pages = self.lake.scratch(parsed.select("page_id", "page_seq"), "payment-walk")[0]
         recs = check_payments(feed.explode_records(parsed), "payload")
         v = F.try_parse_json(F.col("payload"))
-        recs = recs.select("page_id", "page_seq", "pos", "payload", payload_hash(F.col("payload")).alias("payload_hash"),
+        recs = recs.select("page_id", "page_seq", "pos", "payload",
                            F.try_variant_get(v, "$.payment_id", "string").alias("payment_id"),
                            F.try_variant_get(v, "$.version", "bigint").alias("version"),
                            F.try_variant_get(v, "$.order_id", "string").alias("order_id"),
                            (F.size("invalid_fields") > 0).alias("bad"))
         recs, _ = self.lake.scratch(recs, "payments")
         keys = ["payment_id", "version"]
-        invalid_pages = recs.where("bad").select("page_id")
+        # lists of pages are written, so that their size is known where records are joined to them
+        invalid_pages, _ = self.lake.scratch(recs.where("bad").select("page_id").distinct(), "payments-invalid")
+        hashed = F.col("payload_hash")
         sound = recs.drop("bad").join(invalid_pages, on="page_id", how="left_anti")
-        landed = self.index.landed(sound)
+        # places, keys and hashes are classified; a payload is never shuffled for it
+        narrow = sound.select("page_id", "page_seq", "pos", *keys, packed_hash(payload_hash(F.col("payload"))).alias("payload_hash"))
+        landed = self.index.landed(sound).withColumn("payload_hash", packed_hash(hashed))
         labelled, _ = self.lake.scratch(
-            classify_copies(sound, landed, keys, ("page_seq", "pos")), "payments-labelled")
+            classify_copies(narrow, landed, keys, ("page_seq", "pos")).drop("payload_hash"), "payments-labelled")
         # one row per page, pages without records included
         refused = labelled.where(F.col("status") == CONFLICT).select("page_id", F.lit(CONFLICT).alias("why")) \
             .unionByName(invalid_pages.select("page_id", F.lit(INVALID).alias("why"))) \
             .groupBy("page_id").agg(F.max("why").alias("why"))
-        judged = pages.select("page_id", "page_seq").join(refused, on="page_id", how="left")
+        judged, _ = self.lake.scratch(pages.select("page_id", "page_seq").join(refused, on="page_id", how="left"), "payments-judged")
         summary = judged.agg(F.min(F.when(F.col("why").isNotNull(), F.col("page_seq"))).alias("stop"),
                              F.min_by("why", F.when(F.col("why").isNotNull(), F.col("page_seq"))).alias("why"),
                              F.count("why").alias("refused")).first()
@@ -271,17 +275,31 @@ class PaymentIngestion:
         keep = judged.where(F.col("why").isNull())
         if self.on_bad == "fail" and stop is not None:
             keep = keep.where(F.col("page_seq") < stop)
-        kept = labelled.join(keep.select("page_id"), on="page_id", how="left_semi")
-        new_rows = latest_by(kept.where(~F.col("stored")), keys, ("page_seq", "pos"), descending=False)
-        staged = self.lake.stage("raw_payment_versions", new_rows.select(
-            *keys, "order_id", "payload", "payload_hash", F.current_timestamp().alias("ingested_at"), "page_id"))
-        landing = self.spark.read.schema(schemas.RAW_PAYMENT_VERSIONS).parquet(
-            f"{self.lake.root}/tables/raw_payment_versions/{staged}")
-        inserted = landing.count()
-        published = {"raw_payment_versions": [staged], self.index.entry: [self.index.stage(landing)]} if inserted else {}
+        kept_pages, _ = self.lake.scratch(keep.select("page_id"), "payments-kept")
+        kept = labelled.join(kept_pages, on="page_id", how="left_semi")
+        fresh = kept.where(~F.col("stored"))
+        received = kept.count()
+        told = fresh.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).agg(
+            F.count(F.lit(1)).alias("payments"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
+        inserted = told["payments"]
+        published = {}
+        if inserted:
+            new_rows = recs.join(kept_pages, on="page_id", how="left_semi")
+            if inserted == told["rows"] == received:   # every payment of these pages lands
+                new_rows = new_rows.dropna(subset=keys)
+            else:
+                place = ["page_id", "page_seq", "pos", *keys]
+                new_rows = latest_by(new_rows.join(fresh.select(*place), on=place, how="left_semi"), keys,
+                                     ("page_seq", "pos"), descending=False)
+            staged = self.lake.stage("raw_payment_versions", new_rows.select(
+                *keys, "order_id", "payload", payload_hash(F.col("payload")).alias("payload_hash"),
+                F.current_timestamp().alias("ingested_at"), "page_id"))
+            landing = self.spark.read.schema(schemas.RAW_PAYMENT_VERSIONS).parquet(
+                f"{self.lake.root}/tables/raw_payment_versions/{staged}")
+            published = {"raw_payment_versions": [staged], self.index.entry: [self.index.stage(landing)]}
         self.lake.commit(published, info={"event": "payments"},
                          guard=("raw_payment_versions",), since=since)
-        result = {"pages_fetched": keep.count(), "payments_received": kept.count(),
+        result = {"pages_fetched": keep.count(), "payments_received": received,
                   "payments_inserted": int(inserted)}
         if walked["detached"]:
             result["detached_pages"] = walked["detached"]

@@ -17,7 +17,7 @@ input.  Defects are injected by key, one kind per row:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
@@ -84,11 +84,15 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr(order_event_text("spark")).alias("payload"))
 
 
+def _page_no() -> Column:
+    return (F.col("o_orderkey") / PAGE_ROWS).cast("bigint")
+
+
 def payment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payment JSON rows, one per order, with their landed page number."""
     o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").cast("string").alias("ref"),
-                    (F.col("o_orderkey") / PAGE_ROWS).cast("bigint").alias("page_no"),
+                    _page_no().alias("page_no"),
                     F.expr(payment_text("spark")).alias("payload"))
 
 
@@ -97,10 +101,11 @@ def payment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     "next_cursor": ...}``; pages chain by cursor ``p<next page>`` and the last
     page has a null cursor.  A page holds at most PAGE_ROWS records, so the
     per-page ``collect_list`` is bounded by construction."""
-    recs = payment_records(spark, sf_dir)
-    pages = recs.groupBy("page_no").agg(
+    o = read_table(spark, sf_dir, "orders").withColumn("page_no", _page_no())
+    # the orders are brought together, not their longer texts
+    pages = o.repartition("page_no").select("page_no", F.expr(payment_text("spark")).alias("payload")).groupBy("page_no").agg(
         F.array_join(F.array_sort(F.collect_list("payload")), ",").alias("body"))
-    nxt = pages.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
+    nxt = o.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next")).distinct()
     pages = pages.join(nxt, on="page_no", how="left")
     cursor = F.when(F.col("has_next"),
                     F.concat(F.lit('"p'), (F.col("page_no") + 1).cast("string"), F.lit('"'))) \

@@ -138,8 +138,9 @@ def walk(pages: DataFrame, segment_pages: int = SEGMENT_PAGES) -> DataFrame:
         known.where(F.col("segment").isNotNull()).groupBy("feed", "segment")).applyInArrow(
         _segment_pages, f"feed {feed_type}, page_id string, position long")
     # a loop enters a segment more than once: the first time counts
-    return (followed.groupBy("feed", "page_id").agg(F.min("position").alias("position"))
-            .join(outcome, "feed").select("feed", "page_id", "position", "outcome"))
+    # written, so that its size is known to the join with the pages themselves
+    return written(followed.groupBy("feed", "page_id").agg(F.min("position").alias("position"))
+                   .join(outcome, "feed").select("feed", "page_id", "position", "outcome"), "found")
 
 
 def check_pages(parsed: DataFrame, order: str = "page_seq") -> tuple[DataFrame, dict]:
