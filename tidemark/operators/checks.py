@@ -12,6 +12,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..functions.canonical import packed_hash, unpacked_hash
 
 
 @dataclass(frozen=True)
@@ -55,7 +58,11 @@ def unique_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     nn = F.lit(True)
     for c in cols:
         nn = nn & F.col(c).isNotNull()
-    return df.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    texts = [f.name for f in df.select(*cols).schema.fields if isinstance(f.dataType, StringType)]
+    # surrogate keys are half as long while they are grouped
+    packed = df.where(nn).select(*cols).withColumns({c: packed_hash(F.col(c)) for c in texts})
+    found = packed.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return found.withColumns({c: unpacked_hash(F.col(c)) for c in texts})
 
 
 def relationship_violations(child: DataFrame, cols: Sequence[str], parent: DataFrame,

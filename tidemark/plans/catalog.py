@@ -351,11 +351,15 @@ def built_models(spark, sf):
     from ..functions.contracts import click_errors
     from . import models
     c = d.clicks(spark, sf)
+    root = f"{_session.shared_dir(spark)}/tidemark-models/{_uuid.uuid4().hex}"
+    # the lines are numbered once for items and refunds
+    numbered = d.numbered_lines(spark, sf)
+    numbered.write.option("compression", "zstd").parquet(f"{root}/_lines")
+    lines = spark.read.schema(numbered.schema).parquet(f"{root}/_lines")
     sources = {"order_versions": d.order_versions(spark, sf), "payment_versions": d.payments(spark, sf),
                "customer_history": d.customer_history(spark, sf), "products": d.products(spark, sf),
-               "order_items": d.order_items(spark, sf), "refunds": d.refunds(spark, sf),
+               "order_items": d.order_items(spark, sf, lines), "refunds": d.refunds(spark, sf, lines),
                "clicks": c.where(F.size(click_errors(c)) == 0)}
-    root = f"{_session.shared_dir(spark)}/tidemark-models/{_uuid.uuid4().hex}"
     return models.build(spark, sources, root, dim_date=None), root
 
 

@@ -80,7 +80,8 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
 def _materialise(spark, fs, root, name, df) -> DataFrame:
     folder = uuid.uuid4().hex
-    df.write.parquet(f"{root}/{name}/{folder}")
+    # hashes in hex are half as long with a coder of entropy
+    df.write.option("compression", "zstd").parquet(f"{root}/{name}/{folder}")
     names = [n for n in fs.list_names(f"{root}/{name}/_current") if n.endswith(".json")]
     n = max((int(x[:-5]) for x in names), default=0) + 1
     while not fs.create_new(f"{root}/{name}/_current/{n:020d}.json", json.dumps({"folder": folder})):

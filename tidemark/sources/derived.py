@@ -116,15 +116,16 @@ _LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
                "l_returnflag", "l_linestatus", "l_shipdate")
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem row with its number in its order; equal rows are interchangeable."""
     number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER))
-    return read_table(spark, sf_dir, "lineitem").withColumn("line_number", number)
+    return read_table(spark, sf_dir, "lineitem").withColumn("line_number", number).select(
+        "l_orderkey", "line_number", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
 
 
-def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One refund per returned line: several per order and day."""
-    returned = _lines(spark, sf_dir).where(F.col("l_returnflag") == "R")
+def refunds(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """One refund per returned line: several per order and day.  ``lines``: the numbered lines, if written already."""
+    returned = (numbered_lines(spark, sf_dir) if lines is None else lines).where(F.col("l_returnflag") == "R")
     return returned.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("line_number").cast("string")).alias("refund_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
@@ -133,8 +134,8 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_add("HOUR", F.lit(18), as_utc_instant("l_shipdate")).alias("refunded_at"))
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).select(
+def order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return (numbered_lines(spark, sf_dir) if lines is None else lines).select(
         F.col("l_orderkey").cast("string").alias("order_id"), F.col("line_number").cast("int").alias("line_number"),
         F.col("l_partkey").cast("string").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"),
         _money(F.col("l_extendedprice")).alias("unit_price"))
